@@ -191,7 +191,7 @@ RELATION_SQL = {
     "flow_invoices": f"""
         SELECT o.o_orderkey AS INVOICE_ID,
           cast(cast(o.o_orderdate as date) as string)
-            || (case when o.o_orderkey % 2 = 0 then 'T00:00:00.000+00:00' else '' end) AS INVOICE_DATE,
+            || (case when o.o_orderkey % 2 = 0 then 'T22:00:00.000-06:00' else '' end) AS INVOICE_DATE,
           case when o.o_orderkey % 29 = 0 then 'n/a' else cast({TOTAL} as string) end AS INVOICE_AMOUNT,
           case when o.o_orderkey % 3 = 0 then lower({CURRENCY}) else {CURRENCY} end AS INVOICE_CURRENCY_CODE
         FROM {{orders}} o""",
@@ -276,7 +276,7 @@ BASE_SQL = {
         SELECT case when c.c_custkey % 7 = 0 then -1 - c.c_custkey else c.c_custkey end AS VENDOR_ID,
           'RFC' || cast(c.c_custkey as string) AS INCOME_TAX_ID FROM {customer} c""",
     "HZ_PARTIES": """
-        SELECT c.c_custkey + (case when c.c_custkey % 13 = 0 then 0 else 1000000 end) AS PARTY_ID,
+        SELECT case when c.c_custkey % 13 = 0 then -1 - c.c_custkey else c.c_custkey + 1000000 end AS PARTY_ID,
           c.c_name AS PARTY_NAME FROM {customer} c""",
     "HR_OPERATING_UNITS": "SELECT r.r_regionkey AS ORGANIZATION_ID, r.r_name AS NAME FROM {region} r",
     "HR_ALL_ORGANIZATION_UNITS_F_VL": "SELECT r.r_regionkey AS ORGANIZATION_ID, r.r_name AS NAME FROM {region} r",

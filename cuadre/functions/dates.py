@@ -36,7 +36,8 @@ def month(c: Column | str, style: str) -> Column:
     if style == "english":
         return F.date_format(col, "MMMM")
     if style == "spanish":
-        return F.element_at(F.array(*[F.lit(m) for m in MONTHS_ES]), F.month(col))
+        # not element_at: on a literal array it answers a NULL index with a value
+        return F.get(F.array(*[F.lit(m) for m in MONTHS_ES]), F.month(col) - 1)
     if style == "year_month":
         return F.date_format(col, "yyyy-MM")
     if style == "number":
