@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from cuadre.sources.spec import MONTHS_ES
 
+# A clock time followed by a zone offset, at the end of a timestamp text.
+OFFSET = r":\d\d(\.\d+)?\s*(Z|[+-]\d{1,2}(:?\d\d)?)$"
+
 
 def to_date(c: Column | str) -> Column:
     """The first 10 characters as a date; NULL when they are not one."""
@@ -17,12 +20,16 @@ def to_stamp(c: Column | str, offsets: str = "wall") -> Column:
     """Timestamp text to a zone-less timestamp, value by value.
 
     offsets="wall" keeps the clock time as written and drops the offset;
-    offsets="utc" converts to UTC first (the session zone must be UTC).
+    offsets="utc" converts to UTC first. Neither depends on the session zone.
     """
+    wall = _col(c).try_cast("timestamp_ntz")
     if offsets == "wall":
-        return _col(c).try_cast("timestamp_ntz")
+        return wall
     if offsets == "utc":
-        return _col(c).try_cast("timestamp").cast("timestamp_ntz")
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        since_epoch = F.unix_micros(_col(c).try_cast("timestamp"))
+        utc = F.timestamp_add("MICROSECOND", since_epoch, epoch)
+        return F.when(F.trim(_col(c)).rlike(OFFSET), utc).otherwise(wall)
     raise ValueError(f"offsets must be 'wall' or 'utc', not {offsets!r}")
 
 

@@ -96,8 +96,6 @@ def read_extract(
     file. `multi_line` accepts line breaks inside quoted cells, at the price of
     files that cannot be split between tasks.
     """
-    if offsets == "utc" and spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        raise ValueError("offsets='utc' needs spark.sql.session.timeZone=UTC")
     try:
         if fmt == "csv":
             raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
