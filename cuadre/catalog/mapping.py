@@ -352,11 +352,16 @@ class Mapped(dict):
     def __init__(self, spark: SparkSession, sf_dir: str, texts: dict[str, str]):
         super().__init__()
         self._spark, self._dir, self._texts = spark, sf_dir, texts
+        self._tables: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._tables[name]
 
     def __missing__(self, name: str) -> DataFrame:
         text = self._texts[name]
-        sources = {s: self._spark.read.parquet(f"{self._dir}/{s}.parquet") for s in set(_PLACE.findall(text))}
-        self[name] = self._spark.sql(text, **sources)
+        self[name] = self._spark.sql(text, **{s: self._table(s) for s in set(_PLACE.findall(text))})
         return self[name]
 
 

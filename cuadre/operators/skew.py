@@ -14,6 +14,7 @@ beyond it holds less than 1/MAX_HOT of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +45,7 @@ def fan_out(
     sides: list[DataFrame],
     on: str,
     clash: str = "left",
+    after: list[Callable[[DataFrame], DataFrame]] = (),
     salts: int = SALTS,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
@@ -55,6 +57,9 @@ def fan_out(
     exactly one cell. All relations are shuffled once, on (key, cells). A base
     row whose cell has no row of a hot side is a by-product and is dropped: the
     key being hot, the side does have rows for it in other cells.
+
+    `after[i]` adds columns once side i is joined, before the next side
+    multiplies the rows.
     """
     flags = [f"_hot{i}" for i in range(len(sides))]
     cells = [f"_cell{i}" for i in range(len(sides))]
@@ -81,8 +86,12 @@ def fan_out(
     for i, side in enumerate(sides):
         ready = settle_clash(result, side, [on], clash)
         ready = place(ready, i).drop(*flags).withColumn("_match", F.lit(True))
+        # many rows come out of few: spread them by a shuffle, also where a side would fit a broadcast
+        ready = ready.hint("shuffle_merge")
         result = result.join(ready, [on, *cells], "left")
         result = result.where(F.col(flags[i]).isNull() | F.col("_match")).drop("_match")
+        if i < len(after):
+            result = after[i](result)
     return result.drop(*flags, *cells)
 
 

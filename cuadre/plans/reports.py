@@ -24,7 +24,8 @@ from cuadre.operators.columns import (
 from cuadre.operators.skew import fan_out
 from cuadre.sources import spec
 
-MASTER_AMOUNTS = ["IMPORTE", "IMPORTE_PAGO", "IVA", "RET_IVA", "RET_ISR", "RET_ISR_4", "ADELANTO_APLICADO"]
+HEADER_AMOUNTS = ["IMPORTE", "IVA", "RET_IVA", "RET_ISR", "RET_ISR_4"]
+PAYMENT_AMOUNTS = ["IMPORTE_PAGO", "ADELANTO_APLICADO"]
 MXN_AMOUNTS = ["SUBTOTAL", "IVA", "IMPORTE", "SALDO", "IMPORTE_PAGO", "ADELANTO_APLICADO"]
 
 
@@ -68,26 +69,40 @@ def _payment_flag(invoices: DataFrame) -> DataFrame:
 
 def _master_by_rate(invoices, tax_lines, payments, requisitions, **skew) -> DataFrame:
     taxes = agg.tax_pivot(tax_lines, classify.classify_by_rate(), spec.CLASSES_BY_RATE)
-    one_per_invoice = joins.merge_master(invoices, taxes).withColumn("IVA", or_zero("IVA"))
-    rows = joins.report_lines(one_per_invoice, [payments, requisitions], **skew)
-    rows = rows.withColumns({"SUBTOTAL": measures.subtotal("vat"), "SALDO": measures.balance("paid")})
-    rows = measures.to_mxn(rows, MXN_AMOUNTS, rate_or_one("TC_PAGO", zero_is_one=False))
-    rows = measures.with_periods(rows, "english")
-    rows = rows.withColumn("ESTATUS", text.payment_status("ESTATUS_PAGO"))
+    headers = joins.merge_master(invoices, taxes).withColumn("IVA", or_zero("IVA"))
+    headers = headers.withColumn("SUBTOTAL", measures.subtotal("vat"))
+
+    def amounts(paid: DataFrame) -> DataFrame:
+        paid = paid.withColumn("SALDO", measures.balance("paid"))
+        return measures.to_mxn(paid, MXN_AMOUNTS, rate_or_one("TC_PAGO", zero_is_one=False))
+
+    return _master_rows(headers, payments, requisitions, amounts, **skew)
+
+
+def _master_rows(headers, payments, requisitions, amounts, **skew) -> DataFrame:
+    """The invoice × payment × requisition rows of the master report.
+
+    Every expression is evaluated at its own grain: header columns per invoice,
+    payment periods per payment, amounts per invoice and payment.
+    """
+    headers = measures.with_periods(headers, "english", {"FECHA": ""})
+    headers = headers.withColumn("ESTATUS", text.payment_status("ESTATUS_PAGO"))
+    payments = measures.with_periods(payments, "english", {"FECHA_PAGO": "_PAGO"})
+    rows = joins.report_lines(headers, [payments, requisitions], after=[amounts], **skew)
     return reindex(rows, spec.MASTER_COLUMNS)
 
 
 def _master_by_code(invoices, tax_lines, payments, requisitions, fill_rate, **skew) -> DataFrame:
     taxes = agg.tax_pivot(tax_lines, classify.classify_by_code(), spec.CLASSES_BY_CODE)
-    rows = joins.report_lines(joins.merge_master(invoices, taxes), [payments, requisitions], **skew)
-    rows = ensure_money(rows, MASTER_AMOUNTS, ["TC_PAGO"] if fill_rate else [])
-    rows = rows.withColumns({"SUBTOTAL": measures.subtotal("vat_ret"), "SALDO": measures.balance("paid")})
-    rows = measures.to_mxn(
-        rows, [*MXN_AMOUNTS, "RET_IVA", "RET_ISR", "RET_ISR_4"], rate_or_one("TC_PAGO")
-    )
-    rows = measures.with_periods(rows, "english")
-    rows = rows.withColumn("ESTATUS", text.payment_status("ESTATUS_PAGO"))
-    return reindex(rows, spec.MASTER_COLUMNS)
+    headers = ensure_money(joins.merge_master(invoices, taxes), HEADER_AMOUNTS)
+    headers = headers.withColumn("SUBTOTAL", measures.subtotal("vat_ret"))
+
+    def amounts(paid: DataFrame) -> DataFrame:
+        paid = ensure_money(paid, PAYMENT_AMOUNTS, ["TC_PAGO"] if fill_rate else [])
+        paid = paid.withColumn("SALDO", measures.balance("paid"))
+        return measures.to_mxn(paid, MXN_AMOUNTS, rate_or_one("TC_PAGO"))
+
+    return _master_rows(headers, payments, requisitions, amounts, **skew)
 
 
 def _master_by_account(invoices, tax_lines, payments, requisitions, chart) -> DataFrame:
@@ -104,7 +119,7 @@ def _master_by_account(invoices, tax_lines, payments, requisitions, chart) -> Da
         F.min("REQUISITION_NUMBER").alias("REQUISITION_NUMBER")
     )
     rows = left_join(rows, first_requisition, "INVOICE_ID")
-    rows = ensure_money(rows, MASTER_AMOUNTS)
+    rows = ensure_money(rows, HEADER_AMOUNTS + PAYMENT_AMOUNTS)
     rows = rows.withColumns({"SUBTOTAL": measures.subtotal("vat_ret"), "SALDO": measures.balance("paid")})
     rows = measures.to_mxn(rows, MXN_AMOUNTS, rate_or_one("TC_PAGO"), suffix="_MXN")
     rows = measures.with_periods(rows, "spanish")
@@ -205,22 +220,22 @@ def report_schedule_payment(
     # amounts of the sides come from the sides; a narrow core is what gets shuffled
     core = core.select(*[c for c in core.columns if c in wanted])
 
+    schedules = select_present(schedules, ["INVOICE_ID", "IMPORTE_BRUTO_USD", "SALDO_USD"])
+    payments = select_present(
+        payments,
+        ["INVOICE_ID", "NUM_PAGO", "BANCO_CUENTA", "FECHA_APLICACION", "IMPORTE_PAGO_USD", "TIPO_CAMBIO_PAGO",
+         "MONEDA_PAGO"],
+    ).withColumn("FECHA_PAGO", F.col("FECHA_APLICACION"))
+    payments = measures.with_periods(payments, "year_month", {"FECHA_PAGO": "_PAGO"})
+
+    def due(scheduled: DataFrame) -> DataFrame:
+        for original, in_mxn in (("IMPORTE_BRUTO_USD", "IMPORTE_MXN"), ("SALDO_USD", "SALDO_MXN_CALC")):
+            scheduled = measures.split_currency(scheduled, F.col(original), original, in_mxn, other="zero")
+        return scheduled
+
     rows = joins.merge_schedule_payment(
-        core,
-        select_present(schedules, ["INVOICE_ID", "IMPORTE_BRUTO_USD", "SALDO_USD"]),
-        select_present(
-            payments,
-            ["INVOICE_ID", "NUM_PAGO", "BANCO_CUENTA", "FECHA_APLICACION", "IMPORTE_PAGO_USD",
-             "TIPO_CAMBIO_PAGO", "MONEDA_PAGO"],
-        ),
-        **skew,
+        core, schedules, payments, after=[due, measures.split_payment_currency], **skew
     )
-    gross, remaining = F.col("IMPORTE_BRUTO_USD"), F.col("SALDO_USD")
-    rows = measures.split_currency(rows, gross, "IMPORTE_BRUTO_USD", "IMPORTE_MXN", other="zero")
-    rows = measures.split_currency(rows, remaining, "SALDO_USD", "SALDO_MXN_CALC", other="zero")
-    rows = measures.split_payment_currency(rows)
-    rows = rows.withColumn("FECHA_PAGO", F.col("FECHA_APLICACION"))
-    rows = measures.with_periods(rows, "year_month", {"FECHA_PAGO": "_PAGO"})
     return reindex(rows, [*(["INVOICE_ID"] if keep_key else []), *spec.SCHEDULE_PAYMENT_COLUMNS])
 
 

@@ -311,6 +311,8 @@ INVOICE_V4_RENAMES = {
     "RET_OTRO_USD": "RETENCION_OTRO",
 }
 
+MONTHS_EN = ("January", "February", "March", "April", "May", "June", "July", "August", "September",
+             "October", "November", "December")
 MONTHS_ES = ("Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Septiembre",
              "Octubre", "Noviembre", "Diciembre")
 
