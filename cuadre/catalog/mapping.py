@@ -63,6 +63,10 @@ TYPE_CODE = (
     "when 4 then 'RET_ISR_4' when 5 then 'ISR_4' when 6 then 'RETENCION_ISR' else 'OTHER' end"
 )
 
+# one schedule per order, a second one for orders not yet finished
+TWO_ROWS = """SELECT x.*, 1 AS k FROM {orders} x
+          UNION ALL SELECT x.*, 2 AS k FROM {orders} x WHERE x.o_orderstatus <> 'F'"""
+
 RELATION_SQL = {
     "invoices_v1": f"""
         SELECT o.o_orderkey AS INVOICE_ID, r.r_name AS EMPRESA, cast(c.c_custkey as string) AS NUM_PROV,
@@ -137,12 +141,11 @@ RELATION_SQL = {
           l.l_shipdate AS FECHA_PAGO
         FROM {{lineitem}} l WHERE l.l_returnflag <> 'R'""",
     "schedules": f"""
-        SELECT o.o_orderkey AS INVOICE_ID, k.k AS PAYMENT_NUM, o.o_orderdate AS FECHA_VENCIMIENTO,
+        SELECT o.o_orderkey AS INVOICE_ID, o.k AS PAYMENT_NUM, o.o_orderdate AS FECHA_VENCIMIENTO,
           {_dec(f'{TOTAL} * cast(0.5 as decimal(4,2))')} AS IMPORTE_BRUTO_USD,
           case when o.o_orderstatus = 'F' then {_dec('0')}
             else {_dec(f'{TOTAL} * cast(0.25 as decimal(4,2))')} end AS SALDO_USD, 99 AS PAYMENT_PRIORITY
-        FROM {{orders}} o CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 AS k) k
-        WHERE k.k = 1 OR o.o_orderstatus <> 'F'""",
+        FROM ({TWO_ROWS}) o""",
     "distributions": f"""
         SELECT l.l_orderkey AS INVOICE_ID, l.l_linenumber AS DISTRIBUTION_LINE_NUMBER,
           case when l.l_partkey % 4 <> 0 then p.p_name end AS DESCRIPTION, {PRICE} AS IMPORTE_DISTRIBUCION_USD,
@@ -253,13 +256,12 @@ BASE_SQL = {
             AS STATUS_LOOKUP_CODE
         FROM {{supplier}} s""",
     "AP_PAYMENT_SCHEDULES_ALL": f"""
-        SELECT o.o_orderkey AS INVOICE_ID, k.k AS PAYMENT_NUM, o.o_orderdate AS DUE_DATE,
+        SELECT o.o_orderkey AS INVOICE_ID, o.k AS PAYMENT_NUM, o.o_orderdate AS DUE_DATE,
           {_dec(f'{TOTAL} * cast(0.5 as decimal(4,2))')} AS GROSS_AMOUNT,
           case when o.o_orderstatus = 'F' then {_dec('0')}
             else {_dec(f'{TOTAL} * cast(0.25 as decimal(4,2))')} end AS AMOUNT_REMAINING,
           99 AS PAYMENT_PRIORITY, o.o_orderdate AS CREATION_DATE
-        FROM {{orders}} o CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 AS k) k
-        WHERE k.k = 1 OR o.o_orderstatus <> 'F'""",
+        FROM ({TWO_ROWS}) o""",
     "AP_PREPAY_HISTORY_ALL": """
         SELECT l.l_orderkey AS INVOICE_ID, (l.l_partkey * 11) % 1700 AS PREPAY_INVOICE_ID,
           l.l_shipdate AS ACCOUNTING_DATE, l.l_shipdate AS CREATION_DATE

@@ -105,11 +105,15 @@ def join_lookup(
     salts: int = SALTS,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """Join to a side with one row per key, where left keys may be hot or NULL.
+    """Join to a side with few rows per key, where left keys may be hot or NULL.
 
     Left rows of a hot key are spread over `salts` cells by a hash of `spread`
-    and the one right row is copied to each cell. NULL keys match nothing and
-    are spread too, so they do not gather in one task. `how` is left or inner.
+    and its right rows are copied to each cell. NULL keys match nothing and are
+    spread too, so they do not gather in one task. `how` is left or inner.
+
+    Needed where the right side is an aggregate or a join on the same key: AQE
+    splits a hot left key only if a shuffle feeds the join on both sides. A side
+    read from a table needs no more than a plain join.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")

@@ -5,7 +5,8 @@ one relation. Lookups that yield one value per invoice are an aggregate joined
 back, never a correlated subquery. Bridges over purchasing tables are reduced to
 distinct pairs before they meet the invoice lines. Dimension sides carry no
 broadcast hint: the optimizer broadcasts them when their size allows it and
-otherwise shuffles, where AQE splits a hot key on the large side.
+otherwise shuffles, where AQE splits a hot key on the large side, or
+join_lookup salts it where AQE cannot.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def null_text(name: str) -> Column:
 # ---- invoice headers ---------------------------------------------------------
 
 
-def invoices_v1(t: Tables, since: dt.date = SINCE) -> DataFrame:
+def invoices_v1(t: Tables, since: dt.date = SINCE, **skew) -> DataFrame:
     """Invoice with supplier, operating unit, receipt and two account strings."""
     tax_ids = t["POZ_SUPPLIERS_PII"].select("VENDOR_ID", F.col("INCOME_TAX_ID").alias("RFC"))
     parties = t["HZ_PARTIES"].select("PARTY_ID", F.col("PARTY_NAME").alias("PROVEEDOR"))
@@ -67,11 +68,10 @@ def invoices_v1(t: Tables, since: dt.date = SINCE) -> DataFrame:
         F.col("INVOICE_AMOUNT").cast(MONEY).alias("IMPORTE"),
     )
     return (
-        invoices.join(units, "ORG_ID")
-        .join(suppliers, "VENDOR_ID")
+        join_lookup(invoices.join(units, "ORG_ID"), suppliers, "VENDOR_ID", ["INVOICE_ID"], "inner", **skew)
         .join(liability, "ACCTS_PAY_CODE_COMBINATION_ID", "left")
         .join(first_receipt(t), "INVOICE_ID", "left")
-        .join(expense_account(t), "INVOICE_ID", "left")
+        .join(expense_account(t, **skew), "INVOICE_ID", "left")
         .select(
             "INVOICE_ID", "EMPRESA", "NUM_PROV", "PROVEEDOR", "RFC", "FACTURA", "ERS", "ORIGEN", "ESTATUS",
             "UUID", "FECHA", "MONEDA", "DESCRIPTION", "IMPORTE", "CUENTA_BALANCE", "CUENTA_GASTO",
@@ -118,21 +118,21 @@ def _located_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def expense_account(t: Tables) -> DataFrame:
+def expense_account(t: Tables, **skew) -> DataFrame:
     """One account per invoice through its order lines; expense accounts first."""
     # one best account per location before the join: the least of the least is the least
     not_expense = ~F.coalesce(F.col("SEGMENT5").startswith(EXPENSE), F.lit(False))
     rank = F.struct(not_expense.alias("not_expense"), F.col("ACCOUNT").alias("account"))
     by_location = _located_accounts(t).groupBy("PO_LINE_LOCATION_ID").agg(F.min(rank).alias("_best"))
+    lines = _located_lines(t["AP_INVOICE_LINES_ALL"])
     return (
-        _located_lines(t["AP_INVOICE_LINES_ALL"])
-        .join(by_location, "PO_LINE_LOCATION_ID")
+        join_lookup(lines, by_location, "PO_LINE_LOCATION_ID", ["INVOICE_ID"], "inner", **skew)
         .groupBy("INVOICE_ID")
         .agg(F.min("_best")["account"].alias("CUENTA_GASTO"))
     )
 
 
-def invoices_v2(t: Tables, since: dt.date = SINCE) -> DataFrame:
+def invoices_v2(t: Tables, since: dt.date = SINCE, **skew) -> DataFrame:
     """Invoice header per terms line, with supplier, unit and purchase order."""
     tax_ids = t["POZ_SUPPLIERS_PII"].select("VENDOR_ID", "INCOME_TAX_ID")
     suppliers = (
@@ -167,8 +167,7 @@ def invoices_v2(t: Tables, since: dt.date = SINCE) -> DataFrame:
         "VENDOR_ID", "ORG_ID", "TERMS_ID",
     )
     return (
-        invoices.join(units, "ORG_ID")
-        .join(suppliers, "VENDOR_ID")
+        join_lookup(invoices.join(units, "ORG_ID"), suppliers, "VENDOR_ID", ["INVOICE_ID"], "inner", **skew)
         # the order goes in before the terms lines multiply the rows
         .join(max_purchase_order(t), "INVOICE_ID", "left")
         .join(terms, "TERMS_ID")
