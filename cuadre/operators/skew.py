@@ -6,10 +6,10 @@ outside that: an invoice with very many payments (skew on the optional side),
 and many rows looking up an aggregated side (no shuffle right below the join).
 Both are salted here, exactly: no row is dropped, capped or sampled.
 
-Hot keys are found by counting (partial aggregation, key column only). Keys with
-at least `min_rows` rows are hot, at most MAX_HOT of them per relation, the
-largest first; so the list that is broadcast has a fixed bound, and any key
-beyond it holds less than 1/MAX_HOT of the rows.
+Hot keys are found by counting (partial aggregation, key column only). A key
+with more than `cell_rows` rows is hot and gets one cell per `cell_rows` rows.
+The list of hot keys is broadcast; it holds at most MAX_HOT keys per relation,
+the largest first, so any key beyond it has less than 1/MAX_HOT of the rows.
 """
 
 from __future__ import annotations
@@ -22,21 +22,21 @@ from pyspark.sql import functions as F
 
 from cuadre.operators.columns import named, settle_clash
 
-MAX_HOT = 1000
-MIN_ROWS = 200_000
-SALTS = 32
+MAX_HOT = 100_000
+MAX_CELLS = 10_000
+CELL_ROWS = 10_000
 
 
-def hot_keys(df: DataFrame, on: str, min_rows: int = MIN_ROWS) -> DataFrame:
-    """At most MAX_HOT keys of `df` with `min_rows` rows or more."""
+def hot_keys(df: DataFrame, on: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(key, _size): at most MAX_HOT keys over `cell_rows` rows and their cells."""
     return (
         df.where(named(on).isNotNull())
         .groupBy(on)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
+        .where(F.col("_rows") > cell_rows)
         .orderBy(F.desc("_rows"), on)
         .limit(MAX_HOT)
-        .select(on)
+        .select(on, F.least(F.ceil(F.col("_rows") / cell_rows), F.lit(MAX_CELLS)).cast("int").alias("_size"))
     )
 
 
@@ -46,53 +46,50 @@ def fan_out(
     on: str,
     clash: str = "left",
     after: list[Callable[[DataFrame], DataFrame]] = (),
-    salts: int = SALTS,
-    min_rows: int = MIN_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """base LEFT JOIN side LEFT JOIN side … on one key, every combination kept.
 
-    A key hot in side i gets `salts` cells along dimension i. A row of side i
+    A key hot in side i is cut into cells along dimension i. A row of side i
     sits in one cell of its own dimension and in all cells of the others; the
     base row sits in all cells. Every pair of side rows of a key then meets in
-    exactly one cell. All relations are shuffled once, on (key, cells). A base
+    exactly one cell. All relations are shuffled once, on (key, cells). The
+    copies made are few against the combinations that the join yields. A base
     row whose cell has no row of a hot side is a by-product and is dropped: the
     key being hot, the side does have rows for it in other cells.
 
     `after[i]` adds columns once side i is joined, before the next side
     multiplies the rows.
     """
-    flags = [f"_hot{i}" for i in range(len(sides))]
+    sizes = [f"_size{i}" for i in range(len(sides))]
     cells = [f"_cell{i}" for i in range(len(sides))]
     found = reduce(
         DataFrame.unionByName,
-        [hot_keys(side, on, min_rows).withColumn("_side", F.lit(i)) for i, side in enumerate(sides)],
+        [hot_keys(side, on, cell_rows).withColumn("_side", F.lit(i)) for i, side in enumerate(sides)],
     )
-    hot = found.groupBy(on).agg(
-        *[F.max(F.when(F.col("_side") == i, salts)).alias(flag) for i, flag in enumerate(flags)]
+    hot = F.broadcast(
+        found.groupBy(on).agg(
+            *[F.max(F.when(F.col("_side") == i, F.col("_size"))).alias(size) for i, size in enumerate(sizes)]
+        )
     )
-    hot = F.broadcast(hot)
 
     def place(df: DataFrame, own: int | None) -> DataFrame:
-        row_hash = F.xxhash64(*[named(c) for c in df.columns])
+        row_hash = _row_hash(df.columns)
         placed = df.join(hot, on, "left")
-        for i, (flag, cell) in enumerate(zip(flags, cells)):
-            size = F.coalesce(F.col(flag), F.lit(1))
-            placed = placed.withColumn(
-                cell, F.pmod(row_hash, size).cast("int") if i == own else F.explode(_range(size))
-            )
+        for i, cell in enumerate(cells):
+            size = F.coalesce(F.col(sizes[i]), F.lit(1))
+            placed = placed.withColumn(cell, _own_cell(row_hash, size) if i == own else _every_cell(size))
         return placed
 
     result = place(base, None)
     for i, side in enumerate(sides):
-        ready = settle_clash(result, side, [on], clash)
-        ready = place(ready, i).drop(*flags).withColumn("_match", F.lit(True))
+        ready = place(settle_clash(result, side, [on], clash), i).drop(*sizes).withColumn("_match", F.lit(True))
         # many rows come out of few: spread them by a shuffle, also where a side would fit a broadcast
-        ready = ready.hint("shuffle_merge")
-        result = result.join(ready, [on, *cells], "left")
-        result = result.where(F.col(flags[i]).isNull() | F.col("_match")).drop("_match")
+        result = result.join(ready.hint("shuffle_merge"), [on, *cells], "left")
+        result = result.where(F.col(sizes[i]).isNull() | F.col("_match")).drop("_match")
         if i < len(after):
             result = after[i](result)
-    return result.drop(*flags, *cells)
+    return result.drop(*sizes, *cells)
 
 
 def join_lookup(
@@ -102,33 +99,45 @@ def join_lookup(
     spread: list[str],
     how: str = "left",
     clash: str = "left",
-    salts: int = SALTS,
-    min_rows: int = MIN_ROWS,
+    counted: DataFrame | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Join to a side with few rows per key, where left keys may be hot or NULL.
 
-    Left rows of a hot key are spread over `salts` cells by a hash of `spread`
-    and its right rows are copied to each cell. NULL keys match nothing and are
+    Left rows of a hot key are spread over its cells by a hash of `spread` and
+    its right rows are copied to each cell. NULL keys match nothing and are
     spread too, so they do not gather in one task. `how` is left or inner.
 
     Needed where the right side is an aggregate or a join on the same key: AQE
     splits a hot left key only if a shuffle feeds the join on both sides. A side
     read from a table needs no more than a plain join.
+
+    `counted` stands in for `left` when hot keys are counted: a table with the
+    same keys that costs less to read than `left` costs to compute.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    hot = F.broadcast(hot_keys(left, on, min_rows).withColumn("_hot", F.lit(salts)))
-    row_hash = F.xxhash64(*[named(c) for c in spread])
-    size = F.when(named(on).isNull(), salts).otherwise(F.coalesce(F.col("_hot"), F.lit(1)))
-    placed = left.join(hot, on, "left").withColumn("_cell", F.pmod(row_hash, size).cast("int")).drop("_hot")
-    ready = settle_clash(left, right, [on], clash)
+    hot = F.broadcast(hot_keys(left if counted is None else counted, on, cell_rows))
+    size = F.when(named(on).isNull(), MAX_CELLS).otherwise(F.coalesce(F.col("_size"), F.lit(1)))
+    placed = left.join(hot, on, "left").withColumn("_cell", _own_cell(_row_hash(spread), size)).drop("_size")
     copied = (
-        ready.join(hot, on, "left")
-        .withColumn("_cell", F.explode(_range(F.coalesce(F.col("_hot"), F.lit(1)))))
-        .drop("_hot")
+        settle_clash(left, right, [on], clash)
+        .join(hot, on, "left")
+        .withColumn("_cell", _every_cell(F.coalesce(F.col("_size"), F.lit(1))))
+        .drop("_size")
     )
     return placed.join(copied, [on, "_cell"], how).drop("_cell")
 
 
-def _range(size: Column) -> Column:
-    return F.sequence(F.lit(0), size - 1)
+def _row_hash(columns: list[str]) -> Column:
+    """Spreads rows over cells. The partition number sets exact copies of a row
+    apart; it and the rows of a partition are the same when a lost task is rerun."""
+    return F.xxhash64(*[named(c) for c in columns], F.spark_partition_id())
+
+
+def _own_cell(row_hash: Column, size: Column) -> Column:
+    return F.pmod(row_hash, size).cast("int")
+
+
+def _every_cell(size: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), size - 1))

@@ -202,11 +202,13 @@ def report_schedule_payment(
     tax_columns = agg.tax_pivot(
         taxes, classify.classify_by_type(type_code), spec.CLASSES_BY_TYPE, "IMPUESTO_MXN", "_MXN"
     )
-    core = joins.with_receipts(invoices.drop("ERS"), receipts, **skew)
+    core = invoices.drop("ERS")
     if "INCOME_TAX_ID" in core.columns:
         rfc = F.col("RFC") if "RFC" in core.columns else F.lit(None)
         core = core.withColumn("RFC", F.coalesce(rfc, "INCOME_TAX_ID"))
     core = joins.merge_master(core, agg.agg_distributions(distributions), tax_columns, prepaid)
+    # receipt lists can be long, so they join as late as there is one row per invoice
+    core = joins.with_receipts(core, receipts, counted=invoices, **skew)
     core = measures.with_currency_fx(core)
     core = core.withColumns(
         {"SUBTOTAL_ORIGINAL": measures.subtotal("header"), "ESTATUS": text.approval_3way("ESTATUS")}

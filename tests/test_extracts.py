@@ -109,7 +109,7 @@ def t(spark):
     }
 
 
-@pytest.mark.parametrize("skew", [{}, {"min_rows": 1, "salts": 3}])
+@pytest.mark.parametrize("skew", [{}, {"cell_rows": 1}])
 def test_invoices_v1(t, skew):
     got = extracts.invoices_v1(t, **skew)
     columns = ("INVOICE_ID", "EMPRESA", "PROVEEDOR", "RFC", "ERS", "CUENTA_BALANCE", "CUENTA_GASTO")
@@ -121,7 +121,7 @@ def test_invoices_v1(t, skew):
     ]
 
 
-@pytest.mark.parametrize("skew", [{}, {"min_rows": 1, "salts": 3}])
+@pytest.mark.parametrize("skew", [{}, {"cell_rows": 1}])
 def test_invoices_v2_has_a_row_per_terms_line(t, skew):
     got = extracts.invoices_v2(t, **skew)
     assert rows(got, "INVOICE_ID", "DUE_DAYS", "ORDEN_COMPRA", "INCOME_TAX_ID", "RFC", "UUID") == [
@@ -129,7 +129,7 @@ def test_invoices_v2_has_a_row_per_terms_line(t, skew):
     ]
 
 
-@pytest.mark.parametrize("skew", [{}, {"min_rows": 1, "salts": 3}])
+@pytest.mark.parametrize("skew", [{}, {"cell_rows": 1}])
 def test_withholding(t, skew):
     got = extracts.withholding(t, **skew)
     columns = ("INVOICE_ID", "DISTRIBUTION_LINE_NUMBER", "MONTO_BASE", "PORCENTAJE_RETENCION", "CLASIFICACION_RETENCION", "NOMBRE_IMPUESTO")

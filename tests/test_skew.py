@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cuadre.operators.skew import fan_out, hot_keys, join_lookup
+from cuadre.operators.skew import _own_cell, _row_hash, fan_out, hot_keys, join_lookup
 from tests.conftest import rows
 
 SCHEMA_A = "k int, a int"
@@ -25,34 +25,39 @@ def salted(base, b, c, **options):
     return fan_out(base, [b, c], "k", **options).select("k", "a", "b", "c")
 
 
-@pytest.mark.parametrize("min_rows", [1, 3, 10**6])
+@pytest.mark.parametrize("cell_rows", [1, 3, 10**6])
 @pytest.mark.parametrize("hot_b,hot_c", [(40, 0), (0, 40), (40, 30), (1, 40), (0, 0)])
-def test_one_hot_key(spark, hot_b, hot_c, min_rows):
+def test_one_hot_key(spark, hot_b, hot_c, cell_rows):
     base = spark.createDataFrame([(i, 10 * i) for i in range(6)] + [(None, 9)], SCHEMA_A)
     b = spark.createDataFrame([(2, i) for i in range(hot_b)] + [(1, 5), (1, 5), (None, 0)], SCHEMA_B)
     c = spark.createDataFrame([(2, i) for i in range(hot_c)] + [(1, 6), (4, 7)], SCHEMA_C)
-    assert rows(salted(base, b, c, salts=4, min_rows=min_rows)) == rows(plain(base, b, c))
+    assert rows(salted(base, b, c, cell_rows=cell_rows)) == rows(plain(base, b, c))
 
 
 def test_copies_on_a_hot_key(spark):
     base = spark.createDataFrame([(1, 0), (1, 0), (2, 0)], SCHEMA_A)
     b = spark.createDataFrame([(1, 7)] * 25, SCHEMA_B)
     c = spark.createDataFrame([(1, 8)] * 3 + [(2, 1)], SCHEMA_C)
-    got = salted(base, b, c, salts=8, min_rows=2)
+    got = salted(base, b, c, cell_rows=2)
     assert rows(got) == rows(plain(base, b, c))
     assert got.where("k = 1").count() == 2 * 25 * 3
 
 
+def test_copies_are_set_apart(spark):
+    df = spark.range(64, numPartitions=16).select(F.lit(1).alias("k"), F.lit("copy").alias("v"))
+    assert df.select(_own_cell(_row_hash(["k", "v"]), F.lit(8)).alias("cell")).distinct().count() > 3
+
+
 pairs = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 9))), max_size=12)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(a=pairs, b=pairs, c=pairs, min_rows=st.integers(1, 4))
-def test_any_data(spark, a, b, c, min_rows):
+@given(a=pairs, b=pairs, c=pairs, cell_rows=st.integers(1, 4))
+def test_any_data(spark, a, b, c, cell_rows):
     base, side_b, side_c = (
         spark.createDataFrame(data, schema) for data, schema in ((a, SCHEMA_A), (b, SCHEMA_B), (c, SCHEMA_C))
     )
-    got = salted(base, side_b, side_c, salts=3, min_rows=min_rows)
+    got = salted(base, side_b, side_c, cell_rows=cell_rows)
     assert rows(got) == rows(plain(base, side_b, side_c))
 
 
@@ -60,7 +65,7 @@ def test_columns_between_sides(spark):
     base = spark.createDataFrame([(1, 2), (2, 3)], SCHEMA_A)
     b = spark.createDataFrame([(1, 5), (1, 6)], SCHEMA_B)
     c = spark.createDataFrame([(1, 7)], SCHEMA_C)
-    got = fan_out(base, [b, c], "k", after=[lambda df: df.withColumn("ab", F.col("a") * F.col("b"))], min_rows=1)
+    got = fan_out(base, [b, c], "k", after=[lambda df: df.withColumn("ab", F.col("a") * F.col("b"))], cell_rows=1)
     assert rows(got, "k", "ab", "c") == [(1, 10, 7), (1, 12, 7), (2, None, None)]
 
 
@@ -72,13 +77,13 @@ def test_clashing_columns(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("min_rows", [1, 5, 10**6])
-def test_lookup(spark, how, min_rows):
+@pytest.mark.parametrize("cell_rows", [1, 5, 10**6])
+def test_lookup(spark, how, cell_rows):
     random.seed(1)
     data = [(7, i) for i in range(50)] + [(None, i) for i in range(20)] + [(random.randint(0, 9), i) for i in range(20)]
     left = spark.createDataFrame(data, SCHEMA_A)
     right = spark.createDataFrame([(i, i * i) for i in range(3, 12)], SCHEMA_B)
-    got = join_lookup(left, right, "k", ["a"], how, salts=4, min_rows=min_rows).select("k", "a", "b")
+    got = join_lookup(left, right, "k", ["a"], how, cell_rows=cell_rows).select("k", "a", "b")
     assert rows(got) == rows(left.join(right, "k", how).select("k", "a", "b"))
 
 
@@ -91,5 +96,8 @@ def test_lookup_rejects_other_joins(spark):
 def test_hot_keys_are_bounded(spark, monkeypatch):
     monkeypatch.setattr("cuadre.operators.skew.MAX_HOT", 2)
     df = spark.createDataFrame([(k, 0) for k in (1, 1, 1, 2, 2, 3, 3, 4, None, None, None, None)], SCHEMA_A)
-    assert rows(hot_keys(df, "k", 2)) == [(1,), (2,)]
-    assert rows(hot_keys(df, "k", 4)) == []
+    assert rows(hot_keys(df, "k", 1)) == [(1, 3), (2, 2)]
+    assert rows(hot_keys(df, "k", 2)) == [(1, 2)]
+    assert rows(hot_keys(df, "k", 3)) == []
+    monkeypatch.setattr("cuadre.operators.skew.MAX_CELLS", 2)
+    assert rows(hot_keys(df, "k", 1)) == [(1, 2), (2, 2)]
