@@ -78,7 +78,12 @@ def fan_out(
         placed = df.join(hot, on, "left")
         for i, cell in enumerate(cells):
             size = F.coalesce(F.col(sizes[i]), F.lit(1))
-            placed = placed.withColumn(cell, _own_cell(row_hash, size) if i == own else _every_cell(size))
+            if i == own:
+                placed = placed.withColumn(cell, _own_cell(row_hash, size))
+            else:
+                # only the base still has NULL keys when it is joined; they match nothing, anywhere
+                loose = F.when(named(on).isNull(), F.array(_own_cell(row_hash, F.lit(MAX_CELLS))))
+                placed = placed.withColumn(cell, F.explode(loose.otherwise(_range(size))))
         return placed
 
     result = place(base, None)
@@ -123,7 +128,7 @@ def join_lookup(
     copied = (
         settle_clash(left, right, [on], clash)
         .join(hot, on, "left")
-        .withColumn("_cell", _every_cell(F.coalesce(F.col("_size"), F.lit(1))))
+        .withColumn("_cell", F.explode(_range(F.coalesce(F.col("_size"), F.lit(1)))))
         .drop("_size")
     )
     return placed.join(copied, [on, "_cell"], how).drop("_cell")
@@ -139,5 +144,5 @@ def _own_cell(row_hash: Column, size: Column) -> Column:
     return F.pmod(row_hash, size).cast("int")
 
 
-def _every_cell(size: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), size - 1))
+def _range(size: Column) -> Column:
+    return F.sequence(F.lit(0), size - 1)

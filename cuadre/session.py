@@ -20,6 +20,19 @@ SETTINGS = {
 }
 
 
+def sized_for(input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings that keep scan and shuffle partitions near `partition_bytes`.
+
+    AQE starts from the larger number of shuffle partitions and merges small ones.
+    """
+    partitions = min(max(-(-input_bytes // partition_bytes), 200), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app: str = "cuadre",

@@ -227,7 +227,8 @@ CHART_OF_ACCOUNTS = _spec("chart_of_accounts", order=[(TEXT, "CUENTA_NUM CUENTA_
 
 DAILY_RATES = _spec(
     "daily_rates",
-    {"CONVERSION_DATE": "FECHA_TASA"},
+    {"CONVERSION_DATE": "FECHA_TASA", "RATE_DATE": "FECHA_TASA", "FECHA": "FECHA_TASA", "RATE": "CONVERSION_RATE",
+     "TASA": "CONVERSION_RATE"},
     order=[(DATE, "FECHA_TASA"), (TEXT, "FROM_CURRENCY TO_CURRENCY"), (RATE, "CONVERSION_RATE")],
 )
 

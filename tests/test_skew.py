@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cuadre.session import sized_for
 from cuadre.operators.skew import _own_cell, _row_hash, fan_out, hot_keys, join_lookup
 from tests.conftest import rows
 
@@ -101,3 +102,10 @@ def test_hot_keys_are_bounded(spark, monkeypatch):
     assert rows(hot_keys(df, "k", 3)) == []
     monkeypatch.setattr("cuadre.operators.skew.MAX_CELLS", 2)
     assert rows(hot_keys(df, "k", 1)) == [(1, 2), (2, 2)]
+
+
+def test_partition_sizes():
+    few, many = sized_for(10**9), sized_for(10**14)
+    assert few["spark.sql.shuffle.partitions"] == "200"
+    assert many["spark.sql.shuffle.partitions"] == "100000"
+    assert sized_for(2**40)["spark.sql.shuffle.partitions"] == "8192"
