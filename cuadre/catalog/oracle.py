@@ -313,6 +313,23 @@ _add(
   ESTATUS AS ESTATUS_PAGO, UUID, FECHA, MONEDA, DESCRIPTION, IMPORTE, CUENTA_BALANCE, CUENTA_GASTO, ESTATUS_APROBACION
 FROM invoices_v1""",
 )
+_add(
+    "s3_nullify",
+    "flow_payments",
+    """SELECT INVOICE_ID, ACCOUNTING_DATE, case when AMOUNT = '' then null else AMOUNT end AS AMOUNT
+FROM flow_payments""",
+)
+_add(
+    "p2_reindex",
+    "invoices_v1",
+    "SELECT FACTURA, cast(null as decimal(18,6)) AS TC_FACTURA, INVOICE_ID FROM invoices_v1",
+)
+_add(
+    "p9_ensure_money",
+    "payments_v1",
+    """SELECT INVOICE_ID, NUM_PAGO, cast(coalesce(ADELANTO_APLICADO, 0) as decimal(18,2)) AS ADELANTO_APLICADO,
+  cast(coalesce(TC_PAGO, 1) as decimal(18,6)) AS TC_PAGO, cast(0 as decimal(18,2)) AS RET_IVA FROM payments_v1""",
+)
 _add("s6_scan_since", "AP_INVOICES_ALL", f"SELECT INVOICE_ID, CREATION_DATE FROM AP_INVOICES_ALL WHERE CREATION_DATE >= {SINCE}")
 
 # ---- classification ----------------------------------------------------------

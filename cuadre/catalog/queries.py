@@ -13,7 +13,7 @@ from cuadre.functions import classify, dates, measures, text
 from cuadre.functions.numbers import money, or_zero, percentage, rate_or_one, row_sum, to_number
 from cuadre.operators import aggregates as agg
 from cuadre.operators import joins, profile
-from cuadre.operators.columns import ensure_money
+from cuadre.operators.columns import ensure_money, reindex
 from cuadre.plans import extracts, reports
 from cuadre.sources import files, spec
 
@@ -64,6 +64,17 @@ _base("e15_withholding")(lambda t: extracts.withholding(t, SINCE))
 # ---- sources -----------------------------------------------------------------
 
 _relation("s4_conform")(lambda r: files.conform(r["invoices_v1"], spec.INVOICES_V1))
+_relation("s3_nullify")(lambda r: files.nullify_tokens(r["flow_payments"]))
+_relation("p2_reindex")(
+    lambda r: reindex(r["invoices_v1"], ["FACTURA", "TC_FACTURA", "INVOICE_ID"], {"TC_FACTURA": spec.RATE})
+)
+_relation("p9_ensure_money")(
+    lambda r: ensure_money(
+        r["payments_v1"].select("INVOICE_ID", "NUM_PAGO", "ADELANTO_APLICADO", "TC_PAGO"),
+        ["ADELANTO_APLICADO", "RET_IVA"],
+        ["TC_PAGO"],
+    )
+)
 _base("s6_scan_since")(
     lambda t: files.scan_since(t["AP_INVOICES_ALL"], "CREATION_DATE", SINCE).select("INVOICE_ID", "CREATION_DATE")
 )

@@ -40,11 +40,15 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def report_summary(df: DataFrame, key: str = "INVOICE_ID") -> DataFrame:
-    """One row of totals over a schedule-payment report that kept its key."""
+def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",)) -> DataFrame:
+    """One row of totals over a schedule-payment report.
+
+    `key` tells invoices apart: the id where the report kept it, else unit,
+    supplier and invoice number.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct(key).alias("invoice_count"),
+        F.count_distinct(F.struct(*[named(c) for c in key])).alias("invoice_count"),
         F.count_distinct("PROVEEDOR").alias("supplier_count"),
         F.sum("IMPORTE_BRUTO_USD").cast("decimal(18,2)").alias("total_usd"),
         F.sum("IMPORTE_MXN").cast("decimal(18,2)").alias("total_mxn"),

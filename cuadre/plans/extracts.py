@@ -2,8 +2,8 @@
 
 Each function takes `t`, a mapping of base table name to DataFrame, and returns
 one relation. Lookups that yield one value per invoice are an aggregate joined
-back, never a correlated subquery. Bridges over purchasing tables are reduced to
-distinct pairs before they meet the invoice lines. Dimension sides carry no
+back, never a correlated subquery. Bridges, where both sides repeat a key, are
+reduced to distinct pairs before they join. Dimension sides carry no
 broadcast hint: the optimizer broadcasts them when their size allows it and
 otherwise shuffles, where AQE splits a hot key on the large side, or
 join_lookup salts it where AQE cannot.
@@ -67,8 +67,9 @@ def invoices_v1(t: Tables, since: dt.date = SINCE, **skew) -> DataFrame:
         "DESCRIPTION",
         F.col("INVOICE_AMOUNT").cast(MONEY).alias("IMPORTE"),
     )
+    in_units = invoices.join(units, "ORG_ID")
     return (
-        join_lookup(invoices.join(units, "ORG_ID"), suppliers, "VENDOR_ID", ["INVOICE_ID"], "inner", **skew)
+        join_lookup(in_units, suppliers, "VENDOR_ID", ["INVOICE_ID"], "inner", counted=invoices, **skew)
         .join(liability, "ACCTS_PAY_CODE_COMBINATION_ID", "left")
         .join(first_receipt(t), "INVOICE_ID", "left")
         .join(expense_account(t, **skew), "INVOICE_ID", "left")
@@ -85,7 +86,6 @@ def first_receipt(t: Tables) -> DataFrame:
         t["AP_INVOICE_DISTRIBUTIONS_ALL"]
         .where(F.col("RCV_TRANSACTION_ID").isNotNull())
         .select("INVOICE_ID", F.col("RCV_TRANSACTION_ID").alias("TRANSACTION_ID"))
-        .distinct()
     )
     receipts = (
         t["RCV_TRANSACTIONS"]
@@ -110,12 +110,8 @@ def _located_accounts(t: Tables) -> DataFrame:
 
 
 def _located_lines(lines: DataFrame) -> DataFrame:
-    """Distinct (invoice, PO line location) of invoice lines."""
-    return (
-        lines.where(F.col("PO_LINE_LOCATION_ID").isNotNull())
-        .select("INVOICE_ID", "PO_LINE_LOCATION_ID")
-        .distinct()
-    )
+    """(invoice, PO line location) of the invoice lines that have an order."""
+    return lines.where(F.col("PO_LINE_LOCATION_ID").isNotNull()).select("INVOICE_ID", "PO_LINE_LOCATION_ID")
 
 
 def expense_account(t: Tables, **skew) -> DataFrame:
@@ -166,8 +162,9 @@ def invoices_v2(t: Tables, since: dt.date = SINCE, **skew) -> DataFrame:
         F.col("INVOICE_TYPE_LOOKUP_CODE").alias("TIPO"),
         "VENDOR_ID", "ORG_ID", "TERMS_ID",
     )
+    in_units = invoices.join(units, "ORG_ID")
     return (
-        join_lookup(invoices.join(units, "ORG_ID"), suppliers, "VENDOR_ID", ["INVOICE_ID"], "inner", **skew)
+        join_lookup(in_units, suppliers, "VENDOR_ID", ["INVOICE_ID"], "inner", counted=invoices, **skew)
         # the order goes in before the terms lines multiply the rows
         .join(max_purchase_order(t), "INVOICE_ID", "left")
         .join(terms, "TERMS_ID")
@@ -185,7 +182,6 @@ def max_purchase_order(t: Tables) -> DataFrame:
         t["AP_INVOICE_DISTRIBUTIONS_ALL"]
         .where(F.col("PO_DISTRIBUTION_ID").isNotNull())
         .select("INVOICE_ID", "PO_DISTRIBUTION_ID")
-        .distinct()
     )
     numbers = (
         t["PO_DISTRIBUTIONS_ALL"]
@@ -269,6 +265,7 @@ def withholding(t: Tables, since: dt.date = SINCE, **skew) -> DataFrame:
             "INVOICE_ID",
             spread=["DISTRIBUTION_LINE_NUMBER", "RETENCION_USD"],
             how="inner",
+            counted=held,
             **skew,
         )
         .withColumn("PORCENTAJE_RETENCION", percentage("RETENCION_USD", "MONTO_BASE"))
@@ -435,6 +432,7 @@ def requisition_bridge(t: Tables) -> DataFrame:
     items = t["AP_INVOICE_LINES_ALL"].where(F.col("LINE_TYPE_LOOKUP_CODE") == "ITEM")
     return (
         _located_lines(items)
+        .distinct()
         .join(requisitions, "PO_LINE_LOCATION_ID")
         .select("INVOICE_ID", "REQUISITION_NUMBER")
         .distinct()
@@ -451,6 +449,7 @@ def account_bridge(t: Tables, since: dt.date = SINCE) -> DataFrame:
     )
     return (
         _located_lines(scan_since(t["AP_INVOICE_LINES_ALL"], "CREATION_DATE", since))
+        .distinct()
         .join(expense, "PO_LINE_LOCATION_ID")
         .select("INVOICE_ID", "CUENTA_NUM")
         .distinct()

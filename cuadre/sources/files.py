@@ -26,11 +26,11 @@ def fold_headers(df: DataFrame) -> DataFrame:
 
 
 def nullify_tokens(df: DataFrame, tokens=NULL_TOKENS + DEFAULT_NULL_TOKENS) -> DataFrame:
-    """Text cells that spell a missing value become NULL."""
+    """Text cells that spell a missing value become NULL; the match is exact."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     return df.select(
         *[
-            F.when(~F.trim(_named(c)).isin(*tokens), _named(c)).alias(c) if c in text else _named(c)
+            F.when(~_named(c).isin(*tokens), _named(c)).alias(c) if c in text else _named(c)
             for c in df.columns
         ]
     )
