@@ -35,7 +35,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     settings = {"spark.sql.shuffle.partitions": cpus.strip("*") or "8", "spark.driver.memory": "8g"}
     spark = build_session(f"local[{cpus}]", "bench", settings)

@@ -453,6 +453,15 @@ _add(
     "distributions",
     _list("distributions", "INVOICE_ID", "CC_CUENTA", "DISTRIBUTION_LINE_NUMBER", ", ", "accounts"),
 )
+_add(
+    "a5_distinct_values",
+    "distributions",
+    """SELECT INVOICE_ID, 'account' AS list, CC_CUENTA AS value, min(DISTRIBUTION_LINE_NUMBER) AS first
+FROM distributions WHERE CC_CUENTA IS NOT NULL GROUP BY INVOICE_ID, CC_CUENTA
+UNION ALL
+SELECT INVOICE_ID, 'department', CC_DEPARTAMENTO, min(DISTRIBUTION_LINE_NUMBER)
+FROM distributions WHERE CC_DEPARTAMENTO IS NOT NULL GROUP BY INVOICE_ID, CC_DEPARTAMENTO""",
+)
 _add(
     "a6_first_non_null",
     "distributions",

@@ -140,6 +140,14 @@ _relation("a5_distinct_list_all")(
         r["distributions"], "INVOICE_ID", [agg.ListOf("accounts", "CC_CUENTA", ", ")], F.col(_LINE)
     )
 )
+_relation("a5_distinct_values")(
+    lambda r: agg.distinct_values(
+        r["distributions"],
+        "INVOICE_ID",
+        [agg.ListOf("account", "CC_CUENTA"), agg.ListOf("department", "CC_DEPARTAMENTO")],
+        F.col(_LINE),
+    )
+)
 _relation("a6_first_non_null")(
     lambda r: r["distributions"].groupBy("INVOICE_ID").agg(
         agg.first_non_null("DESCRIPTION", F.col(_LINE)).alias("description")

@@ -62,22 +62,15 @@ class ListOf:
     sep: str = ", "
 
 
-def distinct_lists(
-    df: DataFrame, key: str, lists: list[ListOf], order: Column, limit: int | None = None
-) -> DataFrame:
-    """Ordered distinct text lists by key; '' where a key has no value.
-
-    Values stand in order of their first appearance by `order` (a number or a
-    date; NULL first), ties by value. With a `limit` only the first values are
-    ever shuffled to the key, otherwise the distinct ones.
-    """
+def _first_appearances(df: DataFrame, key: str, lists: list[ListOf], order: Column) -> DataFrame:
+    """One row per key, list and distinct value (NULL too) with its first place."""
     slots = F.array(
         *[
             F.struct(F.lit(i).alias("slot"), named(spec.column).cast("string").alias("value"))
             for i, spec in enumerate(lists)
         ]
     )
-    first = (
+    return (
         df.where(named(key).isNotNull())
         .select(key, order.alias("_order"), F.explode(slots).alias("_s"))
         .groupBy(key, F.col("_s.slot").alias("_slot"), F.col("_s.value").alias("_value"))
@@ -86,13 +79,41 @@ def distinct_lists(
             F.min(F.when(F.col("_order").isNull(), 0).otherwise(1)).alias("_known"),
             F.min("_order").alias("_first"),
         )
+        .withColumn("_first", F.when(F.col("_known") == 1, F.col("_first")))
     )
+
+
+def distinct_values(df: DataFrame, key: str, lists: list[ListOf], order: Column) -> DataFrame:
+    """The content of distinct_lists as rows: key, list, value, first place.
+
+    For keys with more values than one text cell can hold; nothing is collected.
+    """
+    first = _first_appearances(df, key, lists, order).where(F.col("_value").isNotNull())
+    names = F.array(*[F.lit(spec.name) for spec in lists])
+    return first.select(
+        key,
+        F.get(names, F.col("_slot")).alias("list"),
+        F.col("_value").alias("value"),
+        F.col("_first").alias("first"),
+    )
+
+
+def distinct_lists(
+    df: DataFrame, key: str, lists: list[ListOf], order: Column, limit: int | None = None
+) -> DataFrame:
+    """Ordered distinct text lists by key; '' where a key has no value.
+
+    Values stand in order of their first appearance by `order` (a number or a
+    date; NULL first), ties by value. With a `limit` only the first values are
+    ever shuffled to the key, otherwise the distinct ones.
+    """
+    first = _first_appearances(df, key, lists, order)
     if limit is not None:
         by_first = Window.partitionBy(key, "_slot").orderBy(
             F.col("_value").isNull(), "_known", F.col("_first").asc_nulls_first(), "_value"
         )
         first = first.withColumn("_n", F.row_number().over(by_first)).where(F.col("_n") <= limit)
-    entry = F.struct("_known", F.when(F.col("_known") == 1, F.col("_first")).alias("_first"), "_value")
+    entry = F.struct("_known", "_first", "_value")
     collected = first.groupBy(key).agg(
         *[
             F.array_sort(
