@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from cuadre.catalog.oracle import ORACLE
+from cuadre.catalog.queries import QUERIES
 from tests.compare import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +19,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
