@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadre.llm import bpe, chat, langid, licences, ranking, rules, warc
+from cuadre.llm import bpe, chat, langid, licences, neardup, ranking, rules, warc
 from cuadre.llm.common import learn_fold, new_folder, table
 
 #: Folds whose labels are held out: doc_id hashes to this remainder.
@@ -52,6 +52,10 @@ def token_digests(docs: DataFrame, vocabulary: str, *carried: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     archives = warc.write_archives(pages, new_folder(spark, "warc"))
@@ -97,6 +101,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
+    "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
     "op8_licences": op8_licences,
     "op9_chat": op9_chat,
