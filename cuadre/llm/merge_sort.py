@@ -12,7 +12,8 @@ Equal strings are ordered by a second key, so that a string that many rows share
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +21,11 @@ from pyspark.sql import functions as F
 
 #: Rows in a run that a task sorts at once.
 RUN_ROWS = 50_000
+#: Least rows of a key range.
+RANGE_ROWS = 1_000
+EDGE = pa.struct(
+    [("tail", pa.binary()), ("rightward", pa.list_(pa.int32())), ("leftward", pa.list_(pa.int32()))]
+)
 #: Sampled strings for each range: their number bounds how uneven the ranges are.
 SAMPLES = 48
 
@@ -37,6 +43,20 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
     return most
 
 
+def ranges_for(rows: int) -> int:
+    """Key ranges for so many rows: the size of a range and the number of ranges grow as the square root."""
+    return max(1, rows // max(RANGE_ROWS, math.isqrt(rows)))
+
+
+def falling(values: Iterable[int]) -> list[int]:
+    """The distinct running minima."""
+    found: list[int] = []
+    for x in values:
+        if not found or x < found[-1]:
+            found.append(x)
+    return found
+
+
 class LoserTree:
     """Merges sorted runs of (string, second key, row). `lcps`: of each string with the one before it in its run."""
 
@@ -106,8 +126,10 @@ def splitters(df: DataFrame, key: str, second: str, ranges: int) -> list[tuple[b
 
 
 def merge_sorted(df: DataFrame, key: str, second: str, payload: list[str], ranges: int) -> DataFrame:
-    """Rows of `df` by (`key`, `second`): part, place, lcp, `key`, `second` and `payload`. Ordered by part and place
-    they are in order; `lcp` is the common prefix of `key` with the row before, and 0 for the first of a part.
+    """Rows of `df` by (`key`, `second`): part, place, lcp, edge, `key`, `second` and `payload`. Ordered by part and
+    place they are in order; `lcp` is the common prefix of `key` with the row before, and 0 for the first of a part.
+    Only the first of a part has an `edge`: the part's last key (tail), and the distinct running minima of its LCPs,
+    falling, from the first row rightwards (rightward) and from the last row leftwards (leftward).
 
     `key` is binary and not null, `second` a long. A table read twice: it should be a written one.
     """
@@ -169,17 +191,21 @@ def merge_sorted(df: DataFrame, key: str, second: str, payload: list[str], range
                 lcps[-1].append(lcp)
             part, place = waiting[0].column("part")[0].as_py(), 0
             out = list(LoserTree(runs, lcps))
+            between = [lcp for lcp, _ in out[1:]]
+            edge = {"tail": out[-1][1][0], "rightward": falling(between), "leftward": falling(reversed(between))}
             for start in range(0, len(out), 10_000):
                 some = out[start : start + 10_000]
                 picked = rows.select(payload).take(pa.array([x[1][2] for x in some], pa.int64())).combine_chunks()
                 columns = [
                     pa.array([part] * len(some), pa.int32()), pa.array(range(place, place + len(some)), pa.int64()),
-                    pa.array([x[0] for x in some], pa.int32()), pa.array([x[1][0] for x in some], pa.binary()),
+                    pa.array([x[0] for x in some], pa.int32()),
+                    pa.array([None if start + k else edge for k in range(len(some))], EDGE),
+                    pa.array([x[1][0] for x in some], pa.binary()),
                     pa.array([x[1][1] for x in some], pa.int64()),
                     *(picked.column(c).chunk(0) for c in payload),
                 ]
                 place += len(some)
-                yield pa.RecordBatch.from_arrays(columns, names=["part", "place", "lcp", key, second, *payload])
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "place", "lcp", "edge", key, second, *payload])
 
         for batch in batches:
             parts = batch.column("part").to_pylist()
@@ -198,4 +224,5 @@ def merge_sorted(df: DataFrame, key: str, second: str, payload: list[str], range
         sort_runs, f"part int, run long, seq int, lcp int, `{key}` binary, `{second}` long{carried}"
     )
     dealt = runs.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run", "seq")
-    return dealt.mapInArrow(merge, f"part int, place long, lcp int, `{key}` binary, `{second}` long{carried}")
+    edge = "edge struct<tail:binary,rightward:array<int>,leftward:array<int>>"
+    return dealt.mapInArrow(merge, f"part int, place long, lcp int, {edge}, `{key}` binary, `{second}` long{carried}")

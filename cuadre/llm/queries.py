@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadre.llm import bpe, chat, langid, licences, neardup, ranking, rules, warc
+from cuadre.llm import bpe, chat, langid, licences, neardup, ranking, rules, suffixes, warc
 from cuadre.llm.common import learn_fold, new_folder, table
 
 #: Folds whose labels are held out: doc_id hashes to this remainder.
@@ -52,6 +52,18 @@ def token_digests(docs: DataFrame, vocabulary: str, *carried: str) -> DataFrame:
     )
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["begin"])
+    return cut.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        n_removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
 
@@ -101,6 +113,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
+    "op4_suffixes": op4_suffixes,
     "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
     "op8_licences": op8_licences,

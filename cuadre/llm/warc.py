@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadre.llm.common import new_folder, per_batch, raw, written
-from cuadre.llm.merge_sort import merge_sorted
+from cuadre.llm.merge_sort import merge_sorted, ranges_for
 
 # The WARC version, and the profile of revisits with identical payload.
 VERSION = b"WARC/1.1"
@@ -32,7 +32,6 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 #: Seconds from 1970 at which page 0 counts as captured; each page id adds one second.
 FIRST_CAPTURE = 1_600_000_000
-ROWS_IN_RANGE = 20_000
 
 
 def digest_of(payload: bytes) -> str:
@@ -252,7 +251,6 @@ def index(captures: DataFrame) -> DataFrame:
     keyed = written(
         per_batch(captures.select(*payload), f"capture_key binary, capture_tie long, {kinds}", make), "captures"
     )
-    ranges = max(1, -(-keyed.count() // ROWS_IN_RANGE))
-    merged = merge_sorted(keyed, "capture_key", "capture_tie", payload, ranges)
+    merged = merge_sorted(keyed, "capture_key", "capture_tie", payload, ranges_for(keyed.count()))
     text = F.col("capture_key").substr(F.lit(1), F.octet_length("capture_key") - 9).cast("string")
     return merged.select("part", "place", text.alias("url_key"), *payload)
