@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import per_batch
+from cuadre.llm.common import kinds, per_batch
 
 # Fixed value: the pattern that separates words before the merges.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -178,7 +178,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     carried = [c for c in docs.columns if c not in (text, ids)]
     prepared = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias(ids))
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried] + [f"`{ids}` array<int>"])
+    schema = kinds(docs, carried, f"`{ids}` array<int>")
 
     def make():
         encoder = Encoder(Vocabulary(shared.value))
@@ -199,9 +199,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", text: str = "t
     carried = [c for c in encoded.columns if c not in (ids, text)]
     prepared = encoded.select(*[F.col(f"`{c}`") for c in [*carried, ids]])
     names = [*carried, ids, text]
-    schema = ", ".join(
-        [f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in [*carried, ids]] + [f"`{text}` string"]
-    )
+    schema = kinds(encoded, [*carried, ids], f"`{text}` string")
 
     def make():
         bytes_of = Vocabulary(shared.value).token_bytes.__getitem__

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,8 +55,13 @@ def raw(column: pa.Array) -> list[bytes]:
     return [b"" if value is None else value for value in column.cast(pa.binary()).to_pylist()]
 
 
+def kinds(df: DataFrame, carried: list[str], added: str) -> StructType:
+    """The schema of the columns `carried` of `df`, followed by those that the DDL text `added` names."""
+    return StructType([df.schema[c] for c in carried] + StructType.fromDDL(added).fields)
+
+
 def per_batch(
-    df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], most_rows: int = 2_000
+    df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], most_rows: int = 2_000
 ) -> DataFrame:
     """Maps Arrow batches of `df`, in slices of `most_rows`; `make` builds the mapping once per task."""
 
@@ -66,3 +72,18 @@ def per_batch(
                 yield one(batch.slice(start, most_rows))
 
     return df.mapInArrow(run, schema)
+
+
+def row_keys(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """row_a and row_b, two 64-bit hashes that stand for a row's id and text. Rows equal in both share them."""
+    number, content = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return F.xxhash64(number, content).alias("row_a"), F.xxhash64(content, F.lit("b"), number).alias("row_b")
+
+
+#: Beyond so many rows of ids or row keys a side is joined by a shuffle and no longer broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, a table of a few longs a row, marked for a broadcast if its counted size permits."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import per_batch
+from cuadre.llm.common import kinds, per_batch
 
 SAMPLE_ROWS = 128
 DICTIONARY_BYTES = 110_000
@@ -107,7 +107,7 @@ def identify(docs: DataFrame, samples: list[tuple[str, list[str]]], text: str =
     added = ["lang_pred", "score", "margin", "rejected"]
     carried = [c for c in docs.columns if c not in (text, *added)]
     prepared = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("text"))
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
+    schema = kinds(docs, carried, "lang_pred string, score double, margin double, rejected boolean")
 
     def make():
         languages = Languages(shared.value)
@@ -123,4 +123,4 @@ def identify(docs: DataFrame, samples: list[tuple[str, list[str]]], text: str =
 
         return one
 
-    return per_batch(prepared, schema + "lang_pred string, score double, margin double, rejected boolean", make)
+    return per_batch(prepared, schema, make)

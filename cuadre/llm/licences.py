@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import per_batch, raw
+from cuadre.llm.common import kinds, per_batch, raw
 
 #: Share of a template's weight that must match.
 LEAST_MATCH = 0.8
@@ -162,7 +162,7 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast((templates, frequency, documents))
     carried = [c for c in docs.columns if c not in (text, "n_words", "found")]
     prepared = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("text"))
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
+    added = "n_words long, found array<struct<label:string,base:boolean,first_word:long,n_words:long,matched:double>>"
     find = pa.struct(
         [("label", pa.string()), ("base", pa.bool_()), ("first_word", pa.int64()), ("n_words", pa.int64()),
          ("matched", pa.float64())]
@@ -185,8 +185,4 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, text: str = "te
 
         return one
 
-    return per_batch(
-        prepared,
-        schema + "n_words long, found array<struct<label:string,base:boolean,first_word:long,n_words:long,matched:double>>",
-        make,
-    )
+    return per_batch(prepared, kinds(docs, carried, added), make)

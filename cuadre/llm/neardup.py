@@ -25,14 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import per_batch, raw, written
+from cuadre.llm.common import per_batch, raw, small_side, written
 from cuadre.llm.components import connected
 
 CHUNKS, WIDTH = 13, 5
 HASHES = CHUNKS * WIDTH
 BLOCK = 128
-#: Beyond so many classes to fetch texts for, ids are joined by a shuffle and no longer broadcast (8 bytes each).
-BROADCAST_IDS = 2_000_000
 
 _DRAW = np.random.default_rng(20240601)
 _FACTORS = _DRAW.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -146,10 +144,8 @@ def families(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
     """`wanted` (id, doc, and more) with the set of each class, read again from the text of its document."""
-    few = wanted.count() <= BROADCAST_IDS
     read = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    asked = wanted.select("id", "doc")
-    texts = read.join(F.broadcast(asked) if few else asked, "doc")
+    texts = read.join(small_side(wanted.select("id", "doc")), "doc")
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadre.llm import bpe, chat, langid, licences, neardup, ranking, rules, suffixes, warc
+from cuadre.llm import bpe, chat, langid, licences, neardup, ranking, rules, suffixes, tiling, warc
 from cuadre.llm.common import learn_fold, new_folder, table
 
 #: Folds whose labels are held out: doc_id hashes to this remainder.
@@ -38,18 +38,17 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_digests(docs, bpe.read_vocabulary(vocabulary_path()), "doc_id")
+    vocabulary = bpe.read_vocabulary(vocabulary_path())
+    return bpe.decode(bpe.encode(docs, vocabulary), vocabulary).select("doc_id", *token_columns())
 
 
-def token_digests(docs: DataFrame, vocabulary: str, *carried: str) -> DataFrame:
-    """Encodes, decodes, and digests both."""
-    decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
-    return decoded.select(
-        *carried,
+def token_columns() -> list[Column]:
+    """n_tokens, ids_sha256 and decoded_sha256 from the columns ids and text."""
+    return [
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    ]
 
 
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +63,13 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, with a row for each benchmark item that one holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tiling.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", "covered", "coverage", F.size("tiles").cast("long").alias("n_tiles"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
 
@@ -114,6 +120,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_suffixes": op4_suffixes,
+    "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
     "op8_licences": op8_licences,

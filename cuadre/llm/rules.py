@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import per_batch, raw, written
+from cuadre.llm.common import kinds, per_batch, raw, written
 from cuadre.llm.signals import NAMES, signals
 
 RISK = 0.1
@@ -58,7 +58,6 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with the counts of signals.NAMES in place of `text`."""
     carried = [c for c in docs.columns if c not in (text, *NAMES)]
     prepared = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("text"))
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -68,7 +67,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return one
 
-    return per_batch(prepared, schema + ", ".join(f"{n} long" for n in NAMES), make)
+    return per_batch(prepared, kinds(docs, carried, ", ".join(f"{n} long" for n in NAMES)), make)
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import per_batch, raw, written
+from cuadre.llm.common import kinds, per_batch, raw, row_keys, written
 from cuadre.llm.merge_sort import common_prefix, falling, merge_sorted, ranges_for
 
 LENGTH = 400
@@ -80,12 +80,6 @@ def anchors(text: bytes, length: int = LENGTH, seed: int = SEED) -> tuple[np.nda
     return place, first, last, hashes[place].view(np.int64)
 
 
-def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """`docs` with `text_a` and `text_b`, two 64-bit hashes of the text; equal texts have equal results."""
-    content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return docs.withColumn("text_a", F.xxhash64(content)).withColumn("text_b", F.xxhash64(content, F.lit("b")))
-
-
 def anchor_table(texts: DataFrame, length: int) -> DataFrame:
     """`texts` (row_a, row_b, text) -> row_a, row_b, place, first, last, seed, span (a hash of the span and of the
     anchor's place in it)."""
@@ -110,8 +104,8 @@ def anchor_table(texts: DataFrame, length: int) -> DataFrame:
             )
             ids = [batch.column(k).to_numpy(zero_copy_only=False)[row] for k in (0, 1)]
             columns = [*ids, *(x.astype(np.int32) for x in (place, first, last)), seed, span]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=names)
 
         return one
 
@@ -134,10 +128,10 @@ def spans_of(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 for x in asked:
                     p, a, b = x["place"], x["first"], x["last"]
                     found.append((x["seed"], x["span"], content[p : b + length], content[a:p][::-1], b - p))
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32()]
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32()]
             columns = list(zip(*found)) or [[]] * 5
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["seed", "span", "right", "left", "nearest"]
+                [pa.array(c, k) for c, k in zip(columns, types)], names=["seed", "span", "right", "left", "nearest"]
             )
 
         return one
@@ -225,8 +219,8 @@ def node_items(merged: DataFrame, length: int, least: int) -> DataFrame:
                 yield batch_of(found)
 
         def batch_of(found: list) -> pa.RecordBatch:
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
+            types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), types)], names=names)
 
         for batch in batches:
             parts, start = batch.column("part").to_pylist(), 0
@@ -275,9 +269,9 @@ def repeated_ranges(merged: DataFrame) -> DataFrame:
         return (seed, span, low, reach) if reach >= low else None
 
     def full(found, names):
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         columns = list(zip(*found)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=names)
 
     columns = ["part", "place", "lcp", "seed", "span", "low", "high"]
     ordered = merged.select(*columns).repartition("part").sortWithinPartitions("part", "place")
@@ -315,23 +309,22 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", as_text: bool = False
 ) -> DataFrame:
-    """`docs` with `kept` (the remaining bytes) and `removed`, an array of (begin, end) byte ranges.
+    """`docs` with `kept` (the remaining bytes, or the whole characters among them as text) and `removed`, an array of
+    (begin, end) byte ranges.
 
     Rows of equal id and text get the same result; each of them counts as an occurrence.
     """
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    rows = docs.withColumn("row_a", F.xxhash64(F.col(f"`{doc_id}`"), content)).withColumn(
-        "row_b", F.xxhash64(content, F.lit("b"), F.col(f"`{doc_id}`"))
-    )
-    texts = rows.select("row_a", "row_b", content.alias("text")).where(F.octet_length("text") >= length)
+    row_a, row_b = row_keys(doc_id, text)
+    carried = [c for c in docs.columns if c not in ("kept", "removed", "content", "row_a", "row_b", "found")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in carried], content.alias("content"), row_a, row_b)
+    texts = rows.select("row_a", "row_b", F.col("content").alias("text")).where(F.octet_length("text") >= length)
     found = repeated_windows(texts, length)
     spans = found.groupBy("row_a", "row_b").agg(F.collect_set(F.struct("begin", "end")).alias("found"))
-    joined = rows.join(spans, ["row_a", "row_b"], "left").drop("row_a", "row_b")
-    carried = [c for c in docs.columns if c not in ("kept", "removed")]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
-    prepared = joined.select(*[F.col(f"`{c}`") for c in carried], content.alias("content"), "found")
+    joined = rows.join(spans, ["row_a", "row_b"], "left")
+    prepared = joined.select(*[F.col(f"`{c}`") for c in carried], "content", "found")
     removed_kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def make():
@@ -348,11 +341,14 @@ def remove_repeats(
                 edges = [0, *(x for run in runs for x in run), len(content)]
                 kept.append(b"".join(content[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 removed.append([{"begin": a, "end": b} for a, b in runs])
+            if as_text:
+                kept = [x.decode("utf-8", "ignore") for x in kept]
             return pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(kept, pa.binary()), pa.array(removed, removed_kind)],
+                [*batch.columns[:-2], pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(removed, removed_kind)],
                 names=[*carried, "kept", "removed"],
             )
 
         return one
 
-    return per_batch(prepared, f"{kinds}, kept binary, removed array<struct<begin:long,end:long>>", make, 500)
+    schema = kinds(docs, carried, f"kept {'string' if as_text else 'binary'}, removed array<struct<begin:long,end:long>>")
+    return per_batch(prepared, schema, make, 500)
