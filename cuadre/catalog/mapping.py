@@ -1,9 +1,10 @@
 """Payables relations and ERP base tables over the star-schema test tables.
 
 Each entry is one SELECT in the SQL that Spark and DuckDB share, over tables
-named in braces. Every mapping reads its whole tables. Values are chosen so that
-each rule of the reports meets its branches: missing codes, rates and dates,
-other currencies, blank identifiers, orders without lines, unmatched accounts.
+named in braces. Every mapping reads its whole tables and keeps all their rows: lines
+that are no payment, prepayment or withholding get a key that matches nothing. Values
+are chosen so that each rule of the reports meets its branches: missing codes, rates and
+dates, other currencies, blank identifiers, orders without lines, unmatched accounts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+# the line's invoice, or a key that no invoice has
+PAID = "case when l.l_returnflag = 'R' then -l.l_orderkey else l.l_orderkey end"
+PREPAID = "case when l.l_returnflag = 'A' then l.l_orderkey else -l.l_orderkey end"
+WITHHELD = "case when l.l_linestatus = 'O' then l.l_orderkey else -l.l_orderkey end"
 PRICE = "cast(l.l_extendedprice as decimal(18,2))"
 TOTAL = "cast(o.o_totalprice as decimal(18,2))"
 PCT = "cast(round(l.l_tax * 100) as int)"
@@ -124,22 +129,22 @@ RELATION_SQL = {
           case when l.l_linenumber <> 7 then {_dec(f'{TAX_AMT} * cast(18.5 as decimal(4,2))')} end AS IMPUESTO_MXN
         FROM {{lineitem}} l""",
     "payments_v1": f"""
-        SELECT l.l_orderkey AS INVOICE_ID, cast(l.l_suppkey as string) AS NUM_PAGO,
+        SELECT {PAID} AS INVOICE_ID, cast(l.l_suppkey as string) AS NUM_PAGO,
           cast(l.l_shipdate as date) AS FECHA_PAGO, cast(l.l_shipdate as date) AS FECHA_APLICACION,
           'BANK-' || cast(l.l_suppkey % 3 as string) AS BANCO_CUENTA, {HALF} AS IMPORTE_PAGO,
           case when l.l_linenumber % 2 = 0 then {_dec(f'{PRICE} * cast(l.l_discount as decimal(4,2))')} end
             AS ADELANTO_APLICADO,
           {PAY_CURRENCY} AS MONEDA_PAGO, {PAY_FX} AS TC_PAGO
-        FROM {{lineitem}} l WHERE l.l_returnflag <> 'R'""",
+        FROM {{lineitem}} l""",
     "payments_v4": f"""
-        SELECT l.l_orderkey AS INVOICE_ID, l.l_partkey AS CHECK_ID, cast(l.l_suppkey as string) AS NUM_PAGO,
+        SELECT {PAID} AS INVOICE_ID, l.l_partkey AS CHECK_ID, cast(l.l_suppkey as string) AS NUM_PAGO,
           case when l.l_partkey % 8 <> 0 then 'BANK-' || cast(l.l_suppkey % 3 as string) end AS BANCO_CUENTA,
           case when l.l_partkey % 9 <> 0 then l.l_shipdate end AS FECHA_APLICACION, {HALF} AS IMPORTE_PAGO_USD,
           case when l.l_partkey % 5 <> 0 then {_dec(f'{HALF} * cast(18.5 as decimal(4,2))')} end AS IMPORTE_PAGO_MXN,
           {PAY_FX} AS TIPO_CAMBIO_PAGO, {PAY_CURRENCY} AS MONEDA_PAGO,
           case when l.l_partkey % 4 <> 0 then 'PAY ' || cast(l.l_partkey % 6 as string) end AS DESCRIPTION,
           l.l_shipdate AS FECHA_PAGO
-        FROM {{lineitem}} l WHERE l.l_returnflag <> 'R'""",
+        FROM {{lineitem}} l""",
     "schedules": f"""
         SELECT o.o_orderkey AS INVOICE_ID, o.k AS PAYMENT_NUM, o.o_orderdate AS FECHA_VENCIMIENTO,
           {_dec(f'{TOTAL} * cast(0.5 as decimal(4,2))')} AS IMPORTE_BRUTO_USD,
@@ -156,23 +161,23 @@ RELATION_SQL = {
           cast(p.p_size as string) AS CC_CUENTA
         FROM {{lineitem}} l JOIN {{part}} p ON l.l_partkey = p.p_partkey""",
     "withholding": f"""
-        SELECT l.l_orderkey AS INVOICE_ID, 'F-' || cast(l.l_orderkey as string) AS FACTURA,
+        SELECT {WITHHELD} AS INVOICE_ID, 'F-' || cast(l.l_orderkey as string) AS FACTURA,
           l.l_linenumber AS DISTRIBUTION_LINE_NUMBER, {_dec(f'-b.base * {HELD}')} AS RETENCION_USD,
           case when l.l_partkey % 5 <> 0 then {_dec(f'-{PRICE}')} end AS RETENCION_MXN, b.base AS MONTO_BASE,
           case l.l_suppkey % 6 when 0 then 'RET_ISR_4' when 1 then 'RET_ISR_125' when 2 then 'RET_IVA'
             when 3 then 'RET_ISR_10' when 4 then 'RET_IVA_6' else 'RET_OTRO' end AS CLASIFICACION_RETENCION
-        FROM {{lineitem}} l JOIN (SELECT f.l_orderkey, {_dec('sum(cast(f.l_extendedprice as decimal(18,2)))')} AS base
-            FROM {{lineitem}} f WHERE f.l_linestatus = 'F' GROUP BY f.l_orderkey) b ON l.l_orderkey = b.l_orderkey
-        WHERE l.l_linestatus = 'O'""",
+        FROM {{lineitem}} l LEFT JOIN (SELECT f.l_orderkey,
+              {_dec("sum(case when f.l_linestatus = 'F' then cast(f.l_extendedprice as decimal(18,2)) end)")} AS base
+            FROM {{lineitem}} f GROUP BY f.l_orderkey) b ON l.l_orderkey = b.l_orderkey""",
     "prepay_ers": f"""
-        SELECT l.l_orderkey AS INVOICE_ID, l.l_partkey AS PREPAY_INVOICE_ID,
+        SELECT {PREPAID} AS INVOICE_ID, l.l_partkey AS PREPAY_INVOICE_ID,
           {_dec(f'{PRICE} * cast(0.1 as decimal(4,2))')} AS ADELANTO_USD,
           case when l.l_partkey % 9 <> 0 then l.l_shipdate end AS FECHA_APLICACION,
           {PAY_CURRENCY} AS MONEDA, {PAY_FX} AS TIPO_CAMBIO, 'PREPAYMENT' AS TIPO_ORIGEN, cast(null as string) AS ERS,
           cast(null as string) AS ORDEN_COMPRA,
           case when l.l_suppkey % 8 < 3 then {PRICE} end AS ADELANTO_MXN,
           'ANT-' || cast(l.l_partkey % 12 as string) AS FACTURA_ADELANTO
-        FROM {{lineitem}} l WHERE l.l_returnflag = 'A'
+        FROM {{lineitem}} l WHERE l.l_returnflag <> 'N'
         UNION ALL
         SELECT null, null, null, l.l_shipdate, null, null, 'ERS',
           case when l.l_partkey % 6 <> 0 then 'RCV-' || cast(l.l_partkey as string) end,
@@ -199,9 +204,9 @@ RELATION_SQL = {
           case when o.o_orderkey % 3 = 0 then lower({CURRENCY}) else {CURRENCY} end AS INVOICE_CURRENCY_CODE
         FROM {{orders}} o""",
     "flow_payments": f"""
-        SELECT l.l_orderkey AS INVOICE_ID, cast(cast(l.l_shipdate as date) as string) AS ACCOUNTING_DATE,
+        SELECT {PAID} AS INVOICE_ID, cast(cast(l.l_shipdate as date) as string) AS ACCOUNTING_DATE,
           case when l.l_partkey % 41 = 0 then '' else cast({HALF} as string) end AS AMOUNT
-        FROM {{lineitem}} l WHERE l.l_returnflag <> 'R'""",
+        FROM {{lineitem}} l""",
 }
 
 BASE_SQL = {
@@ -241,11 +246,11 @@ BASE_SQL = {
             SELECT f.l_orderkey AS k, {_dec('sum(cast(f.l_extendedprice as decimal(18,2)))')} AS base
             FROM {{lineitem}} f WHERE f.l_linestatus = 'F' GROUP BY f.l_orderkey) b ON x.l_orderkey = b.k) l""",
     "AP_INVOICE_PAYMENTS_ALL": f"""
-        SELECT l.l_orderkey AS INVOICE_ID, l.l_suppkey AS CHECK_ID, l.l_shipdate AS ACCOUNTING_DATE,
+        SELECT {PAID} AS INVOICE_ID, l.l_suppkey AS CHECK_ID, l.l_shipdate AS ACCOUNTING_DATE,
           {HALF} AS AMOUNT, {_dec(f'{PRICE} * cast(l.l_discount as decimal(4,2))')} AS DISCOUNT_TAKEN,
           {_dec(f'{HALF} * cast(18.5 as decimal(4,2))')} AS INVOICE_BASE_AMOUNT, {PAY_FX} AS EXCHANGE_RATE,
           l.l_shipdate AS CREATION_DATE
-        FROM {{lineitem}} l WHERE l.l_returnflag <> 'R'""",
+        FROM {{lineitem}} l""",
     "AP_CHECKS_ALL": f"""
         SELECT case when s.s_suppkey % 11 = 0 then -1 - s.s_suppkey else s.s_suppkey end AS CHECK_ID, cast(s.s_suppkey + 5000 as string) AS CHECK_NUMBER,
           cast('1998-01-01' as date) + cast(s.s_suppkey as int) AS CHECK_DATE,
@@ -262,10 +267,10 @@ BASE_SQL = {
             else {_dec(f'{TOTAL} * cast(0.25 as decimal(4,2))')} end AS AMOUNT_REMAINING,
           99 AS PAYMENT_PRIORITY, o.o_orderdate AS CREATION_DATE
         FROM ({TWO_ROWS}) o""",
-    "AP_PREPAY_HISTORY_ALL": """
-        SELECT l.l_orderkey AS INVOICE_ID, (l.l_partkey * 11) % 1700 AS PREPAY_INVOICE_ID,
+    "AP_PREPAY_HISTORY_ALL": f"""
+        SELECT {PREPAID} AS INVOICE_ID, (l.l_partkey * 11) % 1700 AS PREPAY_INVOICE_ID,
           l.l_shipdate AS ACCOUNTING_DATE, l.l_shipdate AS CREATION_DATE
-        FROM {lineitem} l WHERE l.l_returnflag = 'A'""",
+        FROM {{lineitem}} l""",
     "AP_TERMS_LINES": """
         SELECT cast(r.r_regionkey % 3 as int) AS TERM_ID, 15 * (r.r_regionkey + 1) AS DUE_DAYS FROM {region} r""",
     "POZ_SUPPLIERS": """

@@ -13,9 +13,18 @@ from cuadre.operators.skew import fan_out, join_lookup
 NO_DESCRIPTION = "DESC NO ENCONTRADA"
 
 
+#: Columns that tell the rows of an invoice in a side apart; those present spread a hot invoice.
+IDENTITY = ("NUM_PAGO", "FECHA_APLICACION", "REQUISITION_NUMBER", "PAYMENT_NUM", "ACCOUNTING_DATE", "AMOUNT")
+
+
+def identity(side: DataFrame) -> list[str]:
+    """The columns of IDENTITY that `side` has, else all: a narrow hash, so that the others can be pruned."""
+    return [c for c in IDENTITY if c in side.columns] or side.columns
+
+
 def report_lines(invoices: DataFrame, sides: list[DataFrame], **skew) -> DataFrame:
     """invoice × side × side rows; invoices without side rows stay."""
-    return fan_out(invoices, sides, "INVOICE_ID", **skew)
+    return fan_out(invoices, sides, "INVOICE_ID", spread=[identity(s) for s in sides], **skew)
 
 
 def merge_schedule_payment(invoices: DataFrame, schedules: DataFrame, payments: DataFrame, **skew) -> DataFrame:
@@ -26,7 +35,8 @@ def merge_schedule_payment(invoices: DataFrame, schedules: DataFrame, payments:
     schedules = schedules.withColumnsRenamed(
         {c: f"{c}_SCHED" for c in schedules.columns if c in invoices.columns and c != "INVOICE_ID"}
     )
-    return fan_out(invoices, [schedules, payments], "INVOICE_ID", clash="_PAY", **skew)
+    sides = [schedules, payments]
+    return fan_out(invoices, sides, "INVOICE_ID", clash="_PAY", spread=[identity(s) for s in sides], **skew)
 
 
 def left_join_first(left: DataFrame, right: DataFrame, on: str, order: list[Column]) -> DataFrame:

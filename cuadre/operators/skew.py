@@ -2,14 +2,21 @@
 
 AQE splits a skewed partition only on the preserved side of an outer join, and
 only where a shuffle feeds the join directly. Two shapes of this domain fall
-outside that: an invoice with very many payments (skew on the optional side),
-and many rows looking up an aggregated side (no shuffle right below the join).
-Both are salted here, exactly: no row is dropped, capped or sampled.
-
-Hot keys are found by counting (partial aggregation, key column only). A key
-with more than `cell_rows` rows is hot and gets one cell per `cell_rows` rows.
-The list of hot keys is broadcast; it holds at most MAX_HOT keys per relation,
-the largest first, so any key beyond it has less than 1/MAX_HOT of the rows.
+outside that: an invoice with very many payments and requisitions (the rows that
+come out are their product), and many rows looking up an aggregated side (no
+shuffle right below the join). Both are salted here, exactly: no row is dropped,
+capped or sampled.
+
+Hot keys are found by counting (partial aggregation, key column only). The work
+of a key is the number of rows that the join yields for it. A key is hot when its
+work is over `cell_rows` and over 1/SHARES of the work of all keys, and is cut into
+cells of about that much work. So there are fewer than SHARES hot keys, however
+large the relations are, and their list may be broadcast; and what a key that is
+not hot gives to a task is less than an even share of SHARES tasks.
+
+Cells come from hashes of the key and of given columns, nothing else: the plans stay
+deterministic, so filters and column pruning reach the scans, and a rerun task
+repeats them.
 """
 
 from __future__ import annotations
@@ -22,22 +29,48 @@ from pyspark.sql import functions as F
 
 from cuadre.operators.columns import named, settle_clash
 
-MAX_HOT = 100_000
-MAX_CELLS = 10_000
 CELL_ROWS = 10_000
+SHARES = 100_000
+#: Rows without a key match nothing; they spread over so many cells.
+LOOSE_CELLS = 2**31 - 1
 
 
-def hot_keys(df: DataFrame, on: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(key, _size): at most MAX_HOT keys over `cell_rows` rows and their cells."""
-    return (
-        df.where(named(on).isNotNull())
-        .groupBy(on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > cell_rows)
-        .orderBy(F.desc("_rows"), on)
-        .limit(MAX_HOT)
-        .select(on, F.least(F.ceil(F.col("_rows") / cell_rows), F.lit(MAX_CELLS)).cast("int").alias("_size"))
-    )
+def key_counts(df: DataFrame, on: str) -> DataFrame:
+    """(key, _rows) of the keys of `df`."""
+    return df.where(named(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_keys(counts: list[DataFrame], on: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(key, _size0, _size1, …): hot keys and into how many cells each side is cut; fewer than SHARES rows.
+
+    `counts` has a (key, _rows) relation for each side. The product of a key's sizes is about its work by the
+    work of one cell. A size is NULL where a side is not cut.
+    """
+    sides = range(len(counts))
+    tagged = [c.where(F.col("_rows") > 1).withColumn("_side", F.lit(i)) for i, c in zip(sides, counts)]
+    by_side = [F.max(F.when(F.col("_side") == i, F.col("_rows"))) for i in sides]
+    rows = [F.coalesce(F.col(f"_rows{i}"), F.lit(1)).cast("double") for i in sides]
+    work = reduce(lambda a, b: a * b, rows)
+    merged = reduce(DataFrame.unionByName, tagged).groupBy(on)
+    merged = merged.agg(*[c.alias(f"_rows{i}") for i, c in zip(sides, by_side)]).withColumn("_work", work)
+    total = merged.agg(F.coalesce(F.sum("_work"), F.lit(0.0))).scalar()
+    hot = merged.withColumn("_cell_work", F.greatest(F.lit(float(cell_rows)), total / SHARES))
+    hot = hot.where(F.col("_work") > F.col("_cell_work"))
+    sizes = [F.ceil(r / _rows_per_cell(rows, i)).cast("int") for i, r in zip(sides, rows)]
+    return hot.select(on, *[F.when(s > 1, s).alias(f"_size{i}") for i, s in zip(sides, sizes)])
+
+
+def _rows_per_cell(rows: list[Column], i: int) -> Column:
+    """Rows of side i in a cell, so that the product over the sides is about the work of a cell."""
+    work = F.col("_cell_work")
+    if len(rows) == 1:
+        return work
+    if len(rows) == 2:
+        # the smaller side is cut less: it may fit a cell whole
+        small = F.least(F.least(*rows), F.sqrt(work))
+        is_small = rows[0] <= rows[1] if i == 0 else rows[1] < rows[0]
+        return F.when(is_small, small).otherwise(work / small)
+    return F.pow(work, F.lit(1 / len(rows)))
 
 
 def fan_out(
@@ -47,44 +80,47 @@ def fan_out(
     clash: str = "left",
     after: list[Callable[[DataFrame], DataFrame]] = (),
     cell_rows: int = CELL_ROWS,
+    spread: list[list[str]] | None = None,
+    counted: list[DataFrame | None] | None = None,
 ) -> DataFrame:
     """base LEFT JOIN side LEFT JOIN side … on one key, every combination kept.
 
-    A key hot in side i is cut into cells along dimension i. A row of side i
-    sits in one cell of its own dimension and in all cells of the others; the
+    A hot key is cut into a grid of cells, with a dimension for each side. A row of
+    side i sits in one cell of its own dimension and in all cells of the others; the
     base row sits in all cells. Every pair of side rows of a key then meets in
     exactly one cell. All relations are shuffled once, on (key, cells). The
     copies made are few against the combinations that the join yields. A base
-    row whose cell has no row of a hot side is a by-product and is dropped: the
-    key being hot, the side does have rows for it in other cells.
+    row whose cell has no row of a cut side is a by-product and is dropped: the
+    side being cut, it does have rows of the key in other cells.
 
+    `spread[i]` names columns that tell the rows of a key in side i apart; rows that agree in
+    all of them share a cell. Without it all columns of the side count. `counted[i]` stands in
+    for side i when keys are counted: a table with the same keys that costs less to read.
     `after[i]` adds columns once side i is joined, before the next side
     multiplies the rows.
     """
     sizes = [f"_size{i}" for i in range(len(sides))]
     cells = [f"_cell{i}" for i in range(len(sides))]
-    found = reduce(
-        DataFrame.unionByName,
-        [hot_keys(side, on, cell_rows).withColumn("_side", F.lit(i)) for i, side in enumerate(sides)],
-    )
-    hot = F.broadcast(
-        found.groupBy(on).agg(
-            *[F.max(F.when(F.col("_side") == i, F.col("_size"))).alias(size) for i, size in enumerate(sizes)]
-        )
-    )
+    counted = counted or [None] * len(sides)
+    counts = [key_counts(side if c is None else c, on) for side, c in zip(sides, counted)]
+    hot = F.broadcast(hot_keys(counts, on, cell_rows))
 
     def place(df: DataFrame, own: int | None) -> DataFrame:
-        row_hash = _row_hash(df.columns)
         placed = df.join(hot, on, "left")
-        for i, cell in enumerate(cells):
-            size = F.coalesce(F.col(sizes[i]), F.lit(1))
-            if i == own:
-                placed = placed.withColumn(cell, _own_cell(row_hash, size))
-            else:
+        others = [F.coalesce(F.col(size), F.lit(1)) for i, size in enumerate(sizes) if i != own]
+        # a clash may have renamed or dropped some
+        columns = [] if own is None else [c for c in (spread[own] if spread else []) if c in df.columns] or df.columns
+        mine = None if own is None else _own_cell([on, *columns], F.coalesce(F.col(sizes[own]), F.lit(1)))
+        if others:
+            grid = _grid(others)
+            if own is None:
                 # only the base still has NULL keys when it is joined; they match nothing, anywhere
-                loose = F.when(named(on).isNull(), F.array(_own_cell(row_hash, F.lit(MAX_CELLS))))
-                placed = placed.withColumn(cell, F.explode(loose.otherwise(_range(size))))
-        return placed
+                loose = F.array(F.array(*[_own_cell(df.columns[:3], F.lit(LOOSE_CELLS))] * len(others)))
+                grid = F.when(named(on).isNull(), loose).otherwise(grid)
+            placed = placed.withColumn("_at", F.explode(grid))
+        taken = iter(range(len(others)))
+        at = {cell: mine if i == own else F.get("_at", next(taken)) for i, cell in enumerate(cells)}
+        return placed.withColumns(at).drop("_at")
 
     result = place(base, None)
     for i, side in enumerate(sides):
@@ -122,27 +158,34 @@ def join_lookup(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    hot = F.broadcast(hot_keys(left if counted is None else counted, on, cell_rows))
-    size = F.when(named(on).isNull(), MAX_CELLS).otherwise(F.coalesce(F.col("_size"), F.lit(1)))
-    placed = left.join(hot, on, "left").withColumn("_cell", _own_cell(_row_hash(spread), size)).drop("_size")
+    counts = key_counts(left if counted is None else counted, on)
+    hot = F.broadcast(hot_keys([counts], on, cell_rows))
+    size = F.when(named(on).isNull(), LOOSE_CELLS).otherwise(F.coalesce(F.col("_size0"), F.lit(1)))
+    placed = left.join(hot, on, "left").withColumn("_cell", _own_cell(spread, size)).drop("_size0")
     copied = (
         settle_clash(left, right, [on], clash)
         .join(hot, on, "left")
-        .withColumn("_cell", F.explode(_range(F.coalesce(F.col("_size"), F.lit(1)))))
-        .drop("_size")
+        .withColumn("_cell", F.explode(_range(F.coalesce(F.col("_size0"), F.lit(1)))))
+        .drop("_size0")
     )
     return placed.join(copied, [on, "_cell"], how).drop("_cell")
 
 
-def _row_hash(columns: list[str]) -> Column:
-    """Spreads rows over cells. The partition number sets exact copies of a row
-    apart; it and the rows of a partition are the same when a lost task is rerun."""
-    return F.xxhash64(*[named(c) for c in columns], F.spark_partition_id())
-
-
-def _own_cell(row_hash: Column, size: Column) -> Column:
-    return F.pmod(row_hash, size).cast("int")
+def _own_cell(columns: list[str], size: Column) -> Column:
+    return F.pmod(F.xxhash64(*[named(c) for c in columns]), size).cast("int")
 
 
 def _range(size: Column) -> Column:
     return F.sequence(F.lit(0), size - 1)
+
+
+def _grid(sizes: list[Column]) -> Column:
+    """All combinations of cell numbers, as arrays; a single one where nothing is cut."""
+    def crossed(grid: Column, size: Column) -> Column:
+        return F.flatten(
+            F.transform(grid, lambda cell: F.transform(_range(size), lambda x: F.concat(cell, F.array(x))))
+        )
+
+    grid = reduce(crossed, sizes[1:], F.transform(_range(sizes[0]), lambda x: F.array(x)))
+    whole = reduce(lambda a, b: a & b, [s == 1 for s in sizes])
+    return F.when(whole, F.array(F.array(*[F.lit(0)] * len(sizes)))).otherwise(grid)

@@ -21,7 +21,6 @@ from cuadre.operators.columns import (
     select_ordered,
     select_present,
 )
-from cuadre.operators.skew import fan_out
 from cuadre.sources import spec
 
 HEADER_AMOUNTS = ["IMPORTE", "IVA", "RET_IVA", "RET_ISR", "RET_ISR_4"]
@@ -163,7 +162,7 @@ def report_historical_fx(invoices: DataFrame, payments: DataFrame, rates: DataFr
         {"_payment_day": dates.to_date("ACCOUNTING_DATE"), "AMOUNT": to_number("AMOUNT")}
     )
     payments = joins.with_daily_rate(payments, daily, "_payment_day", "TASA_FECHA_PAGO")
-    rows = fan_out(invoices, [payments], "INVOICE_ID", clash="_PAGO", **skew)
+    rows = joins.report_lines(invoices, [payments], clash="_PAGO", **skew)
     rows = rows.withColumn("AMOUNT", or_zero("AMOUNT"))
     rows = rows.withColumns(
         {
@@ -222,7 +221,7 @@ def report_schedule_payment(
     # amounts of the sides come from the sides; a narrow core is what gets shuffled
     core = core.select(*[c for c in core.columns if c in wanted])
 
-    schedules = select_present(schedules, ["INVOICE_ID", "IMPORTE_BRUTO_USD", "SALDO_USD"])
+    schedules = select_present(schedules, ["INVOICE_ID", "PAYMENT_NUM", "IMPORTE_BRUTO_USD", "SALDO_USD"])
     payments = select_present(
         payments,
         ["INVOICE_ID", "NUM_PAGO", "BANCO_CUENTA", "FECHA_APLICACION", "IMPORTE_PAGO_USD", "TIPO_CAMBIO_PAGO",

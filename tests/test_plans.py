@@ -6,7 +6,7 @@ import pytest
 
 from cuadre.catalog.mapping import base_tables
 from cuadre.catalog.queries import QUERIES
-from cuadre.operators.skew import MAX_HOT
+from cuadre.operators.skew import SHARES
 from cuadre.plans import extracts
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,9 +33,9 @@ def test_beyond_broadcast_size_only_bounded_sides_are_broadcast(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("BroadcastExchange") >= 1
-    # each broadcast is a list of hot keys, cut to MAX_HOT per relation
+    # each broadcast is a list of hot keys: keys beyond an even share of all work, so fewer than SHARES
     for part in plan.split("BroadcastExchange")[1:]:
-        assert f"limit={MAX_HOT}" in part
+        assert "_cell_work" in part and f"/ {float(SHARES)}" in part
 
 
 def test_fan_out_shuffles_each_relation_once_on_key_and_cells(spark):
@@ -62,3 +62,22 @@ def test_date_bound_and_columns_reach_the_scan(spark):
 def test_limited_lists_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(QUERIES["a5_distinct_list"](spark, SF_DIR))
     assert "WindowGroupLimit" in plan_of(QUERIES["o2_first_row"](spark, SF_DIR))
+
+
+def test_reports_are_pruned(spark):
+    """A column that the report's reader does not ask for is not computed."""
+    plan = plan_of(QUERIES["r2"](spark, SF_DIR).select("FACTURA"))
+    assert "IVA16" not in plan and "l_extendedprice" not in plan and "l_tax" not in plan
+
+
+def test_date_bound_on_a_report_reaches_the_invoice_scan(spark):
+    plan = plan_of(QUERIES["r2"](spark, SF_DIR).where("FECHA >= DATE'1997-01-01'"))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "o_totalprice" in line]
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in line for line in scans)
+
+
+def test_bound_on_a_computed_date_is_checked_at_the_scan(spark):
+    """The invoice date of r6 is a CASE, which no scan can be given: the rows go right behind the scan."""
+    plan = plan_of(QUERIES["r6"](spark, SF_DIR).where("FECHA >= DATE'1997-01-01'")).splitlines()
+    filters = [i for i, line in enumerate(plan) if "Filter (" in line and "o_orderdate" in line]
+    assert filters and all(any("FileScan" in line for line in plan[i + 1 : i + 3]) for i in filters)

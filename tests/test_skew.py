@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cuadre.session import sized_for
-from cuadre.operators.skew import _own_cell, _row_hash, fan_out, hot_keys, join_lookup
+from cuadre.operators import skew
+from cuadre.operators.skew import fan_out, hot_keys, join_lookup, key_counts
 from tests.conftest import rows
 
 SCHEMA_A = "k int, a int"
@@ -44,9 +45,21 @@ def test_copies_on_a_hot_key(spark):
     assert got.where("k = 1").count() == 2 * 25 * 3
 
 
-def test_copies_are_set_apart(spark):
-    df = spark.range(64, numPartitions=16).select(F.lit(1).alias("k"), F.lit("copy").alias("v"))
-    assert df.select(_own_cell(_row_hash(["k", "v"]), F.lit(8)).alias("cell")).distinct().count() > 3
+def test_product_of_a_key_is_spread(spark):
+    base = spark.createDataFrame([(1, 0)], SCHEMA_A)
+    b = spark.range(300).selectExpr("1 AS k", "cast(id as int) AS b")
+    c = spark.range(300).selectExpr("1 AS k", "cast(id as int) AS c")
+    # neither side has as many rows as a cell has work; their product does
+    sizes = hot_keys([key_counts(b, "k"), key_counts(c, "k")], "k", 1_000).first()
+    assert sizes["_size0"] >= 9 and sizes["_size1"] >= 9
+    got = salted(base, b, c, cell_rows=1_000)
+    assert got.count() == 90_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = salted(base, b, c, cell_rows=1_000).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 0.4 * 90_000
 
 
 pairs = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 9))), max_size=12)
@@ -94,14 +107,24 @@ def test_lookup_rejects_other_joins(spark):
         join_lookup(df, df, "k", ["a"], "full")
 
 
-def test_hot_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr("cuadre.operators.skew.MAX_HOT", 2)
+def sizes_of(df, cell_rows):
+    return rows(hot_keys([key_counts(df, "k")], "k", cell_rows))
+
+
+def test_hot_keys(spark):
     df = spark.createDataFrame([(k, 0) for k in (1, 1, 1, 2, 2, 3, 3, 4, None, None, None, None)], SCHEMA_A)
-    assert rows(hot_keys(df, "k", 1)) == [(1, 3), (2, 2)]
-    assert rows(hot_keys(df, "k", 2)) == [(1, 2)]
-    assert rows(hot_keys(df, "k", 3)) == []
-    monkeypatch.setattr("cuadre.operators.skew.MAX_CELLS", 2)
-    assert rows(hot_keys(df, "k", 1)) == [(1, 2), (2, 2)]
+    assert sizes_of(df, 1) == [(1, 3), (2, 2), (3, 2)]
+    assert sizes_of(df, 2) == [(1, 2)]
+    assert sizes_of(df, 3) == []
+
+
+def test_there_are_fewer_hot_keys_than_shares(spark, monkeypatch):
+    """However many keys are large: a key is hot only beyond an even share of all the work."""
+    monkeypatch.setattr(skew, "SHARES", 8)
+    df = spark.range(400).selectExpr("cast(id % 20 as int) AS k", "0 AS a").union(
+        spark.range(90).selectExpr("99 AS k", "0 AS a")
+    )
+    assert sizes_of(df, 1) == [(99, 2)]  # 490 rows: a share is 61
 
 
 def test_partition_sizes():
