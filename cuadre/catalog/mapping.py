@@ -43,6 +43,7 @@ APPROVAL = (
 )
 UUID = "case o.o_orderkey % 10 when 0 then null when 1 then '  ' else md5(cast(o.o_orderkey as string)) end"
 ORDER_NO = "case when o.o_orderkey % 13 <> 0 then 'PO-' || cast(o.o_custkey as string) end"
+FEW_ORDERS = "case when o.o_orderkey % 13 <> 0 then 'PO-' || cast(o.o_custkey % 50 as string) end"
 TAX_CODE = (
     f"case {PCT} when 1 then 'IVA16' when 2 then 'iva8' when 3 then 'RET_ISR_4' when 4 then 'RET_ISR_10' "
     "when 5 then 'RET_IVA' when 6 then 'IEPS' when 7 then 'RET_IVA_4' when 8 then 'OTHER' end"
@@ -350,6 +351,16 @@ BASE_SQL = {
         FROM {part} p JOIN {region} r ON p.p_size % 2 = r.r_regionkey % 2""",
 }
 
+# few orders with many receipts each, as the receipts of one order grow with the data
+RELATION_SQL["invoices_v2_few"] = RELATION_SQL["invoices_v2"].replace(ORDER_NO, FEW_ORDERS)
+RELATION_SQL["prepay_ers_few"] = RELATION_SQL["prepay_ers"].replace("'PO-' || cast(o.o_custkey +", "'PO-' || cast(o.o_custkey % 50 +")
+# amounts as doubles, some of them no number
+RELATION_SQL["amounts_double"] = """
+        SELECT l.l_orderkey AS INVOICE_ID, l.l_linenumber AS LINE,
+          case when l.l_linenumber = 3 then cast('NaN' as double) else l.l_extendedprice end AS AMOUNT,
+          case when l.l_linenumber = 4 then cast(null as double) else l.l_discount end AS DISCOUNT
+        FROM {lineitem} l"""
+
 _PLACE = re.compile(r"\{(\w+)\}")
 
 

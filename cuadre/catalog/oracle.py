@@ -841,23 +841,27 @@ _add("r6", _R6_NAMES, "SELECT * EXCLUDE (INVOICE_ID) FROM r6", **_R6_STEPS)
 _add(
     "q2_summary",
     _R6_NAMES,
-    f"""
+    """
 SELECT count(*) AS row_count, count(DISTINCT INVOICE_ID) AS invoice_count, count(DISTINCT PROVEEDOR) AS supplier_count,
-  {m2('sum(IMPORTE_BRUTO_USD)')} AS total_usd, {m2('sum(IMPORTE_MXN)')} AS total_mxn, count(NUM_PAGO) AS paid_rows,
-  count(*) FILTER (WHERE SALDO_USD > 0) AS pending_usd,
+  (SELECT cast(sum(u) as decimal(38,2)) FROM once) AS total_usd,
+  (SELECT cast(sum(m) as decimal(38,2)) FROM once) AS total_mxn,
+  cast(sum(IMPORTE_BRUTO_USD) as decimal(38,2)) AS row_total_usd, cast(sum(IMPORTE_MXN) as decimal(38,2)) AS row_total_mxn,
+  count(NUM_PAGO) AS paid_rows, count(*) FILTER (WHERE SALDO_USD > 0) AS pending_usd,
   count(*) FILTER (WHERE SALDO_USD > 0 OR SALDO_MXN_CALC > 0) AS pending_any,
   min(FECHA) AS first_date, max(FECHA) AS last_date FROM r6""",
     **_R6_STEPS,
+    # from the schedules themselves, not from the report
+    once=f"""SELECT {usd('s.IMPORTE_BRUTO_USD', 'i.cur')} AS u, {mxn('s.IMPORTE_BRUTO_USD', 'i.cur', 'i.fx')} AS m
+FROM i JOIN schedules s ON s.INVOICE_ID = i.INVOICE_ID""",
 )
-_HELD_OUT = ", ".join(
-    f"h.{c}_USD AS {'RETENCION' + c[3:]}" for c in ("RET_ISR_4", "RET_ISR_125", "RET_ISR_10", "RET_IVA", "RET_OTRO")
+_HELD_OUT = (
+    "h.RET_ISR_4_USD AS RETENCION_ISR_4, h.RET_ISR_125_USD AS RETENCION_ISR_125, h.RET_ISR_10_USD AS RETENCION_ISR_10, "
+    "h.RET_IVA_USD AS RETENCION_IVA, h.RET_OTRO_USD AS RETENCION_OTRO"
 )
 _HELD_MXN = ", ".join(f"h.{c}_MXN" for c in ("RET_ISR_4", "RET_ISR_125", "RET_ISR_10", "RET_IVA", "RET_OTRO"))
-_add(
-    "r7",
-    "invoices_v2 taxes_v4 withholding distributions payments_v4 prepay_ers",
-    f"""
-SELECT i.EMPRESA, i.NUM_PROV, i.PROVEEDOR, i.RFC, i.FACTURA, a.ERS, i.TIPO, i.UUID, i.ORIGEN, i.ESTATUS,
+_R7_NAMES = "invoices_v2 taxes_v4 withholding distributions payments_v4 prepay_ers"
+_R7 = f"""
+SELECT i.INVOICE_ID, i.EMPRESA, i.NUM_PROV, i.PROVEEDOR, coalesce(i.RFC, i.INCOME_TAX_ID) AS RFC, i.FACTURA, a.ERS, i.TIPO, i.UUID, i.ORIGEN, i.ESTATUS,
   d.CUENTA_CONTABLE_GASTO, d.CC_DEPARTAMENTO, i.FECHA, p.FECHA_PAGO, p.FECHA_APLICACION, {week('i.FECHA')} AS SEMANA,
   cast(month(i.FECHA) as int) AS MES, {week('p.FECHA_PAGO')} AS SEMANA_PAGO,
   cast(month(p.FECHA_PAGO) as int) AS MES_PAGO, p.NUM_PAGO, d.DESCRIPTION, p.BANCO_CUENTA, a.ADELANTO_USD AS ADELANTO,
@@ -867,18 +871,50 @@ SELECT i.EMPRESA, i.NUM_PROV, i.PROVEEDOR, i.RFC, i.FACTURA, a.ERS, i.TIPO, i.UU
   {m2('coalesce(i.INVOICE_AMOUNT, 0) - coalesce(p.IMPORTE_PAGO_USD, 0) - coalesce(a.ADELANTO_USD, 0)')} AS SALDO,
   a.ADELANTO_MXN, p.IMPORTE_PAGO_MXN, t.IVA_MXN, {_HELD_MXN}, i.TIPO_CAMBIO_FACTURA, p.TIPO_CAMBIO_PAGO, i.MONEDA,
   i.INVOICE_AMOUNT AS IMPORTE, i.TOTAL_TAX_AMOUNT, i.ORDEN_COMPRA, a.FACTURA_ADELANTO, a.TIPO_ORIGEN, i.DUE_DAYS,
-  i.ORGANIZATION_TYPE_LOOKUP_CODE, i.GLOBAL_ATTRIBUTE1, i.INCOME_TAX_ID, t.OTROS_TAX_USD, t.OTROS_TAX_MXN,
+  i.ORGANIZATION_TYPE_LOOKUP_CODE, i.GLOBAL_ATTRIBUTE1, t.OTROS_TAX_USD, t.OTROS_TAX_MXN,
   h.RET_IVA_6_USD, h.RET_IVA_6_MXN
 FROM invoices_v2 i LEFT JOIN t ON t.INVOICE_ID = i.INVOICE_ID LEFT JOIN h ON h.INVOICE_ID = i.INVOICE_ID
   LEFT JOIN d ON d.INVOICE_ID = i.INVOICE_ID LEFT JOIN p ON p.INVOICE_ID = i.INVOICE_ID
-  LEFT JOIN a ON a.INVOICE_ID = i.INVOICE_ID""",
-    t=PIVOT_V4,
-    h=PIVOT_HELD,
-    d=PRINCIPAL,
-    p=AGG_PAY,
-    a=AGG_PREP,
+  LEFT JOIN a ON a.INVOICE_ID = i.INVOICE_ID"""
+_R7_STEPS = {"t": PIVOT_V4, "h": PIVOT_HELD, "d": PRINCIPAL, "p": AGG_PAY, "a": AGG_PREP, "r7": _R7}
+_add("r7", _R7_NAMES, "SELECT * EXCLUDE (INVOICE_ID) FROM r7", **_R7_STEPS)
+_add(
+    "r7_rows",
+    _R7_NAMES,
+    "SELECT * EXCLUDE (NUM_PAGO, BANCO_CUENTA, ERS, FACTURA_ADELANTO, TIPO_ORIGEN) FROM r7",
+    **_R7_STEPS,
 )
 
+
+def _values(relation: str, key: str, column: str, name: str, where: str = "true") -> str:
+    """The distinct values of a column by key, each with its first place from the latest date backwards."""
+    return f"""SELECT {key}, '{name}' AS list, {column} AS "value",
+  case when count(*) = count(FECHA_APLICACION) then min(-epoch_us(FECHA_APLICACION)) end AS "first"
+FROM {relation} WHERE {key} IS NOT NULL AND {column} IS NOT NULL AND {where} GROUP BY {key}, {column}"""
+
+
+_add(
+    "r7_lists",
+    "payments_v4 prepay_ers",
+    " UNION ALL ".join(
+        [_values("payments_v4", "INVOICE_ID", c, c) for c in ("NUM_PAGO", "BANCO_CUENTA", "DESCRIPTION")]
+        + [_values("prepay_ers", "INVOICE_ID", c, c) for c in ("TIPO_ORIGEN", "ERS", "ORDEN_COMPRA", "FACTURA_ADELANTO")]
+    ),
+)
+_add("r6_receipts", "prepay_ers_few", _values("prepay_ers_few", "ORDEN_COMPRA", "ERS", "ERS", "TIPO_ORIGEN = 'ERS'"))
+_FEW = {"invoices_v2": "SELECT * FROM invoices_v2_few", "prepay_ers": "SELECT * FROM prepay_ers_few"}
+_R6_ROWS = {k: v for k, v in _R6_STEPS.items() if k != "e"}
+_R6_ROWS["r6"] = _R6_ROWS["r6"].replace("e.ERS,", "i.ORDEN_COMPRA,").replace(
+    "LEFT JOIN e ON e.ORDEN_COMPRA = i.ORDEN_COMPRA", ""
+)
+_add(
+    "r6_rows",
+    "invoices_v2_few schedules payments_v4 distributions taxes_v2 prepay_ers_few",
+    "SELECT * EXCLUDE (INVOICE_ID) FROM r6",
+    **{**_FEW, **_R6_ROWS},
+)
+
+
 # ---- profiles ----------------------------------------------------------------
 
 _V1_TYPES = {
@@ -922,3 +958,22 @@ _add(
         for c in _V1_TYPES
     ),
 )
+_EXPECTED = {"INVOICE_ID", "FACTURA", "UUID", "ESTATUS_PAGO"}
+_add(
+    "q7_unexpected",
+    "invoices_v1",
+    "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{k}' AS data_type, count(*) - count({c}) AS null_count, count({c}) AS value_count,
+  count(DISTINCT {c}) + (case when count(*) > count({c}) then 1 else 0 end) AS distinct_count FROM invoices_v1"""
+        for c, k in _V1_TYPES.items()
+        if c not in _EXPECTED
+    ),
+)
+_add("s5_peek", "invoices_v1", "SELECT * FROM invoices_v1 ORDER BY INVOICE_ID LIMIT 3")
+_add(
+    "k2_no_nan",
+    "amounts_double",
+    """SELECT INVOICE_ID, LINE, case when not isnan(AMOUNT) then AMOUNT end AS AMOUNT,
+  case when not isnan(DISCOUNT) then DISCOUNT end AS DISCOUNT FROM amounts_double""",
+)
+ORACLE["o1_extract_order"] = ORACLE["e9_schedules"]

@@ -15,7 +15,7 @@ from cuadre.operators import aggregates as agg
 from cuadre.operators import joins, profile
 from cuadre.operators.columns import ensure_money, reindex
 from cuadre.plans import extracts, reports
-from cuadre.sources import files, spec
+from cuadre.sources import files, sinks, spec
 
 # The test tables run from 1995 to 2001; the extracts' own bound lies after them.
 SINCE = dt.date(1996, 6, 1)
@@ -64,6 +64,9 @@ _base("e15_withholding")(lambda t: extracts.withholding(t, SINCE))
 # ---- sources -----------------------------------------------------------------
 
 _relation("s4_conform")(lambda r: files.conform(r["invoices_v1"], spec.INVOICES_V1))
+_relation("s5_peek")(lambda r: files.peek(r["invoices_v1"].orderBy("INVOICE_ID")))
+_relation("k2_no_nan")(lambda r: sinks.replace_nan(r["amounts_double"]))
+_base("o1_extract_order")(lambda t: extracts.in_extract_order(extracts.schedules(t, SINCE), "schedules"))
 _relation("s3_nullify")(lambda r: files.nullify_tokens(r["flow_payments"]))
 _relation("p2_reindex")(
     lambda r: reindex(r["invoices_v1"], ["FACTURA", "TC_FACTURA", "INVOICE_ID"], {"TC_FACTURA": spec.RATE})
@@ -416,6 +419,21 @@ _relation("r7")(
     )
 )
 
+_relation("r6_rows")(
+    lambda r: reports.report_schedule_payment(
+        r["invoices_v2_few"], r["schedules"], r["payments_v4"].drop("DESCRIPTION", "FECHA_PAGO"), r["distributions"],
+        r["taxes_v2"], r["prepay_ers_few"], lists="rows",
+    )
+)
+_relation("r6_receipts")(lambda r: agg.receipt_values(r["prepay_ers_few"]))
+_relation("r7_rows")(
+    lambda r: reports.report_invoice_v4(
+        _invoices_v4(r), r["taxes_v4"], r["withholding"], r["distributions"], r["payments_v4"], r["prepay_ers"],
+        lists="rows",
+    )
+)
+_relation("r7_lists")(lambda r: reports.invoice_lists(r["payments_v4"], r["prepay_ers"]))
+
 # ---- profiles ----------------------------------------------------------------
 
 _relation("q1_profile")(lambda r: profile.profile(r["invoices_v1"]))
@@ -425,4 +443,5 @@ _relation("q4_codes")(lambda r: profile.withholding_code_profile(r["taxes_v2"]))
 _relation("q4_containing")(
     lambda r: profile.codes_containing(r["taxes_v2"]).select("INVOICE_ID", "TAX_TYPE_CODE", "IMPUESTO_MXN")
 )
+_relation("q7_unexpected")(lambda r: profile.unexpected_columns(r["invoices_v1"], list(spec.INVOICES_NET.columns)))
 _relation("q5_width")(lambda r: profile.width_profile(r["invoices_v1"]))

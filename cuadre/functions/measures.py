@@ -150,6 +150,3 @@ def with_periods(df: DataFrame, style: str, columns: dict[str, str] | None = Non
         added[f"MES{suffix}"] = dates.month(column, style)
     return df.withColumns(added)
 
-
-def payment_rate(column: str = "TC_PAGO", zero_is_one: bool = True) -> Column:
-    return rate_or_one(column, zero_is_one)

@@ -15,8 +15,8 @@ def zero() -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Round half up to cents."""
-    return _col(c).cast(MONEY)
+    """Round half up to cents; an amount of more than 16 digits before the point is NULL."""
+    return _col(c).try_cast(MONEY)
 
 
 def to_number(c: Column | str, kind: T.DataType = MONEY) -> Column:
@@ -51,10 +51,12 @@ def percentage(part: Column | str, base: Column | str) -> Column:
 
 
 def canonical_id(c: Column | str, source: T.DataType) -> Column:
-    """Identifier text without a decimal tail, whatever type it was stored in."""
+    """Identifier text without a decimal tail, whatever type it was stored in; a number that is no
+    whole number is no identifier and keeps its fraction, so that it meets no other."""
     col = _col(c)
     if isinstance(source, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return col.try_cast(T.DecimalType(38, 0)).cast("string")
+        whole = col.try_cast(T.DecimalType(38, 0))
+        return F.when(whole == col, whole.cast("string")).otherwise(col.cast("string"))
     if isinstance(source, T.StringType):
         return F.regexp_replace(F.trim(col), r"^(-?\d+)\.0+$", "$1")
     return col.cast("string")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cuadre.functions.classify import known_class
 from cuadre.functions.numbers import RATE, money
-from cuadre.operators.columns import left_join, named
+from cuadre.operators.columns import named
 
 
 def class_sums(
@@ -62,22 +62,31 @@ class ListOf:
     sep: str = ", "
 
 
-def _first_appearances(df: DataFrame, key: str, lists: list[ListOf], order: Column) -> DataFrame:
-    """One row per key, list and distinct value (NULL too) with its first place."""
-    slots = F.array(
-        *[
-            F.struct(F.lit(i).alias("slot"), named(spec.column).cast("string").alias("value"))
-            for i, spec in enumerate(lists)
-        ]
-    )
+def _first_appearances(
+    df: DataFrame, key: str, lists: list[ListOf], order: Column, sums: dict[str, Column] | None = None
+) -> DataFrame:
+    """One row per key, list and distinct value (NULL too) with its first place; slot -1 carries `sums`,
+    aggregates over the rows of the key, so that lists and sums are one aggregation over one scan."""
+    slots = [
+        F.struct(F.lit(i).alias("slot"), named(spec.column).cast("string").alias("value"))
+        for i, spec in enumerate(lists)
+    ]
+    if sums:
+        slots.append(F.struct(F.lit(-1).alias("slot"), F.lit(None).cast("string").alias("value")))
+    kept = [F.struct(*[named(c) for c in df.columns]).alias("_row")] if sums else []
+    rows = df.where(named(key).isNotNull()).select(key, order.alias("_order"), *kept, F.explode(F.array(*slots)).alias("_s"))
+    if sums:
+        own = F.col("_s.slot") == -1
+        rows = rows.select(
+            key, "_order", "_s", *[F.when(own, F.col("_row").getField(c)).alias(c) for c in df.columns if c != key]
+        )
     return (
-        df.where(named(key).isNotNull())
-        .select(key, order.alias("_order"), F.explode(slots).alias("_s"))
-        .groupBy(key, F.col("_s.slot").alias("_slot"), F.col("_s.value").alias("_value"))
+        rows.groupBy(key, F.col("_s.slot").alias("_slot"), F.col("_s.value").alias("_value"))
         # min skips NULL, so NULL-first is kept by a flag of its own
         .agg(
             F.min(F.when(F.col("_order").isNull(), 0).otherwise(1)).alias("_known"),
             F.min("_order").alias("_first"),
+            *[column.alias(f"_sum_{name}") for name, column in (sums or {}).items()],
         )
         .withColumn("_first", F.when(F.col("_known") == 1, F.col("_first")))
     )
@@ -99,15 +108,20 @@ def distinct_values(df: DataFrame, key: str, lists: list[ListOf], order: Column)
 
 
 def distinct_lists(
-    df: DataFrame, key: str, lists: list[ListOf], order: Column, limit: int | None = None
+    df: DataFrame,
+    key: str,
+    lists: list[ListOf],
+    order: Column,
+    limit: int | None = None,
+    sums: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Ordered distinct text lists by key; '' where a key has no value.
+    """Ordered distinct text lists by key; '' where a key has no value. `sums` adds aggregates by key.
 
     Values stand in order of their first appearance by `order` (a number or a
     date; NULL first), ties by value. With a `limit` only the first values are
     ever shuffled to the key, otherwise the distinct ones.
     """
-    first = _first_appearances(df, key, lists, order)
+    first = _first_appearances(df, key, lists, order, sums)
     if limit is not None:
         by_first = Window.partitionBy(key, "_slot").orderBy(
             F.col("_value").isNull(), "_known", F.col("_first").asc_nulls_first(), "_value"
@@ -120,11 +134,14 @@ def distinct_lists(
                 F.collect_list(F.when((F.col("_slot") == i) & F.col("_value").isNotNull(), entry))
             ).alias(spec.name)
             for i, spec in enumerate(lists)
-        ]
+        ],
+        # one row of each key has them
+        *[F.max(F.when(F.col("_slot") == -1, F.col(f"_sum_{name}"))).alias(f"_sum_{name}") for name in sums or ()],
     )
     return collected.select(
         key,
         *[F.array_join(named(spec.name)["_value"], spec.sep).alias(spec.name) for spec in lists],
+        *[F.col(f"_sum_{name}").alias(name) for name in sums or ()],
     )
 
 
@@ -166,23 +183,13 @@ def mean_rate(column: str) -> Column:
 def agg_distributions(df: DataFrame) -> DataFrame:
     """First 3 accounts and departments, amount, first description by invoice."""
     line = F.col("DISTRIBUTION_LINE_NUMBER")
-    lists = distinct_lists(
-        df,
-        "INVOICE_ID",
-        [ListOf("CUENTA_CONTABLE_GASTO", "CUENTA_CONTABLE_GASTO", " | "),
-         ListOf("CC_DEPARTAMENTO", "CC_DEPARTAMENTO", " | ")],
-        order=line,
-        limit=3,
-    )
-    sums = (
-        df.where(F.col("INVOICE_ID").isNotNull())
-        .groupBy("INVOICE_ID")
-        .agg(
-            sum_or_zero("IMPORTE_DISTRIBUCION_USD").alias("IMPORTE_DISTRIBUCION_USD"),
-            first_non_null("DESCRIPTION", line).alias("DESCRIPTION"),
-        )
-    )
-    return left_join(sums, lists, "INVOICE_ID")
+    lists = [ListOf("CUENTA_CONTABLE_GASTO", "CUENTA_CONTABLE_GASTO", " | "),
+             ListOf("CC_DEPARTAMENTO", "CC_DEPARTAMENTO", " | ")]
+    sums = {
+        "IMPORTE_DISTRIBUCION_USD": sum_or_zero("IMPORTE_DISTRIBUCION_USD"),
+        "DESCRIPTION": first_non_null("DESCRIPTION", line),
+    }
+    return distinct_lists(df, "INVOICE_ID", lists, order=line, limit=3, sums=sums)
 
 
 def principal_distribution(df: DataFrame) -> DataFrame:
@@ -201,70 +208,83 @@ def _latest_first(column: str) -> Column:
     return -F.unix_micros(F.col(column).cast("timestamp"))
 
 
-def agg_payments(df: DataFrame) -> DataFrame:
-    """Payments by invoice: lists, sums, mean rate, latest dates."""
-    lists = distinct_lists(
-        df,
-        "INVOICE_ID",
-        [ListOf(c, c) for c in ("NUM_PAGO", "BANCO_CUENTA", "DESCRIPTION")],
-        order=_latest_first("FECHA_APLICACION"),
-    )
-    sums = (
-        df.where(F.col("INVOICE_ID").isNotNull())
-        .groupBy("INVOICE_ID")
-        .agg(
-            sum_or_zero("IMPORTE_PAGO_USD").alias("IMPORTE_PAGO_USD"),
-            sum_or_zero("IMPORTE_PAGO_MXN").alias("IMPORTE_PAGO_MXN"),
-            mean_rate("TIPO_CAMBIO_PAGO").alias("TIPO_CAMBIO_PAGO"),
-            F.max("FECHA_APLICACION").alias("FECHA_APLICACION"),
-            F.max("FECHA_PAGO").alias("FECHA_PAGO"),
-        )
-    )
-    return left_join(lists, sums, "INVOICE_ID")
+PAYMENT_LISTS = [ListOf(c, c) for c in ("NUM_PAGO", "BANCO_CUENTA", "DESCRIPTION")]
+PREPAYMENT_LISTS = [ListOf(c, c) for c in ("TIPO_ORIGEN", "ERS", "ORDEN_COMPRA", "FACTURA_ADELANTO")]
+RECEIPT_LIST = ListOf("ERS", "ERS", " | ")
+
+
+def agg_payments(df: DataFrame, lists: bool = True) -> DataFrame:
+    """Payments by invoice: lists if wanted, sums, mean rate, latest dates."""
+    sums = {
+        "IMPORTE_PAGO_USD": sum_or_zero("IMPORTE_PAGO_USD"),
+        "IMPORTE_PAGO_MXN": sum_or_zero("IMPORTE_PAGO_MXN"),
+        "TIPO_CAMBIO_PAGO": mean_rate("TIPO_CAMBIO_PAGO"),
+        "FECHA_APLICACION": F.max("FECHA_APLICACION"),
+        "FECHA_PAGO": F.max("FECHA_PAGO"),
+    }
+    if not lists:
+        return _by_key(df, "INVOICE_ID", sums)
+    return distinct_lists(df, "INVOICE_ID", PAYMENT_LISTS, _latest_first("FECHA_APLICACION"), sums=sums)
+
 
+def payment_values(df: DataFrame) -> DataFrame:
+    """The lists of agg_payments as rows."""
+    return distinct_values(df, "INVOICE_ID", PAYMENT_LISTS, _latest_first("FECHA_APLICACION"))
 
-def agg_prepayments(df: DataFrame) -> DataFrame:
+
+def agg_prepayments(df: DataFrame, lists: bool = True) -> DataFrame:
     """Prepayments and receipts by invoice.
 
     The MXN amount falls back to the USD column where the currency is MXN and
     no MXN amount is given at all.
     """
     latest = _latest_first("FECHA_APLICACION")
-    lists = distinct_lists(
-        df,
-        "INVOICE_ID",
-        [ListOf(c, c) for c in ("TIPO_ORIGEN", "ERS", "ORDEN_COMPRA", "FACTURA_ADELANTO")],
-        order=latest,
-    )
     no_mxn = F.count("ADELANTO_MXN") == 0
     currency = first_non_null("MONEDA", latest)
-    sums = (
-        df.where(F.col("INVOICE_ID").isNotNull())
-        .groupBy("INVOICE_ID")
-        .agg(
-            sum_or_zero("ADELANTO_USD").alias("ADELANTO_USD"),
-            F.when(no_mxn & (currency == "MXN"), sum_or_zero("ADELANTO_USD"))
-            .otherwise(sum_or_zero("ADELANTO_MXN"))
-            .alias("ADELANTO_MXN"),
-            mean_rate("TIPO_CAMBIO").alias("TIPO_CAMBIO"),
-            F.max("FECHA_APLICACION").alias("FECHA_APLICACION"),
-            currency.alias("MONEDA"),
-        )
-    )
-    return left_join(lists, sums, "INVOICE_ID")
+    sums = {
+        "ADELANTO_USD": sum_or_zero("ADELANTO_USD"),
+        "ADELANTO_MXN": F.when(no_mxn & (currency == "MXN"), sum_or_zero("ADELANTO_USD")).otherwise(
+            sum_or_zero("ADELANTO_MXN")
+        ),
+        "TIPO_CAMBIO": mean_rate("TIPO_CAMBIO"),
+        "FECHA_APLICACION": F.max("FECHA_APLICACION"),
+        "MONEDA": currency,
+    }
+    if not lists:
+        return _by_key(df, "INVOICE_ID", sums)
+    return distinct_lists(df, "INVOICE_ID", PREPAYMENT_LISTS, order=latest, sums=sums)
 
 
-def split_prepay_ers(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The tagged union as (prepaid amount by invoice, receipt list by order)."""
-    prepaid = (
+def prepayment_values(df: DataFrame) -> DataFrame:
+    """The lists of agg_prepayments as rows."""
+    return distinct_values(df, "INVOICE_ID", PREPAYMENT_LISTS, _latest_first("FECHA_APLICACION"))
+
+
+def _by_key(df: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
+    return df.where(named(key).isNotNull()).groupBy(key).agg(*[c.alias(n) for n, c in sums.items()])
+
+
+def prepaid_amounts(df: DataFrame) -> DataFrame:
+    """Prepaid amount by invoice, from the tagged union."""
+    return (
         df.where((F.col("TIPO_ORIGEN") == "PREPAYMENT") & F.col("INVOICE_ID").isNotNull())
         .groupBy("INVOICE_ID")
         .agg(sum_or_zero("ADELANTO_USD").alias("ADELANTO_USD"))
     )
-    receipts = distinct_lists(
-        df.where(F.col("TIPO_ORIGEN") == "ERS"),
-        "ORDEN_COMPRA",
-        [ListOf("ERS", "ERS", " | ")],
-        order=_latest_first("FECHA_APLICACION"),
-    )
-    return prepaid, receipts
+
+
+def receipt_lists(df: DataFrame) -> DataFrame:
+    """Receipt list by order, from the tagged union: one text cell for each order."""
+    receipts = df.where(F.col("TIPO_ORIGEN") == "ERS")
+    return distinct_lists(receipts, "ORDEN_COMPRA", [RECEIPT_LIST], order=_latest_first("FECHA_APLICACION"))
+
+
+def receipt_values(df: DataFrame) -> DataFrame:
+    """The receipts of each order as rows, for orders with more than a cell can hold."""
+    receipts = df.where(F.col("TIPO_ORIGEN") == "ERS")
+    return distinct_values(receipts, "ORDEN_COMPRA", [RECEIPT_LIST], order=_latest_first("FECHA_APLICACION"))
+
+
+def split_prepay_ers(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The tagged union as (prepaid amount by invoice, receipt list by order)."""
+    return prepaid_amounts(df), receipt_lists(df)

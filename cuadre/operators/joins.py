@@ -63,11 +63,14 @@ def merge_master(
 def with_account_description(invoices: DataFrame, chart: DataFrame, account: str = "CUENTA_GASTO") -> DataFrame:
     """CUENTA_GASTO_FULL: natural account and its description.
 
-    The chart is left to the optimizer: broadcast when its size allows, else a
-    shuffle join whose hot accounts AQE splits on the invoice side.
+    Value sets may repeat an account; it counts with its least description, so
+    an invoice stays one row. The chart is left to the optimizer: broadcast when
+    its size allows, else a shuffle join.
     """
     keyed = invoices.withColumn("CTA_NUM", segment(account, 5))
-    names = chart.select(F.col("CUENTA_NUM").alias("CTA_NUM"), "CUENTA_DESCRIPCION")
+    names = chart.groupBy(F.col("CUENTA_NUM").alias("CTA_NUM")).agg(
+        F.min("CUENTA_DESCRIPCION").alias("CUENTA_DESCRIPCION")
+    )
     text = F.coalesce(F.col("CUENTA_DESCRIPCION"), F.lit(NO_DESCRIPTION))
     return keyed.join(names, "CTA_NUM", "left").withColumn(
         "CUENTA_GASTO_FULL", F.concat("CTA_NUM", F.lit(" - "), text)

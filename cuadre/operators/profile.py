@@ -40,23 +40,55 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",)) -> DataFrame:
+def unexpected_columns(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Profile of the columns of a relation that are not `expected`."""
+    return profile(df.select(*[named(c) for c in df.columns if c not in expected]))
+
+
+def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",), schedule: list[str] = ("PAYMENT_NUM",)) -> DataFrame:
     """One row of totals over a schedule-payment report.
 
-    `key` tells invoices apart: the id where the report kept it, else unit,
-    supplier and invoice number.
+    `key` tells invoices apart and `schedule` the schedules of one. `total_*` count each schedule once, however
+    many payments repeat it; `row_total_*` add up all rows. The rows shrink in steps (schedules, suppliers,
+    one row), each combined before its shuffle, so no row is copied for a distinct count.
     """
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct(F.struct(*[named(c) for c in key])).alias("invoice_count"),
-        F.count_distinct("PROVEEDOR").alias("supplier_count"),
-        F.sum("IMPORTE_BRUTO_USD").cast("decimal(18,2)").alias("total_usd"),
-        F.sum("IMPORTE_MXN").cast("decimal(18,2)").alias("total_mxn"),
-        F.count("NUM_PAGO").alias("paid_rows"),
-        F.count_if(F.col("SALDO_USD") > 0).alias("pending_usd"),
-        F.count_if((F.col("SALDO_USD") > 0) | (F.col("SALDO_MXN_CALC") > 0)).alias("pending_any"),
-        F.min("FECHA").alias("first_date"),
-        F.max("FECHA").alias("last_date"),
+    due = {"usd": "IMPORTE_BRUTO_USD", "mxn": "IMPORTE_MXN"}
+    by_schedule = df.groupBy(*[named(c) for c in (*key, *schedule)], named("PROVEEDOR").alias("_supplier")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.max(named(c)).alias(f"_due_{k}") for k, c in due.items()],
+        *[F.sum(named(c)).alias(f"_sum_{k}") for k, c in due.items()],
+        F.count("NUM_PAGO").alias("_paid"),
+        F.count_if(F.col("SALDO_USD") > 0).alias("_pending_usd"),
+        F.count_if((F.col("SALDO_USD") > 0) | (F.col("SALDO_MXN_CALC") > 0)).alias("_pending_any"),
+        F.min("FECHA").alias("_first"),
+        F.max("FECHA").alias("_last"),
+    )
+    added = ["_rows", "_due_usd", "_due_mxn", "_sum_usd", "_sum_mxn", "_paid", "_pending_usd", "_pending_any"]
+    shrunk = by_schedule
+    for keys, counts in (([*key, "_supplier"], []), (["_supplier"], ["_invoices"]), ([], ["_invoices", "_suppliers"])):
+        if counts == ["_invoices"]:
+            shrunk = shrunk.withColumn("_invoices", F.lit(1))
+        if counts == ["_invoices", "_suppliers"]:
+            shrunk = shrunk.withColumn("_suppliers", F.col("_supplier").isNotNull().cast("int"))
+        sums = [F.sum(c).alias(c) for c in [*added, *counts]]
+        shrunk = shrunk.groupBy(*[named(c) for c in keys]).agg(
+            *sums, F.min("_first").alias("_first"), F.max("_last").alias("_last")
+        )
+    money38 = "decimal(38,2)"
+    none = F.lit(0).cast("long")
+    return shrunk.select(
+        F.coalesce("_rows", none).alias("row_count"),
+        F.coalesce(F.col("_invoices").cast("long"), none).alias("invoice_count"),
+        F.coalesce(F.col("_suppliers").cast("long"), none).alias("supplier_count"),
+        F.col("_due_usd").cast(money38).alias("total_usd"),
+        F.col("_due_mxn").cast(money38).alias("total_mxn"),
+        F.col("_sum_usd").cast(money38).alias("row_total_usd"),
+        F.col("_sum_mxn").cast(money38).alias("row_total_mxn"),
+        F.coalesce("_paid", none).alias("paid_rows"),
+        F.coalesce("_pending_usd", none).alias("pending_usd"),
+        F.coalesce("_pending_any", none).alias("pending_any"),
+        F.col("_first").alias("first_date"),
+        F.col("_last").alias("last_date"),
     )
 
 

@@ -456,7 +456,11 @@ def account_bridge(t: Tables, since: dt.date = SINCE) -> DataFrame:
     )
 
 
-def chart_of_accounts(t: Tables, value_set: str = "Cuenta CORPORATIVO", language: str = "E") -> DataFrame:
+#: Fixed value: the value set that holds the natural accounts.
+ACCOUNT_VALUE_SET = "Cuenta CORPORATIVO"
+
+
+def chart_of_accounts(t: Tables, value_set: str = ACCOUNT_VALUE_SET, language: str = "E") -> DataFrame:
     """Enabled accounts of one value set with their description in one language."""
     sets = t["FND_FLEX_VALUE_SETS"].where(F.col("FLEX_VALUE_SET_NAME") == value_set).select("FLEX_VALUE_SET_ID")
     values = t["FND_FLEX_VALUES"].where(F.col("ENABLED_FLAG") == "Y")
@@ -512,3 +516,30 @@ def in_extract_order(df: DataFrame, relation: str) -> DataFrame:
             for c, descending in EXTRACT_ORDER[relation]
         ]
     )
+
+
+# Relation -> the query that extracts it from base tables, with the earliest date it takes where it is bounded.
+EXTRACTS = {
+    "invoices_v1": invoices_v1,
+    "invoices_v2": invoices_v2,
+    "tax_lines_v1": tax_lines_v1,
+    "taxes_v2": taxes_v2,
+    "withholding": withholding,
+    "payments_v1": payments_v1,
+    "payments_v2": payments_v2,
+    "schedules": schedules,
+    "prepay_ers": prepay_ers,
+    "distributions": distributions,
+    "requisitions": requisition_bridge,
+    "invoice_accounts": account_bridge,
+    "chart_of_accounts": chart_of_accounts,
+    "daily_rates": daily_rates,
+}
+UNBOUNDED = {"requisitions", "chart_of_accounts"}
+
+
+def extract(t: Tables, relation: str, since: dt.date | None = None) -> DataFrame:
+    """One relation from base tables; `since` replaces the extract's own earliest date."""
+    if since is None or relation in UNBOUNDED:
+        return EXTRACTS[relation](t)
+    return EXTRACTS[relation](t, since=since)

@@ -1,16 +1,23 @@
-"""Reports as jobs: landed extracts in, report with its profile and summary out."""
+"""Reports and extracts as jobs.
+
+A report job reads landed extracts, or base tables in one plan with the extract queries, and writes the report with
+its profile and summary. An extract job reads base tables and writes relations.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cuadre.operators.profile import profile, report_summary
-from cuadre.plans import reports
+from cuadre.plans import extracts, reports
+from cuadre.session import size_session
 from cuadre.sources import spec
-from cuadre.sources.files import CSV_OPTIONS, read_extract
+from cuadre.sources.files import conform, read_csv, read_extract, require
 from cuadre.sources.sinks import write_report
 from cuadre.sources.spec import RelationSpec
 
@@ -80,24 +87,56 @@ JOBS = {
     ),
     "net_payable": Job(reports.report_net_payable, _NET_PAYABLE),
     "historical_fx": Job(reports.report_historical_fx, _HISTORICAL),
-    "schedule_payment": Job(reports.report_schedule_payment, _SCHEDULE_PAYMENT, offsets="utc", summary=True),
+    # the keys stay in front: the summary tells invoices and schedules apart by them
+    "schedule_payment": Job(
+        partial(reports.report_schedule_payment, keep_key=True), _SCHEDULE_PAYMENT, offsets="utc", summary=True
+    ),
     "invoice_v4": Job(reports.report_invoice_v4, _INVOICE_V4),
 }
 
 
+class BaseTables(dict):
+    """Base tables of one folder, a Parquet table under each name, read when asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__()
+        self._spark, self._folder = spark, folder
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._spark.read.parquet(f"{self._folder}/{name}")
+        return self[name]
+
+
 def load_inputs(
-    spark: SparkSession, job: Job, folder: str, fmt: str = "csv", files: dict[str, str] | None = None
+    spark: SparkSession,
+    job: Job,
+    folder: str,
+    fmt: str = "csv",
+    files: dict[str, str] | None = None,
+    one_line: bool = False,
 ) -> dict[str, DataFrame]:
-    """The relations a job reads from `folder`; `files` renames single inputs."""
+    """The relations a job reads from `folder`; `files` renames single inputs, `one_line` as in read_extract."""
     names = {argument: source.file for argument, source in job.inputs.items()} | (files or {})
     return {
         argument: read_extract(
-            spark, source.relation, f"{folder}/{names[argument]}", required=source.required, fmt=fmt, offsets=job.offsets
+            spark, source.relation, f"{folder}/{names[argument]}", required=source.required, fmt=fmt,
+            offsets=job.offsets, one_line=one_line,
         )
         for argument, source in job.inputs.items()
     }
 
 
+def from_base(t: extracts.Tables, job: Job, since: dt.date | None = None) -> dict[str, DataFrame]:
+    """The relations a job reads, as extract queries over base tables: with the report they are one plan.
+
+    A relation that has no extract query cannot be made this way.
+    """
+    return {
+        argument: conform(extracts.extract(t, source.relation.name, since), source.relation, job.offsets)
+        for argument, source in job.inputs.items()
+    }
+
+
 def run_job(
     spark: SparkSession,
     name: str,
@@ -107,17 +146,54 @@ def run_job(
     fmt: str = "parquet",
     mode: str = "errorifexists",
     files: dict[str, str] | None = None,
+    one_line: bool = False,
+    profiled: bool = True,
+    since: dt.date | None = None,
+    non_empty: bool = False,
 ) -> None:
-    """Write `target`/report, /profile and, where there is one, /summary.
+    """Write `target`/report, /profile unless it is not wanted and, where there is one, /summary.
 
-    Profile and summary read the written report, so it is computed once.
+    `input_fmt` "base" reads base tables from `source` instead of extracts. Partitions are sized
+    by the bytes of the inputs. `non_empty` stops a job without invoices. Profile and summary read the written report, so it is computed once.
     """
     job = JOBS[name]
-    report = job.build(**load_inputs(spark, job, source, input_fmt, files))
+    size_session(spark, [source])
+    if input_fmt == "base":
+        inputs = from_base(BaseTables(spark, source), job, since)
+    else:
+        inputs = load_inputs(spark, job, source, input_fmt, files, one_line)
+    if non_empty:
+        require(inputs["invoices"], "invoices")
+    report = job.build(**inputs)
     write_report(report, f"{target}/report", fmt, mode)
-    options = CSV_OPTIONS if fmt == "csv" else {}
-    written = spark.read.schema(report.schema).format(fmt).options(**options).load(f"{target}/report")
-    write_report(profile(written), f"{target}/profile", fmt, mode)
+    if fmt == "csv":
+        written = read_csv(spark, f"{target}/report", schema=report.schema)
+    else:
+        written = spark.read.schema(report.schema).format(fmt).load(f"{target}/report")
+    if profiled:
+        write_report(profile(written), f"{target}/profile", fmt, mode)
     if job.summary:
-        summary = report_summary(written, key=["EMPRESA", "NUM_PROV", "FACTURA"])
-        write_report(summary, f"{target}/summary", fmt, mode)
+        write_report(report_summary(written), f"{target}/summary", fmt, mode)
+
+
+def run_extracts(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    relations: list[str] | None = None,
+    since: dt.date | None = None,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+    ordered: bool = False,
+) -> None:
+    """Write relations extracted from the base tables in `source`, a folder for each under `target`.
+
+    `ordered` sorts those that have an extract order as their files are sorted.
+    """
+    size_session(spark, [source])
+    tables = BaseTables(spark, source)
+    for relation in relations or extracts.EXTRACTS:
+        df = extracts.extract(tables, relation, since)
+        if ordered and relation in extracts.EXTRACT_ORDER:
+            df = extracts.in_extract_order(df, relation)
+        write_report(df, f"{target}/{relation}", fmt, mode)

@@ -22,6 +22,7 @@ from cuadre.operators.columns import (
     select_present,
 )
 from cuadre.sources import spec
+from cuadre.sources.spec import INT
 
 HEADER_AMOUNTS = ["IMPORTE", "IVA", "RET_IVA", "RET_ISR", "RET_ISR_4"]
 PAYMENT_AMOUNTS = ["IMPORTE_PAGO", "ADELANTO_APLICADO"]
@@ -57,6 +58,14 @@ def report_master(
     raise ValueError(f"unknown variant {variant!r}")
 
 
+def _tax_id(invoices: DataFrame) -> DataFrame:
+    """RFC, from INCOME_TAX_ID where it is missing."""
+    if "INCOME_TAX_ID" not in invoices.columns:
+        return invoices
+    rfc = F.col("RFC") if "RFC" in invoices.columns else F.lit(None)
+    return invoices.withColumn("RFC", F.coalesce(rfc, "INCOME_TAX_ID")).drop("INCOME_TAX_ID")
+
+
 def _payment_flag(invoices: DataFrame) -> DataFrame:
     """The payment flag under one name, NULL when the extract has none."""
     if "ESTATUS_PAGO" in invoices.columns:
@@ -186,13 +195,18 @@ def report_schedule_payment(
     taxes: DataFrame,
     prepay_ers: DataFrame,
     keep_key: bool = False,
+    lists: str = "cell",
     **skew,
 ) -> DataFrame:
     """Invoice × schedule × payment report with amounts split into USD and MXN.
 
-    `keep_key` leaves INVOICE_ID in front, as the summary needs it.
+    `lists` "cell" puts the receipts of the invoice's order into one text cell of
+    each row. With "rows" the report has ORDEN_COMPRA in that place, and
+    `aggregates.receipt_values` gives the receipts of each order as rows: for
+    orders with many receipts, whose cell would be copied to many rows.
+    `keep_key` leaves INVOICE_ID and PAYMENT_NUM in front, as the summary needs them.
     """
-    prepaid, receipts = agg.split_prepay_ers(prepay_ers)
+    _known_lists(lists)
     type_code = "_type"
     if "TIPO_IMPUESTO" in taxes.columns:
         taxes = taxes.withColumn(type_code, F.coalesce("TIPO_IMPUESTO", "TAX_TYPE_CODE"))
@@ -201,13 +215,12 @@ def report_schedule_payment(
     tax_columns = agg.tax_pivot(
         taxes, classify.classify_by_type(type_code), spec.CLASSES_BY_TYPE, "IMPUESTO_MXN", "_MXN"
     )
-    core = invoices.drop("ERS")
-    if "INCOME_TAX_ID" in core.columns:
-        rfc = F.col("RFC") if "RFC" in core.columns else F.lit(None)
-        core = core.withColumn("RFC", F.coalesce(rfc, "INCOME_TAX_ID"))
+    core = _tax_id(invoices.drop("ERS"))
+    prepaid = agg.prepaid_amounts(prepay_ers)
     core = joins.merge_master(core, agg.agg_distributions(distributions), tax_columns, prepaid)
-    # receipt lists can be long, so they join as late as there is one row per invoice
-    core = joins.with_receipts(core, receipts, counted=invoices, **skew)
+    if lists == "cell":
+        # receipt lists can be long, so they join as late as there is one row per invoice
+        core = joins.with_receipts(core, agg.receipt_lists(prepay_ers), counted=invoices, **skew)
     core = measures.with_currency_fx(core)
     core = core.withColumns(
         {"SUBTOTAL_ORIGINAL": measures.subtotal("header"), "ESTATUS": text.approval_3way("ESTATUS")}
@@ -217,7 +230,10 @@ def report_schedule_payment(
     )
     core = measures.split_currency(core, F.col("ADELANTO_USD"), "ADELANTO_USD", "ADELANTO_MXN", other="zero")
     core = measures.with_periods(core, "year_month", {"FECHA": ""})
-    wanted = {*spec.SCHEDULE_PAYMENT_COLUMNS, "INVOICE_ID", "CURRENCY", "FX_RATE"}
+    layout = spec.SCHEDULE_PAYMENT_COLUMNS
+    if lists == "rows":
+        layout = ["ORDEN_COMPRA" if c == "ERS" else c for c in layout]
+    wanted = {*layout, "INVOICE_ID", "CURRENCY", "FX_RATE"}
     # amounts of the sides come from the sides; a narrow core is what gets shuffled
     core = core.select(*[c for c in core.columns if c in wanted])
 
@@ -237,7 +253,8 @@ def report_schedule_payment(
     rows = joins.merge_schedule_payment(
         core, schedules, payments, after=[due, measures.split_payment_currency], **skew
     )
-    return reindex(rows, [*(["INVOICE_ID"] if keep_key else []), *spec.SCHEDULE_PAYMENT_COLUMNS])
+    key = {"INVOICE_ID": INT, "PAYMENT_NUM": INT} if keep_key else {}
+    return reindex(rows, [*key, *layout], key)
 
 
 def report_invoice_v4(
@@ -248,10 +265,17 @@ def report_invoice_v4(
     payments: DataFrame,
     prepay_ers: DataFrame,
     include_iva_6: bool = False,
+    lists: str = "cell",
 ) -> DataFrame:
-    """One row per invoice with withholdings by percentage class."""
+    """One row per invoice with withholdings by percentage class.
+
+    `lists` "cell" puts payments, banks, receipts and advances of an invoice into text cells. With "rows"
+    the report has INVOICE_ID in front instead, and `invoice_lists` gives their values as rows.
+    """
+    _known_lists(lists)
+    in_cells = lists == "cell"
     rows = joins.merge_master(
-        invoices,
+        _tax_id(invoices),
         agg.pivot_two(
             taxes, "CLASIFICACION_IMPUESTO", spec.CLASSES_V4_TAX, "IMPUESTO_USD", "IMPUESTO_MXN", "OTROS_TAX"
         ),
@@ -260,8 +284,8 @@ def report_invoice_v4(
             "RETENCION_MXN", "RET_OTRO",
         ),
         agg.principal_distribution(distributions),
-        agg.agg_payments(payments),
-        agg.agg_prepayments(prepay_ers),
+        agg.agg_payments(payments, in_cells),
+        agg.agg_prepayments(prepay_ers, in_cells),
     )
     rows = rows.withColumns(
         {
@@ -272,5 +296,16 @@ def report_invoice_v4(
         }
     )
     rows = measures.with_periods(rows, "number")
-    rows = rows.drop(*spec.INVOICE_V4_DROPPED)
-    return select_ordered(rows, spec.INVOICE_V4_COLUMNS).withColumnsRenamed(spec.INVOICE_V4_RENAMES)
+    key = [] if in_cells else ["INVOICE_ID"]
+    rows = rows.drop(*[c for c in spec.INVOICE_V4_DROPPED if c not in key])
+    return select_ordered(rows, [*key, *spec.INVOICE_V4_COLUMNS]).withColumnsRenamed(spec.INVOICE_V4_RENAMES)
+
+
+def invoice_lists(payments: DataFrame, prepay_ers: DataFrame) -> DataFrame:
+    """The lists of report_invoice_v4 as rows: INVOICE_ID, list, value and its first place."""
+    return agg.payment_values(payments).unionByName(agg.prepayment_values(prepay_ers))
+
+
+def _known_lists(lists: str) -> None:
+    if lists not in ("cell", "rows"):
+        raise ValueError(f"lists must be 'cell' or 'rows', not {lists!r}")

@@ -21,18 +21,34 @@ SETTINGS = {
 
 
 def sized_for(input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
-    """Settings that keep scan and shuffle partitions near `partition_bytes`.
+    """Settings that keep scan and shuffle partitions near `partition_bytes`, however large the input.
 
-    AQE starts from the larger number of shuffle partitions and merges small ones.
+    AQE starts from the number of shuffle partitions and merges small ones.
     """
-    partitions = min(max(-(-input_bytes // partition_bytes), 200), 100_000)
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.shuffle.partitions": str(max(-(-input_bytes // partition_bytes), 200)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
     }
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of all files under `paths`; a path that does not exist has none."""
+    jvm, conf, total = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        store = place.getFileSystem(conf)
+        if store.exists(place):
+            total += store.getContentSummary(place).getLength()
+    return total
+
+
+def size_session(spark: SparkSession, paths: list[str]) -> None:
+    """Sizes the partitions of a session for inputs that it is about to read."""
+    for key, value in sized_for(input_bytes(spark, paths)).items():
+        spark.conf.set(key, value)
+
+
 def build_session(
     master: str | None = None,
     app: str = "cuadre",

@@ -46,22 +46,29 @@ def conform(df: DataFrame, spec: RelationSpec, offsets: str = "wall") -> DataFra
     for source, target in spec.aliases.items():
         if source in df.columns and target not in df.columns and target not in renames.values():
             renames[source] = target
-    df = df.withColumnsRenamed(renames)
+    for target, (wanted, unwanted) in spec.tokens.items():
+        if target not in df.columns and target not in renames.values():
+            free = [c for c in df.columns if c not in spec.columns and c not in renames]
+            fit = [c for c in free if any(t in c for t in wanted) and not any(t in c for t in unwanted)]
+            renames.update({fit[0]: target} if fit else {})
+    copies = {target: _named(source) for source, target in renames.items() if source in spec.columns}
+    df = df.withColumns(copies) if copies else df
+    df = df.withColumnsRenamed({s: t for s, t in renames.items() if s not in spec.columns})
     source_types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            _typed(name, source_types.get(name), target, offsets).alias(name)
+            _typed(name, source_types.get(name), target, offsets, name in spec.identifiers).alias(name)
             for name, target in spec.columns.items()
         ]
     )
 
 
-def _typed(name: str, source: T.DataType | None, target: T.DataType, offsets: str) -> Column:
+def _typed(name: str, source: T.DataType | None, target: T.DataType, offsets: str, identifies: bool) -> Column:
     if source is None:
         return F.lit(None).cast(target)
     col = _named(name)
     if isinstance(target, T.StringType):
-        return numbers.canonical_id(col, source) if _is_identifier(name) else col.cast(target)
+        return numbers.canonical_id(col, source) if identifies else col.cast(target)
     if source == target:
         return col
     if isinstance(source, T.StringType):
@@ -72,10 +79,6 @@ def _typed(name: str, source: T.DataType | None, target: T.DataType, offsets: st
     return col.try_cast(target)
 
 
-def _is_identifier(name: str) -> bool:
-    return name.endswith("_ID") or name == "NUM_PAGO"
-
-
 def _named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -88,17 +91,18 @@ def read_extract(
     required: bool = True,
     fmt: str = "csv",
     offsets: str = "wall",
-    multi_line: bool = False,
+    one_line: bool = False,
 ) -> DataFrame:
     """One extract as its relation; an absent optional one is an empty relation.
 
     CSV is read as text and parsed per value, so no inference pass runs over the
-    file. `multi_line` accepts line breaks inside quoted cells, at the price of
-    files that cannot be split between tasks.
+    file. Quoted cells may hold line breaks, so a file is one task; many files
+    are many tasks. `one_line` says that no cell does: files are then split
+    between tasks, and a line that is not a whole record fails the read.
     """
     try:
         if fmt == "csv":
-            raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
+            raw = read_csv(spark, path, one_line)
         else:
             raw = spark.read.format(fmt).load(path)
     except AnalysisException as error:
@@ -108,6 +112,25 @@ def read_extract(
     return conform(nullify_tokens(fold_headers(raw)), spec, offsets)
 
 
+def read_csv(spark: SparkSession, path: str, one_line: bool = False, schema: T.StructType | None = None) -> DataFrame:
+    """A CSV file or folder with a header, as text or by `schema`."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if not one_line:
+        return reader.options(**CSV_OPTIONS, multiLine="true").csv(path)
+    options = {**CSV_OPTIONS, "multiLine": "false", "mode": "FAILFAST"}
+    raw = reader.options(**options).csv(path)
+    # without all columns in use the parser would not check a line
+    whole = [F.coalesce(_named(c).cast("string"), F.lit("")) for c in raw.columns]
+    return raw.where(F.length(F.concat(*whole)) >= 0) if whole else raw
+
+
+def require(df: DataFrame, name: str = "relation") -> DataFrame:
+    """`df`, or an error where it has no row."""
+    if df.isEmpty():
+        raise ValueError(f"{name} has no rows")
+    return df
+
+
 def empty(spark: SparkSession, spec: RelationSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)
 

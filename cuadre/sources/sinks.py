@@ -31,6 +31,8 @@ def write_report(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.options(header="true", escape='"').csv(path)
+        # cells are written as they are, blanks at their ends included
+        keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        writer.options(header="true", escape='"', **keep).csv(path)
     else:
         writer.format(fmt).save(path)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from cuadre.catalog.mapping import relations
-from cuadre.plans.jobs import JOBS, load_inputs, run_job
+from cuadre.catalog.mapping import BASE_SQL, base_tables, relations
+from cuadre.plans import extracts
+from cuadre.plans.jobs import JOBS, load_inputs, run_extracts, run_job
+from cuadre.session import input_bytes
 from cuadre.sources.files import conform
 from tests.compare import cell
 
@@ -26,6 +30,16 @@ RELATIONS = {
 }
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Jobs size the partitions of their session; the tests' own sizes come back afterwards."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 def land(df, path: str) -> None:
     """An extract with a dirty header, as a folder of CSV files."""
     dirty = df.toDF(*[f" {c.lower()} " if i % 2 else c for i, c in enumerate(df.columns)])
@@ -55,6 +69,51 @@ def test_job(spark, tmp_path, name):
         assert summary["invoice_count"] == mapped["invoices_v2"].count()
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_texts_with_line_breaks(spark, tmp_path, fmt):
+    """Descriptions with line breaks, quotes and commas, in and out."""
+    text = ' two\nlines, "quoted" '
+    invoices = relations(spark, SF_DIR)["invoices_v1"].limit(20).withColumn("DESCRIPTION", F.lit(text))
+    land(invoices, f"{tmp_path}/in/XX_RO_FACTURAS_REP.csv")
+    run_job(spark, "master_rate", f"{tmp_path}/in", f"{tmp_path}/out", fmt=fmt)
+    reader = spark.read.options(header="true", escape='"', multiLine="true")
+    report = reader.format(fmt).load(f"{tmp_path}/out/report")
+    assert report.count() == 20 and [r[0] for r in report.select("DESCRIPTION").distinct().collect()] == [text]
+    profile = {r["column_name"]: r for r in reader.format(fmt).load(f"{tmp_path}/out/profile").collect()}
+    assert int(profile["DESCRIPTION"]["distinct_count"]) == 1 and int(profile["IMPORTE"]["null_count"]) == 0
+
+
+def test_no_profile(spark, tmp_path):
+    land(relations(spark, SF_DIR)["invoices_v1"], f"{tmp_path}/in/XX_RO_FACTURAS_REP.csv")
+    run_job(spark, "master_code", f"{tmp_path}/in", f"{tmp_path}/out", profiled=False)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["report"]
+
+
+def test_base_tables_to_relations_and_report(spark, tmp_path):
+    base = base_tables(spark, SF_DIR)
+    for name in BASE_SQL:
+        base[name].write.parquet(f"{tmp_path}/base/{name}")
+    since = dt.date(1996, 6, 1)
+    run_extracts(spark, f"{tmp_path}/base", f"{tmp_path}/out", since=since, ordered=True)
+    for relation in ("invoices_v1", "schedules", "daily_rates", "requisitions"):
+        written = spark.read.parquet(f"{tmp_path}/out/{relation}")
+        assert text_rows(written) == text_rows(extracts.extract(base, relation, since))
+    dates = [r[0] for r in spark.read.parquet(f"{tmp_path}/out/daily_rates").select("FECHA_TASA").collect()]
+    assert dates == sorted(dates, reverse=True)
+    # base tables to report: the same as through the relations
+    run_job(spark, "master_code", f"{tmp_path}/base", f"{tmp_path}/one", input_fmt="base", since=since)
+    job = JOBS["master_code"]
+    read = {a: conform(spark.read.parquet(f"{tmp_path}/out/{i.relation.name}"), i.relation) for a, i in job.inputs.items()}
+    report = spark.read.parquet(f"{tmp_path}/one/report")
+    assert text_rows(report) == text_rows(job.build(**read)) and report.count() > 0
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    base_tables(spark, SF_DIR)["AP_CHECKS_ALL"].write.parquet(f"{tmp_path}/t")
+    size = input_bytes(spark, [f"{tmp_path}/t", f"{tmp_path}/none"])
+    assert size >= sum(p.stat().st_size for p in (tmp_path / "t").glob("*.parquet")) > 0
+
+
 def test_only_invoices_landed(spark, tmp_path):
     invoices = relations(spark, SF_DIR)["invoices_v2"]
     land(invoices, f"{tmp_path}/in/other.csv")

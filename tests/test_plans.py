@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from cuadre.catalog.mapping import base_tables
+from cuadre.catalog.mapping import base_tables, relations
 from cuadre.catalog.queries import QUERIES
 from cuadre.operators.skew import SHARES
 from cuadre.plans import extracts
@@ -81,3 +81,23 @@ def test_bound_on_a_computed_date_is_checked_at_the_scan(spark):
     plan = plan_of(QUERIES["r6"](spark, SF_DIR).where("FECHA >= DATE'1997-01-01'")).splitlines()
     filters = [i for i, line in enumerate(plan) if "Filter (" in line and "o_orderdate" in line]
     assert filters and all(any("FileScan" in line for line in plan[i + 1 : i + 3]) for i in filters)
+
+
+@pytest.mark.parametrize("name,scans", [("a11_distributions", 2), ("a13_payments", 1), ("a14_prepayments", 3)])
+def test_lists_and_sums_read_each_input_once(spark, name, scans):
+    """Distributions are lines and parts; prepayments are a union of lines, and of lines and orders."""
+    assert plan_of(QUERIES[name](spark, SF_DIR)).count("FileScan") == scans
+
+
+def test_summary_copies_no_rows_for_distinct_counts(spark):
+    plan = plan_of(QUERIES["q2_summary"](spark, SF_DIR))
+    assert "Expand" not in plan and "collect_list" not in plan
+
+
+@pytest.mark.parametrize("name,table", [
+    ("payments_v1", "lineitem"), ("payments_v4", "lineitem"), ("flow_payments", "lineitem"), ("withholding", "lineitem"),
+    ("taxes_v2", "lineitem"), ("distributions", "lineitem"), ("prepay_ers", "lineitem"), ("invoices_v2", "orders"),
+])
+def test_mappings_keep_all_rows(spark, name, table):
+    rows = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
+    assert relations(spark, SF_DIR)[name].count() == rows

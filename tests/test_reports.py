@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cuadre.catalog.mapping import relations
 from cuadre.catalog.queries import QUERIES
+from cuadre.operators import aggregates as agg
+from cuadre.operators import joins
 from cuadre.operators.columns import ensure_money, reindex, select_ordered, select_present
 from cuadre.plans import reports
 from cuadre.sources import spec
@@ -256,6 +258,31 @@ def test_schedule_payment(spark, v2):
     assert (other["ERS"], other["IVA_MXN"], other["MES"], other["ESTATUS"]) == (None, None, None, "NO VALIDADO")
 
 
+def test_receipts_as_rows(spark, v2):
+    report = reports.report_schedule_payment(**v2, lists="rows", keep_key=True)
+    cells = reports.report_schedule_payment(**v2, keep_key=True)
+    assert "ERS" not in report.columns and report.columns[7] == "ORDEN_COMPRA"
+    receipts = agg.receipt_values(v2["prepay_ers"]).groupBy("ORDEN_COMPRA").agg(F.count("value").alias("n"))
+    joined = report.select("INVOICE_ID", "ORDEN_COMPRA").distinct().join(receipts, "ORDEN_COMPRA", "left")
+    want = {r["INVOICE_ID"]: len(r["ERS"].split(" | ")) if r["ERS"] else 0 for r in cells.select("INVOICE_ID", "ERS").collect()}
+    assert {r["INVOICE_ID"]: r["n"] or 0 for r in joined.collect()} == want
+    with pytest.raises(ValueError):
+        reports.report_schedule_payment(**v2, lists="none")
+
+
+def test_an_account_twice_in_the_chart_does_not_multiply_invoices(spark):
+    invoices = frame(spark, spec.INVOICES_V1, dict(INVOICE_ID="1", CUENTA_GASTO="1-2-3-4-501"))
+    chart = frame(spark, spec.CHART_OF_ACCOUNTS, *[dict(CUENTA_NUM="501", CUENTA_DESCRIPCION=d) for d in ("b", "a")])
+    assert rows(joins.with_account_description(invoices, chart), "CUENTA_GASTO_FULL") == [("501 - a",)]
+
+
+def test_an_absurd_rate_does_not_stop_a_report(spark):
+    from cuadre.functions import measures
+
+    df = spark.createDataFrame([(D(10) ** 15, D(10) ** 11), (D(2), D(3))], "a decimal(18,2), r decimal(18,6)")
+    assert rows(measures.to_mxn(df, ["a"], F.col("r")), "a MXN") == [(None,), (D(6),)]
+
+
 def test_schedule_payment_salted(spark, v2):
     salted = reports.report_schedule_payment(**v2, cell_rows=1)
     assert rows(salted) == rows(reports.report_schedule_payment(**v2))
@@ -267,7 +294,23 @@ def test_summary(spark, v2):
     got = report_summary(reports.report_schedule_payment(**v2, keep_key=True)).first().asDict()
     assert (got["row_count"], got["invoice_count"], got["paid_rows"]) == (6, 3, 6)
     assert (got["pending_usd"], got["pending_any"]) == (2, 3)
-    assert got["total_usd"] == D(200)
+    # two payments repeat the one schedule in USD
+    assert (got["total_usd"], got["row_total_usd"]) == (D(100), D(200))
+
+
+def test_summary_of_large_and_of_no_amounts(spark):
+    from cuadre.operators.profile import report_summary
+
+    schema = (
+        "INVOICE_ID int, PAYMENT_NUM int, PROVEEDOR string, IMPORTE_BRUTO_USD decimal(18,2), IMPORTE_MXN decimal(18,2),"
+        " NUM_PAGO string, SALDO_USD decimal(18,2), SALDO_MXN_CALC decimal(18,2), FECHA date"
+    )
+    big = D(9_000_000_000_000_000)
+    rows_ = [(1, 1, "a", big, None, "p", D(1), None, None), (1, 2, "a", big, None, None, None, D(1), None), (2, None, None, None, None, None, None, None, None)]
+    got = report_summary(spark.createDataFrame(rows_, schema)).first()
+    assert (got["total_usd"], got["total_mxn"], got["invoice_count"], got["supplier_count"]) == (2 * big, None, 2, 1)
+    none = report_summary(spark.createDataFrame([], schema)).collect()
+    assert len(none) == 1 and none[0]["row_count"] == none[0]["invoice_count"] == 0
 
 
 def test_invoice_v4(spark):
@@ -366,7 +409,8 @@ def test_balance_plus_paid_is_total(spark):
 
 def test_conformed_relations_feed_the_reports(spark, r):
     names = {"payments_v4": "payments_v4", "prepay_ers": "prepay_ers_v4"}
-    made = {n: conform(r[n], spec.RELATIONS[names.get(n, n)]) for n in
+    by_name = {s.name: s for s in vars(spec).values() if isinstance(s, spec.RelationSpec)}
+    made = {n: conform(r[n], by_name[names.get(n, n)]) for n in
             ("taxes_v4", "withholding", "distributions", "payments_v4", "prepay_ers")}
     made["invoices"] = conform(r["invoices_v2"], spec.INVOICES_V4)
     report = reports.report_invoice_v4(

@@ -130,5 +130,5 @@ def test_there_are_fewer_hot_keys_than_shares(spark, monkeypatch):
 def test_partition_sizes():
     few, many = sized_for(10**9), sized_for(10**14)
     assert few["spark.sql.shuffle.partitions"] == "200"
-    assert many["spark.sql.shuffle.partitions"] == "100000"
+    assert many["spark.sql.shuffle.partitions"] == str(-(-(10**14) // 2**27))
     assert sized_for(2**40)["spark.sql.shuffle.partitions"] == "8192"

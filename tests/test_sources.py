@@ -40,10 +40,46 @@ def test_csv_with_dirty_header_and_tokens(spark, tmp_path):
 
 def test_quotes_and_line_breaks(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'CUENTA_NUM,CUENTA_DESCRIPCION\n0501,"say ""hi"", and\nmore"\n')
-    df = files.read_extract(spark, spec.CHART_OF_ACCOUNTS, path, multi_line=True)
+    df = files.read_extract(spark, spec.CHART_OF_ACCOUNTS, path)
     assert rows(df) == [("0501", 'say "hi", and\nmore')]
 
 
+def test_line_breaks_by_lines_fail(spark, tmp_path):
+    """Files that are said to have no line breaks in cells are split; a broken record is an error, not a row."""
+    fine = write(tmp_path / "f.csv", 'CUENTA_NUM,CUENTA_DESCRIPCION\n0501,"a, b"\n0502,c\n')
+    assert files.read_extract(spark, spec.CHART_OF_ACCOUNTS, fine, one_line=True).count() == 2
+    broken = write(tmp_path / "b.csv", 'CUENTA_NUM,CUENTA_DESCRIPCION\n0501,"two\nlines"\n')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        files.read_extract(spark, spec.CHART_OF_ACCOUNTS, broken, one_line=True).collect()
+
+
+def test_identifiers_read_from_numbers(spark):
+    df = spark.createDataFrame([(100.0, 50123.0, 7.5)], "ORDEN_COMPRA double, NUM_PROV double, VOUCHER_NUM double")
+    got = files.conform(df, spec.INVOICES_V2).select("ORDEN_COMPRA", "NUM_PROV", "VOUCHER_NUM")
+    # a fraction is not rounded to the number of another
+    assert rows(got) == [("100", "50123", "7.5")]
+
+
+def test_uuid_from_the_attribute(spark):
+    df = spark.createDataFrame([("1", "abc")], "INVOICE_ID string, GLOBAL_ATTRIBUTE1 string")
+    assert rows(files.conform(df, spec.INVOICES_V2), "UUID", "GLOBAL_ATTRIBUTE1") == [("abc", "abc")]
+    both = df.selectExpr("*", "'own' AS UUID")
+    assert rows(files.conform(both, spec.INVOICES_V2), "UUID") == [("own",)]
+
+
+def test_rates_under_other_names(spark):
+    df = spark.createDataFrame([("2025-01-02", "USD", "17.5")], "DIA_FECHA string, FROM_CURRENCY string, TASA_DIA string")
+    got = files.conform(df, spec.DAILY_RATES).select("FECHA_TASA", "CONVERSION_RATE", "FROM_CURRENCY", "TO_CURRENCY")
+    assert rows(got) == [(dt.date(2025, 1, 2), D("17.500000"), "USD", None)]
+
+
+def test_require(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert files.require(df) is df
+    with pytest.raises(ValueError, match="invoices has no rows"):
+        files.require(df.where("a > 1"), "invoices")
+
+
 def test_repeated_header_is_an_error(spark, tmp_path):
     path = write(tmp_path / "d.csv", "INVOICE_ID, invoice_id\n1,2\n")
     with pytest.raises(ValueError, match="repeated"):
