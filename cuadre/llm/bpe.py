@@ -16,6 +16,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 NO_RANK = np.iinfo(np.int64).max
 #: Words whose ids a task keeps; the store is emptied when it is full.
 KNOWN_WORDS = 400_000
+#: Ids whose bytes are gathered at a time, which bounds the memory for long texts.
+GATHERED_IDS = 500_000
 
 
 def byte_letters() -> list[str]:
@@ -167,6 +170,28 @@ class Encoder:
         return np.frombuffer(b"".join(packed), dtype=np.int32), ends
 
 
+class Decoder:
+    """Texts of lists of ids: the bytes of all tokens are gathered at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        tokens = vocabulary.token_bytes
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.begins = np.cumsum(self.lengths) - self.lengths
+
+    def decode(self, lists: pa.ListArray) -> list[str]:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        content = b"".join(self.gather(ids[at : at + GATHERED_IDS]) for at in range(0, len(ids), GATHERED_IDS))
+        ends = np.concatenate(([0], np.cumsum(self.lengths[ids])))[np.cumsum(sizes)].tolist()
+        return [content[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
+
+    def gather(self, ids: np.ndarray) -> bytes:
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.bytes[np.repeat(self.begins[ids] - (ends - lengths), lengths) + np.arange(ends[-1])].tobytes()
+
+
 def read_vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
@@ -202,11 +227,10 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", text: str = "t
     schema = kinds(encoded, [*carried, ids], f"`{text}` string")
 
     def make():
-        bytes_of = Vocabulary(shared.value).token_bytes.__getitem__
+        decoder = Decoder(Vocabulary(shared.value))
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = batch.column(batch.num_columns - 1)
-            texts = [b"".join(map(bytes_of, row or ())).decode("utf-8", "replace") for row in rows.to_pylist()]
+            texts = decoder.decode(batch.column(batch.num_columns - 1))
             return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
         return one
