@@ -27,7 +27,7 @@ EDGE = pa.struct(
     [("tail", pa.binary()), ("rightward", pa.list_(pa.int32())), ("leftward", pa.list_(pa.int32()))]
 )
 #: Sampled strings for each range: their number bounds how uneven the ranges are.
-SAMPLES = 48
+SAMPLES = 16
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -116,24 +116,31 @@ class LoserTree:
         return other
 
 
-def splitters(df: DataFrame, key: str, second: str, ranges: int) -> list[tuple[bytes, int]]:
-    """Bounds of `ranges` ranges of about equal size, from `SAMPLES` sampled strings for each."""
+def splitters(df: DataFrame, key: str, second: str, rows: int) -> list[tuple[bytes, int]]:
+    """Bounds of `ranges_for(rows)` ranges of about equal size, from a sample of about `SAMPLES` strings for each.
+
+    The sample is what a hash of the row picks, one row in so many; its size grows as the number of ranges does.
+    """
+    ranges = ranges_for(rows)
     if ranges < 2:
         return []
-    sample = df.select(key, second).orderBy(F.xxhash64(key, second), key, second).limit(ranges * SAMPLES)
+    every = max(1, rows // (ranges * SAMPLES))
+    sample = df.select(key, second).where(F.pmod(F.xxhash64(key, second), F.lit(every)) == 0)
     found = sorted((bytes(r[0]), r[1]) for r in sample.collect())
     return sorted({found[len(found) * k // ranges] for k in range(1, ranges)}) if found else []
 
 
-def merge_sorted(df: DataFrame, key: str, second: str, payload: list[str], ranges: int) -> DataFrame:
+def merge_sorted(df: DataFrame, key: str, second: str, payload: list[str]) -> DataFrame:
     """Rows of `df` by (`key`, `second`): part, place, lcp, edge, `key`, `second` and `payload`. Ordered by part and
     place they are in order; `lcp` is the common prefix of `key` with the row before, and 0 for the first of a part.
     Only the first of a part has an `edge`: the part's last key (tail), and the distinct running minima of its LCPs,
     falling, from the first row rightwards (rightward) and from the last row leftwards (leftward).
 
-    `key` is binary and not null, `second` a long. A table read twice: it should be a written one.
+    `key` is binary and not null, `second` a long. `df` is read more than once: it should be a written table.
     """
-    shared = df.sparkSession.sparkContext.broadcast(splitters(df, key, second, ranges))
+    bounds = splitters(df, key, second, df.count())
+    ranges = len(bounds) + 1
+    shared = df.sparkSession.sparkContext.broadcast(bounds)
     kinds = {c: df.schema[c].dataType.simpleString() for c in payload}
     carried = "".join(f", `{c}` {k}" for c, k in kinds.items())
 
@@ -223,6 +230,6 @@ def merge_sorted(df: DataFrame, key: str, second: str, payload: list[str], range
     runs = df.select(key, second, *payload).mapInArrow(
         sort_runs, f"part int, run long, seq int, lcp int, `{key}` binary, `{second}` long{carried}"
     )
-    dealt = runs.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run", "seq")
+    dealt = runs.repartition(ranges, "part").sortWithinPartitions("part", "run", "seq")
     edge = "edge struct<tail:binary,rightward:array<int>,leftward:array<int>>"
     return dealt.mapInArrow(merge, f"part int, place long, lcp int, {edge}, `{key}` binary, `{second}` long{carried}")

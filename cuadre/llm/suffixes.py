@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadre.llm.common import kinds, per_batch, raw, row_keys, written
-from cuadre.llm.merge_sort import common_prefix, falling, merge_sorted, ranges_for
+from cuadre.llm.merge_sort import common_prefix, falling, merge_sorted
 
 LENGTH = 400
 SEED = 32
@@ -284,18 +284,19 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     seeds = found.groupBy("seed").agg(
         F.count("*").alias("total"), (F.min("span") != F.max("span")).alias("differ")
     )
-    # a seed that occurs once has no window that occurs twice
-    hits = written(found.join(seeds.where("total > 1").drop("total"), "seed"), "hits")
+    # a seed that occurs once has no window that occurs twice; the seeds are written so that AQE can split a hot one
+    repeated = written(seeds.where("total > 1").drop("total"), "seeds")
+    hits = written(found.join(repeated, "seed"), "hits")
     some = F.struct("row_a", "row_b", "place", "first", "last")
     classes = hits.groupBy("seed", "span", "differ").agg(F.count("*").alias("copies"), F.min(some).alias("some"))
     classes = written(classes, "classes")
 
     open_classes = classes.where("differ").select("some.*", "seed", "span")
     parts = written(spans_of(texts, open_classes, length), "spans")
-    merged = merge_sorted(parts, "right", "span", ["left", "seed", "nearest"], ranges_for(parts.count()))
+    merged = merge_sorted(parts, "right", "span", ["left", "seed", "nearest"])
     merged = written(merged, "sorted")
     items = written(node_items(merged, length, SEED), "items")
-    ordered = merge_sorted(items, "item", "tie", ["seed", "span", "low", "high"], ranges_for(items.count()))
+    ordered = merge_sorted(items, "item", "tie", ["seed", "span", "low", "high"])
     partly = repeated_ranges(written(ordered, "sorted"))
 
     # a class that occurs twice is repeated in all its windows; the others in the ranges found

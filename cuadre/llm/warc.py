@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuadre.llm.common import new_folder, per_batch, raw, written
-from cuadre.llm.merge_sort import merge_sorted, ranges_for
+from cuadre.llm.merge_sort import merge_sorted
 
 # The WARC version, and the profile of revisits with identical payload.
 VERSION = b"WARC/1.1"
@@ -251,6 +251,6 @@ def index(captures: DataFrame) -> DataFrame:
     keyed = written(
         per_batch(captures.select(*payload), f"capture_key binary, capture_tie long, {kinds}", make), "captures"
     )
-    merged = merge_sorted(keyed, "capture_key", "capture_tie", payload, ranges_for(keyed.count()))
+    merged = merge_sorted(keyed, "capture_key", "capture_tie", payload)
     text = F.col("capture_key").substr(F.lit(1), F.octet_length("capture_key") - 9).cast("string")
     return merged.select("part", "place", text.alias("url_key"), *payload)
