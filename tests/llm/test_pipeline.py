@@ -93,7 +93,8 @@ def test_stage_on_edge_cases(spark, name, stage):
     assert stage(spark, wide, SMALL).columns == wide.columns
     kept = [r["doc_id"] for r in found]
     if name == "language_id":
-        assert not {0, 1, 2} & set(kept) and {4, 5, 9, None} <= set(kept)
+        # texts 4 and 5 are one text with two languages: no margin
+        assert not {0, 1, 2, 4, 5} & set(kept) and {9, None} <= set(kept)
     if name == "minhash_near_dedup":
         assert 5 not in kept and {0, 1, 2, 3, 4, 7, 8, 9, None} <= set(kept)
     if name == "suffix_array_dedup":
