@@ -1,4 +1,4 @@
-"""Connected components by repeated joins."""
+"""Connected components by contraction."""
 
 from __future__ import annotations
 
@@ -11,25 +11,41 @@ from cuadre.llm.common import written
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component) of each node of `edges` (a, b: longs); the component is its smallest node.
 
-    Each round gives a node the smallest label among its own and its neighbours', then the label of its label. Rounds grow
-    with the logarithm of the longest path. Minima are taken before rows are exchanged, so a node with many
-    edges costs no task more than others.
+    In each round every node points to its smallest neighbour or to itself, pointers are doubled until all point
+    to roots, and the graph of the roots is the next round's. A smallest node is a root in every round. Edges shrink
+    from round to round, and minima are taken before rows are exchanged, so a node with many edges costs no task
+    more than others.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(both.where("a <> b").distinct(), "edges")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
-    labels = written(labels, "labels")
+    left = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    assigned = left.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
+    first = True
+    while left.limit(1).count():
+        roots = _roots(left)
+        if first:
+            assigned, first = roots, False
+        else:
+            moved = roots.select(F.col("node").alias("was"), F.col("component").alias("now"))
+            assigned = assigned.join(moved, F.col("component") == F.col("was"), "left")
+            assigned = written(assigned.select("node", F.coalesce("now", "component").alias("component")), "components")
+        for end in ("a", "b"):
+            root = roots.select(F.col("node").alias(end), F.col("component").alias(f"root_{end}"))
+            left = left.join(root, end)
+        left = left.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        left = written(left.where("a <> b").distinct(), "edges")
+    return assigned
+
+
+def _roots(edges: DataFrame) -> DataFrame:
+    """(node, component): where the pointers to smallest neighbours lead."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pointers = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    pointers = written(pointers.select("node", F.least("node", "least").alias("component")), "pointers")
     while True:
-        heard = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("to"))
-        heard = heard.agg(F.min("component").alias("heard"))
-        lower = labels.join(heard, F.col("node") == F.col("to"), "left").select(
-            "node", F.least("component", "heard").alias("next"), F.col("component").alias("was")
-        )
-        jump = labels.select(F.col("node").alias("of"), F.col("component").alias("jumped"))
-        step = lower.join(jump, F.col("next") == F.col("of"), "left").select(
-            "node", "was", F.least("next", "jumped").alias("component")
+        above = pointers.select(F.col("node").alias("of"), F.col("component").alias("next"))
+        doubled = pointers.join(above, F.col("component") == F.col("of")).select(
+            "node", F.col("next").alias("component"), (F.col("next") != F.col("component")).alias("moved")
         )
-        step = written(step, "labels")
-        labels = step.select("node", "component")
-        if not step.where("component <> was").limit(1).count():
-            return labels
+        doubled = written(doubled, "pointers")
+        pointers = doubled.select("node", "component")
+        if not doubled.where("moved").limit(1).count():
+            return pointers

@@ -128,7 +128,8 @@ def exploded_keys(classes: DataFrame) -> DataFrame:
 def families(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(id, family) of classes that share keys with others, and (id, shared) with their number of shared keys."""
     keys = exploded_keys(classes)
-    shared = keys.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1").select("key")
+    # written, so that AQE can split a hot key of the join
+    shared = written(keys.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1").select("key"), "keys")
     members = keys.join(shared, "key")
     chunk = F.expr("shiftleft(1, cast(key & 15 as int))")
     per_class = members.groupBy("id").agg(F.count("*").alias("shared"), F.bit_count(F.bit_or(chunk)).alias("chunks"))
@@ -136,7 +137,7 @@ def families(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     members = written(members, "members")
     per_class = written(per_class.where(F.col("chunks") >= enough), "shared")
     members = members.join(per_class.select("id"), "id")
-    least = members.groupBy("key").agg(F.min("id").alias("least"))
+    least = written(members.groupBy("key").agg(F.min("id").alias("least")), "least")
     edges = members.join(least, "key").where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
     grouped = connected(edges.distinct())
     return grouped.select(F.col("node").alias("id"), F.col("component").alias("family")), per_class
