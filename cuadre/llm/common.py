@@ -60,16 +60,29 @@ def kinds(df: DataFrame, carried: list[str], added: str) -> StructType:
     return StructType([df.schema[c] for c in carried] + StructType.fromDDL(added).fields)
 
 
+#: Rows that Spark hands to a Python worker at once: texts may be long, and several workers share an executor.
+BATCH_ROWS = 1_000
+
+
 def per_batch(
-    df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], most_rows: int = 2_000
+    df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], most_rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """Maps Arrow batches of `df`, in slices of `most_rows`; `make` builds the mapping once per task."""
+    """Maps Arrow batches of `df`, in slices of `most_rows`; `make` builds the mapping once per task.
+
+    The session's Arrow batches are limited to BATCH_ROWS from here on.
+    """
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(limit)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(limit, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
             for start in range(0, batch.num_rows, most_rows):
                 yield one(batch.slice(start, most_rows))
+        # workers are kept for later tasks: they should not keep this one's memory
+        del one
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -15,7 +15,6 @@ by name; repeated rows of the learning table count once; rows with a null langua
 
 from __future__ import annotations
 
-import re
 from itertools import groupby
 
 import pyarrow as pa
@@ -34,7 +33,6 @@ SHORT_BYTES = 400
 LEAST_MARGIN = 0.001
 UNKNOWN = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters in lower case and all bytes of other characters stay; the rest separates words.
 WORD_BYTES = bytes(ord(chr(b).lower()) if chr(b).isalpha() and b < 128 else b if b >= 128 else 32 for b in range(256))
 
@@ -70,7 +68,7 @@ class Languages:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin. The margin is by what share the runner-up is larger."""
-        if not text or not self.names or not LETTER.search(text):
+        if not text or not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0
         sizes = self.sizes(text)
         first, second = (sorted(sizes) * 2)[:2] if len(sizes) > 1 else (sizes[0], 2 * sizes[0])
@@ -101,13 +99,16 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple
     return [(name, [r["text"] for r in rows if r["lang"] == name]) for name in order]
 
 
-def identify(docs: DataFrame, samples: list[tuple[str, list[str]]], text: str = "text") -> DataFrame:
-    """`docs` with `lang_pred`, `score`, `margin` and `rejected` in place of `text`."""
+def identify(
+    docs: DataFrame, samples: list[tuple[str, list[str]]], text: str = "text", keep_text: bool = False
+) -> DataFrame:
+    """`docs` with `lang_pred`, `score`, `margin` and `rejected`, in place of `text` or behind it."""
     shared = docs.sparkSession.sparkContext.broadcast(samples)
     added = ["lang_pred", "score", "margin", "rejected"]
     carried = [c for c in docs.columns if c not in (text, *added)]
     prepared = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("text"))
-    schema = kinds(docs, carried, "lang_pred string, score double, margin double, rejected boolean")
+    columns = [*carried, "text"] if keep_text else carried
+    schema = kinds(prepared, columns, "lang_pred string, score double, margin double, rejected boolean")
 
     def make():
         languages = Languages(shared.value)
@@ -118,7 +119,7 @@ def identify(docs: DataFrame, samples: list[tuple[str, list[str]]], text: str =
             rejected = [name == UNKNOWN or margin < LEAST_MARGIN for name, _, margin in found]
             new = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())]
             return pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *new, pa.array(rejected, pa.bool_())], names=[*carried, *added]
+                [*batch.columns[: len(columns)], *new, pa.array(rejected, pa.bool_())], names=[*columns, *added]
             )
 
         return one
