@@ -7,8 +7,8 @@ when that is at most `ERROR / (strata x rules)` for it and for every higher cuto
 tested in a fixed sequence, from the highest down to the first failure, so that their number needs no correction,
 and strata and rules are corrected for by Bonferroni. With probability 1 - ERROR every rule keeps its share in
 every stratum, and all rules of a stratum together reject at most the share RISK of good documents. Of the
-permitted cutoffs that one is taken which separates rejected bad from rejected good documents best, and the
-highest of equals. Without a permitted cutoff that rejects a labelled bad document the rule is off there.
+permitted cutoffs that one is taken which separates rejected bad from rejected good documents best, where a share of
+good documents weighs GOOD_WEIGHT times as much as one of bad documents, and the highest of equals. Without a permitted cutoff that rejects a labelled bad document the rule is off there.
 
 Strata with fewer good documents than any cutoff needs are pooled, and so are values without labels.
 
@@ -34,16 +34,20 @@ RISK = 0.1
 ERROR = 0.05
 #: Cutoffs are the steps k / STEPS of a ratio between 0 and 1.
 STEPS = 100
+GOOD_WEIGHT = 20
 BASE_LEAST_WORDS = 50
 BASE_REPEAT_PERCENT = 50
 
 
+RULES = ("symbols", "upper", "dup_lines", "repeat_words", "digits")
+
+
 def share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.least(F.lit(1.0), part / F.nullif(whole.cast("double"), F.lit(0.0))), F.lit(0.0))
 
 
 def ratios() -> dict[str, Column]:
-    """Rule -> ratio between 0 and 1, from the columns of signals.NAMES."""
+    """Rule of RULES -> ratio between 0 and 1, from the columns of signals.NAMES."""
     c = F.col
     return {
         "symbols": share(c("n_symbols") + c("n_exclaims"), c("n_words")),
@@ -111,7 +115,7 @@ def choose_cutoffs(counts: list[tuple[str | None, str, int, int, int]], risk: fl
     `counts`: stratum, rule, step, good and bad documents; a ratio in step s is above s / STEPS and at most
     (s + 1) / STEPS, and step -1 is 0.
     """
-    rules = list(ratios())
+    rules = RULES
     part = risk / len(rules)
     good_of: dict = {}
     for stratum, rule, _, good, _ in counts:
@@ -133,7 +137,7 @@ def choose_cutoffs(counts: list[tuple[str | None, str, int, int, int]], risk: fl
             over_good, over_bad = over_good + rows[step + 1][0], over_bad + rows[step + 1][1]
             if not n or binomial_tail(over_good, n, part) > level:
                 break
-            gain = (over_bad / m if m else 0.0) - over_good / n
+            gain = (over_bad / m if m else 0.0) - GOOD_WEIGHT * over_good / n
             if gain > best:
                 best, chosen[place] = gain, step / STEPS
     return chosen

@@ -169,16 +169,20 @@ def test_cutoffs_keep_the_risk_in_every_stratum():
             truth[stratum] = lambda cut, s=spread: (1 - cut) ** s
             for values, is_good in ((good, True), (bad, False)):
                 for step, n in Counter((np.ceil(values * rules.STEPS) - 1).astype(int).tolist()).items():
-                    counts += [(stratum, rule, step, n * is_good, n * (not is_good)) for rule in rules.ratios()]
+                    counts += [(stratum, rule, step, n * is_good, n * (not is_good)) for rule in rules.RULES]
         chosen = rules.choose_cutoffs(counts, rules.RISK, rules.ERROR)
         assert ("few", "symbols") not in chosen and (rules.POOLED, "symbols") in chosen
         assert chosen["b", "symbols"] is not None
         for (stratum, _), cut in chosen.items():
             if stratum is not rules.POOLED and cut is not None:
-                broken += truth[stratum](cut) > rules.RISK / len(rules.ratios())
+                broken += truth[stratum](cut) > rules.RISK / len(rules.RULES)
     assert broken <= 60 * 15 * 0.05
 
 
+def test_rules_have_ratios(spark):
+    assert tuple(rules.ratios()) == rules.RULES
+
+
 def test_a_rule_without_bad_documents_is_off():
-    counts = [("a", rule, -1, 5000, 0) for rule in rules.ratios()]
+    counts = [("a", rule, -1, 5000, 0) for rule in rules.RULES]
     assert set(rules.choose_cutoffs(counts, rules.RISK, rules.ERROR).values()) == {None}
