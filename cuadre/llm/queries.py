@@ -56,7 +56,7 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["begin"])
     return cut.select(
         "doc_id",
-        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        (F.octet_length("kept") + n_removed).alias("n_bytes"),
         n_removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),

@@ -312,15 +312,15 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", as_text: bool = False
 ) -> DataFrame:
-    """`docs` with `kept` (the remaining bytes) and `removed`, an array of (begin, end) byte ranges. With `as_text`,
-    `kept` is the text of the whole characters among them, in place of `text`.
+    """`docs` with `kept` (the remaining bytes, or with `as_text` the text of the whole characters among them) in place
+    of `text`, and `removed`, an array of (begin, end) byte ranges.
 
     Rows of equal id and text get the same result; each of them counts as an occurrence.
     """
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     row_a, row_b = row_keys(doc_id, text)
-    own = {"kept", "removed", "content", "row_a", "row_b", "found"} | ({text} if as_text else set())
-    carried = [c for c in docs.columns if c not in own]
+    # the text goes through the joins and to the workers once
+    carried = [c for c in docs.columns if c not in (text, "kept", "removed", "content", "row_a", "row_b", "found")]
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], content.alias("content"), row_a, row_b)
     texts = rows.select("row_a", "row_b", F.col("content").alias("text")).where(F.octet_length("text") >= length)
     found = repeated_windows(texts, length)
