@@ -53,27 +53,29 @@ def fingerprints(words: np.ndarray, length: int) -> np.ndarray:
 
 
 def item_table(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, item (a number for the id and text), words (their hashes), seeds and seed_length."""
+    """item_id, item (a number for the id and text), words (their hashes), seeds, at how many places of the item each
+    seed stands (stands) and seed_length."""
     read = benchmark.select(
         F.col(f"`{item_id}`").cast("long").alias("item_id"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
     read = read.distinct().select("item_id", F.xxhash64("item_id", "text").alias("item"), "text")
-    names = ["item_id", "item", "words", "seeds", "seed_length"]
+    names = ["item_id", "item", "words", "seeds", "stands", "seed_length"]
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             words = [word_hashes(x) for x in raw(batch.column(2))]
             lengths = [min(LEAST, len(w)) for w in words]
-            seeds = [np.unique(fingerprints(w, n)) if n else w for w, n in zip(words, lengths)]
-            lists = [pa.array([x.view(np.int64) for x in column], pa.list_(pa.int64())) for column in (words, seeds)]
+            counted = [np.unique(fingerprints(w, n) if n else w, return_counts=True) for w, n in zip(words, lengths)]
+            seeds, stands = [x for x, _ in counted], [x for _, x in counted]
+            lists = [pa.array([x.view(np.int64) for x in c], pa.list_(pa.int64())) for c in (words, seeds, stands)]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *lists, pa.array(lengths, pa.int32())], names=names
             )
 
         return one
 
-    schema = "item_id long, item long, words array<long>, seeds array<long>, seed_length int"
+    schema = "item_id long, item long, words array<long>, seeds array<long>, stands array<long>, seed_length int"
     return per_batch(read, schema, make).where("seed_length > 0")
 
 
@@ -198,13 +200,14 @@ def matches(
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(*row_keys(doc_id, text), F.col(f"`{doc_id}`").alias("doc_id"), content.alias("text"))
     found = written(document_seeds(rows, items).dropDuplicates(["row_a", "row_b"]), "seeds")
-    of_item = items.select("item", F.size("words").alias("n_words"), "seed_length", F.explode("seeds").alias("seed"))
+    each = F.inline(F.arrays_zip("seeds", "stands")).alias("seed", "stands")
+    of_item = items.select("item", F.size("words").alias("n_words"), "seed_length", each)
     of_doc = found.select("row_a", "row_b", F.explode("seeds").alias("seed"))
     pairs = of_doc.join(of_item, "seed").groupBy("row_a", "row_b", "item")
-    pairs = pairs.agg(F.count("*").alias("shared"), F.first("n_words").alias("n_words"), F.first("seed_length").alias("k"))
-    # each shared seed covers at most its own words
-    pairs = pairs.where(F.col("shared") * F.col("k") >= coverage * F.col("n_words")).select("row_a", "row_b", "item")
-    given = pairs.join(found.drop("seeds"), ["row_a", "row_b"]).join(items.drop("seeds"), "item")
+    pairs = pairs.agg(F.sum("stands").alias("places"), F.first("n_words").alias("n_words"), F.first("seed_length").alias("k"))
+    # a tile's words are words of shared seeds, and each place of one in the item has k of them
+    pairs = pairs.where(F.col("places") * F.col("k") >= coverage * F.col("n_words")).select("row_a", "row_b", "item")
+    given = pairs.join(found.drop("seeds"), ["row_a", "row_b"]).join(items.drop("seeds", "stands"), "item")
     given = given.select("row_a", "row_b", "doc_id", "item_id", "places", "stretches", "words", "seed_length")
     tile = pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())])
     names = ["row_a", "row_b", "doc_id", "item_id", "n_words", "covered", "tiles"]

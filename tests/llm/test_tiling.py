@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from cuadre.llm import tiling
 from cuadre.llm.licences import words_of
 from cuadre.llm.queries import op5_decontamination
@@ -91,6 +92,21 @@ def test_short_items_match_whole(spark):
     assert [(r["doc_id"], r["item_id"]) for r in found] == [(0, 1)]
 
 
+def test_items_made_of_one_unit_are_caught(spark, tmp_path):
+    """A seed that stands at several places of an item covers them all."""
+    unit = [f"u{i}" for i in range(10)]
+    items = [unit * 7, [x + "x" for x in unit[:8]] * 8, ["same"] * 40]
+    filler = " ".join(f"f{i}" for i in range(20))
+    texts = [f"{filler} {' '.join(x)} {filler}" for x in items]
+    texts += [" ".join(unit * 5), " ".join(["same"] * 31), filler]  # covers 50 of 70, 31 of 40 words
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], BENCHMARK)
+    docs = documents(spark, texts)
+    found = tiling.matches(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["covered"]) for r in found} == {(0, 0, 70), (1, 1, 64), (2, 2, 40)}
+    left = corpus_pipeline.decontamination(spark, docs, folder(spark, tmp_path, benchmark=benchmark))
+    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5]
+
+
 def test_edge_cases(spark, tmp_path):
     benchmark = spark.createDataFrame([(1, "the same text twice over and over")], BENCHMARK)
     found = op5_decontamination(spark, folder(spark, tmp_path, documents=edge_documents(spark), benchmark=benchmark))
