@@ -309,21 +309,77 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     return hits.select("row_a", "row_b", begin.alias("begin"), end.alias("end"))
 
 
+def word_windows(text: bytes, words: int, below: int) -> dict[bytes, list[list[int]]]:
+    """Digest -> byte ranges, overlapping ones joined, of the runs of `words` words that have less than `below` bytes.
+    White space separates words, and what stands between the words counts."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    turns = np.diff(np.concatenate(([1], space.astype(np.int8), [1])))
+    begins, ends = np.flatnonzero(turns == -1)[: -words + 1 or None], np.flatnonzero(turns == 1)[words - 1 :]
+    if not len(ends):
+        return {}
+    short = np.flatnonzero(ends - begins < below)
+    found: dict[bytes, list[list[int]]] = {}
+    for a, b in zip(begins[short].tolist(), ends[short].tolist()):
+        ranges = found.setdefault(xxhash.xxh3_128_digest(text[a:b]), [])
+        if ranges and a <= ranges[-1][1]:
+            ranges[-1][1] = b
+        else:
+            ranges.append([a, b])
+    return found
+
+
+def shared_passages(texts: DataFrame, words: int, below: int) -> DataFrame:
+    """row_a, row_b, begin, end: byte ranges of passages of at least `words` words, of which no run of `words` words has
+    `below` bytes, that stand in two rows of `texts` (row_a, row_b, text)."""
+    names = ["row_a", "row_b", "key_a", "key_b", "ranges"]
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+
+    def make():
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows, keys, ranges = [], [], []
+            for number, content in enumerate(raw(batch.column(2))):
+                for key, found in word_windows(content, words, below).items():
+                    rows.append(number)
+                    keys.append(key)
+                    ranges.append([{"begin": a, "end": b} for a, b in found])
+            halves = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
+            ids = [batch.column(k).take(pa.array(rows, pa.int64())) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(
+                [*ids, pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(ranges, kind)], names=names
+            )
+
+        return one
+
+    schema = "row_a long, row_b long, key_a long, key_b long, ranges array<struct<begin:int,end:int>>"
+    windows = written(per_batch(texts, schema, make, most_rows=500), "windows")
+    # written, so that AQE can split a hot key of the join
+    counts = windows.groupBy("key_a", "key_b").agg(F.count("*").alias("rows"))
+    shared = written(counts.where("rows > 1").drop("rows"), "shared")
+    return windows.join(shared, ["key_a", "key_b"]).select("row_a", "row_b", F.inline("ranges"))
+
+
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", as_text: bool = False
-) -> DataFrame:
+    docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", as_text: bool = False,
+    passage_words: int | None = None,
+) -> DataFrame:
     """`docs` with `kept` (the remaining bytes, or with `as_text` the text of the whole characters among them) in place
     of `text`, and `removed`, an array of (begin, end) byte ranges.
 
-    Rows of equal id and text get the same result; each of them counts as an occurrence.
+    With `passage_words`, passages of so many words that two rows share are removed also where they have less than
+    `length` bytes. Rows of equal id and text get the same result; each of them counts as an occurrence.
     """
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     row_a, row_b = row_keys(doc_id, text)
     # the text goes through the joins and to the workers once
     carried = [c for c in docs.columns if c not in (text, "kept", "removed", "content", "row_a", "row_b", "found")]
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], content.alias("content"), row_a, row_b)
-    texts = rows.select("row_a", "row_b", F.col("content").alias("text")).where(F.octet_length("text") >= length)
-    found = repeated_windows(texts, length)
+    texts = rows.select("row_a", "row_b", F.col("content").alias("text"))
+    found = repeated_windows(texts.where(F.octet_length("text") >= length), length)
+    if passage_words:
+        # so many words have one byte each at least, and one between them
+        enough = texts.where(F.octet_length("text") >= 2 * passage_words - 1)
+        found = found.unionByName(shared_passages(enough, passage_words, length))
     spans = found.groupBy("row_a", "row_b").agg(F.collect_set(F.struct("begin", "end")).alias("found"))
     joined = rows.join(spans, ["row_a", "row_b"], "left")
     prepared = joined.select(*[F.col(f"`{c}`") for c in carried], "content", "found")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from tokenizers import Tokenizer
@@ -120,3 +121,19 @@ def test_cut_characters_leave_nothing_behind(spark):
     given = spark.createDataFrame([(1, "a" + shared + "b", "fr", "s", 202), (2, shared + "c", "fr", "s", 201)], DOCUMENTS)
     found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.repeats(spark, given, SMALL).collect()}
     assert found == {1: ("ab", 2), 2: ("c", 1)}
+
+
+def test_shared_passages_of_short_words_go(spark):
+    """50 words may have far less than REPEAT_BYTES bytes."""
+    draw = random.Random(3)
+    word = lambda n: "".join(draw.choice("abcdefghijklmnop") for _ in range(n))
+    passages = [" ".join(word(n) for _ in range(count)) for n, count in ((1, 51), (2, 60), (3, 50), (2, 49))]
+    own = [" ".join(word(9) for _ in range(8)) for _ in range(6)]
+    assert all(len(p) < pipeline.REPEAT_BYTES for p in passages)
+    texts = [f"{own[0]} {passages[0]} {own[1]} {passages[1]}", f"{passages[1]} {own[2]}\n{passages[0]}\n{own[3]}"]
+    texts += [f"{own[4]} {passages[2]}", f"{passages[2]} {own[5]}", *(f"{x} {passages[3]}" for x in own[:2])]
+    texts += ["no " * 55 + own[0]]  # repeats itself below REPEAT_BYTES, shared with no document
+    given = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
+    found = {r["doc_id"]: r["text"] for r in pipeline.repeats(spark, given, SMALL).collect()}
+    want = [f"{own[0]}  {own[1]} ", f" {own[2]}\n\n{own[3]}", f"{own[4]} ", f" {own[5]}", *texts[4:]]
+    assert found == dict(enumerate(want))
