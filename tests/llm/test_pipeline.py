@@ -137,3 +137,20 @@ def test_shared_passages_of_short_words_go(spark):
     found = {r["doc_id"]: r["text"] for r in pipeline.repeats(spark, given, SMALL).collect()}
     want = [f"{own[0]}  {own[1]} ", f" {own[2]}\n\n{own[3]}", f"{own[4]} ", f" {own[5]}", *texts[4:]]
     assert found == dict(enumerate(want))
+
+
+def test_near_duplicates_of_repeated_and_null_ids_go(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcde"}
+    near = lambda k: texts[k] + " more"
+    given = [
+        (1, texts["a"]), (2, near("a")), (2, texts["b"]),  # one of two texts of an id goes
+        (3, texts["c"]), (3, near("c")),  # near duplicates of one id: one stays
+        (None, near("b")), (None, texts["d"]), (None, texts["d"]), (None, near("d")),  # without an id
+        (0, near("e")), (None, texts["e"]), (None, ""), (4, ""), (5, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in given], DOCUMENTS)
+    found = [(r["doc_id"], r["text"]) for r in pipeline.near_duplicates(spark, docs, SMALL).collect()]
+    either = lambda i, k: sum((i, t) in found for t in (texts[k], near(k)))
+    assert either(3, "c") == either(None, "d") == 1
+    sure = {(1, texts["a"]), (2, texts["b"]), (0, near("e")), (None, ""), (4, ""), (5, None)}
+    assert sure < set(found) and len(found) == len(sure) + 2
