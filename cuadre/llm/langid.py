@@ -6,7 +6,9 @@ the work throughout, and the language with the smallest sum of sizes is chosen.
 when the runner-up is hardly larger.
 
 Learning takes a bounded sample: of each language the `SAMPLE_ROWS` rows with the least hash, and
-`DICTIONARY_BYTES` of their words. The number of languages is that of the labels.
+`DICTIONARY_BYTES` of their words. Every text gives the same number of first bytes, or all it has: what short texts
+leave of their shares goes to the longer ones. The executors cut, so the driver gets no more than that, however long
+texts are. The number of languages is that of the labels.
 
 Defined cases: a null text and a text without a letter are `und`, rejected, with score 0, as is any text
 where there is no labelled row; equal sizes go to the language with more learning rows, then to the first
@@ -91,12 +93,38 @@ def learning_sample(docs: DataFrame, text: str = "text", lang: str = "lang", row
     )
 
 
+def fair_words(sample: DataFrame, most: int = DICTIONARY_BYTES) -> DataFrame:
+    """`sample` with the words of each text in place of the text, cut so that those of a language have `most` bytes
+    together and no text is cut shorter than another that is cut."""
+
+    def make():
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            words = [words_only(x)[:most] for x in batch.column(3).to_pylist()]
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(words, pa.binary())], names=["lang", "hash", "total", "words"]
+            )
+
+        return one
+
+    # a few rows at once: texts of the sample may be very long
+    cut = per_batch(
+        sample.select("lang", "hash", "total", "text"), "lang string, hash long, total long, words binary", make, most_rows=8
+    )
+    # `SAMPLE_ROWS` rows a language: the level of the shares is the largest that some text, shortest first, leaves
+    by_size = Window.partitionBy("lang").orderBy("size", "hash")
+    before = F.coalesce(F.sum("size").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    left = F.count("*").over(Window.partitionBy("lang")) - F.row_number().over(by_size) + 1
+    shares = cut.withColumn("size", F.octet_length("words")).withColumn("share", F.floor((most - before) / left))
+    level = F.max("share").over(Window.partitionBy("lang")).cast("int")
+    return shares.withColumn("level", level).select("lang", "hash", "total", F.expr("substring(words, 1, level)").alias("words"))
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, list[str]]]:
     """Samples for `Languages`: the bounded sample comes to the driver, the commonest language first."""
-    rows = learning_sample(docs, text, lang).orderBy("lang", "hash").collect()
+    rows = fair_words(learning_sample(docs, text, lang)).orderBy("lang", "hash").collect()
     totals = {r["lang"]: r["total"] for r in rows}
     order = sorted(totals, key=lambda name: (-totals[name], name))
-    return [(name, [r["text"] for r in rows if r["lang"] == name]) for name in order]
+    return [(name, [bytes(r["words"]).decode("utf-8", "ignore") for r in rows if r["lang"] == name]) for name in order]
 
 
 def identify(

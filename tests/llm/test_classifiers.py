@@ -186,3 +186,16 @@ def test_rules_have_ratios(spark):
 def test_a_rule_without_bad_documents_is_off():
     counts = [("a", rule, -1, 5000, 0) for rule in rules.RULES]
     assert set(rules.choose_cutoffs(counts, rules.RISK, rules.ERROR).values()) == {None}
+
+
+def test_one_long_text_does_not_fill_a_dictionary(spark):
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(60_000))
+    texts = [long, *(long[k:] for k in (7_000, 9_000)), "some short text", *(f"text {'abcdefgh'[k]} alone" for k in range(8))]
+    given = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    [(name, found)] = langid.learn(given)
+    sizes = sorted(len(t.encode()) for t in found)
+    short = [len(langid.words_only(t)) for t in texts[3:]]
+    assert name == "en" and sizes[:9] == sorted(short) and sum(sizes) <= langid.DICTIONARY_BYTES < sum(sizes) + 16
+    assert sizes[-1] == sizes[-3]  # the long ones share the rest
+    [(_, alone)] = langid.learn(given.limit(1))
+    assert len(alone[0]) == langid.DICTIONARY_BYTES
