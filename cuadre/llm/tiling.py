@@ -199,7 +199,10 @@ def matches(
     items = written(item_table(benchmark), "items")
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(*row_keys(doc_id, text), F.col(f"`{doc_id}`").alias("doc_id"), content.alias("text"))
-    found = written(document_seeds(rows, items).dropDuplicates(["row_a", "row_b"]), "seeds")
+    # repeated documents are tiled once, and get their matches as often as they stand
+    columns = [F.first(c).alias(c) for c in ("doc_id", "seeds", "places", "stretches")]
+    found = document_seeds(rows, items).groupBy("row_a", "row_b").agg(*columns, F.count("*").alias("copies"))
+    found = written(found, "seeds")
     each = F.inline(F.arrays_zip("seeds", "stands")).alias("seed", "stands")
     of_item = items.select("item", F.size("words").alias("n_words"), "seed_length", each)
     of_doc = found.select("row_a", "row_b", F.explode("seeds").alias("seed"))
@@ -208,9 +211,9 @@ def matches(
     # a tile's words are words of shared seeds, and each place of one in the item has k of them
     pairs = pairs.where(F.col("places") * F.col("k") >= coverage * F.col("n_words")).select("row_a", "row_b", "item")
     given = pairs.join(found.drop("seeds"), ["row_a", "row_b"]).join(items.drop("seeds", "stands"), "item")
-    given = given.select("row_a", "row_b", "doc_id", "item_id", "places", "stretches", "words", "seed_length")
+    given = given.select("row_a", "row_b", "doc_id", "item_id", "copies", "places", "stretches", "words", "seed_length")
     tile = pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())])
-    names = ["row_a", "row_b", "doc_id", "item_id", "n_words", "covered", "tiles"]
+    names = ["row_a", "row_b", "doc_id", "item_id", "copies", "n_words", "covered", "tiles"]
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -225,7 +228,7 @@ def matches(
                 covered.append(sum(n for _, _, n in found))
                 tiles.append([{"doc_word": at[i], "item_word": j, "n_words": n} for i, j, n in found])
             return pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(4)), pa.array(sizes, pa.int64()), pa.array(covered, pa.int64()),
+                [*(batch.column(k) for k in range(5)), pa.array(sizes, pa.int64()), pa.array(covered, pa.int64()),
                  pa.array(tiles, pa.list_(tile))],
                 names=names,
             )
@@ -233,8 +236,9 @@ def matches(
         return one
 
     schema = (
-        "row_a long, row_b long, doc_id long, item_id long, n_words long, covered long,"
+        "row_a long, row_b long, doc_id long, item_id long, copies long, n_words long, covered long,"
         " tiles array<struct<doc_word:long,item_word:long,n_words:long>>"
     )
     tiled = per_batch(given, schema, make).withColumn("coverage", F.col("covered") / F.col("n_words"))
-    return tiled.where(F.col("coverage") >= coverage)
+    tiled = tiled.where(F.col("coverage") >= coverage)
+    return tiled.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies")

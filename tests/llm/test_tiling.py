@@ -107,6 +107,13 @@ def test_items_made_of_one_unit_are_caught(spark, tmp_path):
     assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5]
 
 
+def test_repeated_documents_each_get_their_matches(spark):
+    benchmark = spark.createDataFrame([(1, "the same text twice over and over"), (2, "the same text twice")], BENCHMARK)
+    found = tiling.matches(edge_documents(spark), benchmark)
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(4, 1), (4, 2), *[(5, 1)] * 2, *[(5, 2)] * 2]
+    assert found.columns == ["row_a", "row_b", "doc_id", "item_id", "n_words", "covered", "tiles", "coverage"]
+
+
 def test_edge_cases(spark, tmp_path):
     benchmark = spark.createDataFrame([(1, "the same text twice over and over")], BENCHMARK)
     found = op5_decontamination(spark, folder(spark, tmp_path, documents=edge_documents(spark), benchmark=benchmark))
