@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadre.llm import bpe, chat, langid, licences, neardup, ranking, rules, suffixes, tiling, warc
+from cuadre.llm import bpe, chat, langid, licences, merkle, neardup, ranking, records, rules, suffixes, tiling, trie, warc
 from cuadre.llm.common import learn_fold, new_folder, table
 
 #: Folds whose labels are held out: doc_id hashes to this remainder.
@@ -13,10 +13,14 @@ QUALITY_FOLDS, QUALITY_HELD = 5, 0
 LANGUAGE_FOLDS, LANGUAGE_HELD = 3, 1
 
 
-def vocabulary_path() -> str:
+#: The id that ends a document in files of token ids.
+END_ID = 1
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +119,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.verified(merkle.manifest(table(spark, sf_dir, "documents")))
+    as_text = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return found.select("doc_id", *as_text, "proof_sha256", "folded_root", "verified")
+
+
+def op12_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = bpe.read_vocabulary(vocabulary_path("word_bpe_49k.json"))
+    files = records.write(docs, vocabulary, END_ID, new_folder(spark, "records"))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return records.read(files).select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -126,6 +148,9 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_chat": op9_chat,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle": op11_merkle,
+    "op12_records": op12_records,
+    "op13_trie": op13_trie,
 }
 #: None of the queries can be said in SQL: each is tested against brute force.
 ORACLE: dict[str, str] = {}
