@@ -20,18 +20,22 @@ has no files and no rows.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import string
 import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import written
+from cuadre.llm.bpe import byte_letters
+from cuadre.llm.common import new_folder, written
 
 # CRC-32C and its mask.
 POLYNOMIAL = 0x82F63B78
@@ -44,8 +48,14 @@ HEAD_BYTES = struct.calcsize(HEAD)
 #: Bytes of a file that a task reads at a time, and records that are checked at a time.
 PIECE_BYTES = 16 << 20
 CHECKED_RECORDS = 1_000
+#: Texts that are encoded at a time: pieces that they share are encoded once.
+ENCODED_ROWS = 4_000
 #: Words whose ids a task keeps; the store is emptied when it is full.
 KNOWN_WORDS = 400_000
+#: Letters of ASCII and Latin-1, which normalizing leaves composed; part of a pattern.
+SIMPLE = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Marks that never share a word with a letter before them; an apostrophe may.
+ASCII_MARKS = string.punctuation.replace("'", "")
 
 
 # ---- checksums ---------------------------------------------------------------
@@ -118,11 +128,30 @@ class Checksums:
 # ---- encoding ----------------------------------------------------------------
 
 
+def gathered(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of `values` that begin at `begins`, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(begins - (ends - sizes), sizes) + np.arange(total)]
+
+
+def tails(texts: pa.StringArray, heads: pa.StringArray) -> pa.StringArray:
+    """Of each text what follows its head."""
+    begins = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts)]
+    kept = pc.binary_length(heads).to_numpy()
+    sizes = pc.binary_length(texts).to_numpy() - kept
+    content = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    found = gathered(content, begins + kept, sizes)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(found.tobytes()))
+
+
 class Encoder:
     """Ids of texts by the tokenizers library.
 
-    Where the vocabulary drops white space, no token reaches over it: each piece between ASCII white space is then
-    encoded by itself, and pieces that the task has met before are not encoded again.
+    Where the vocabulary drops white space, no token reaches over it: the distinct pieces between ASCII white space of a
+    batch are then encoded by themselves, and their ids gathered. A piece of `SIMPLE` letters is a single word of the
+    model once it is in lower case, whatever marks follow it; words that the task has met before are not encoded again.
     """
 
     def __init__(self, vocabulary: str, end_id: int):
@@ -132,31 +161,75 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        width = id_bytes(vocabulary)
-        self.kind = np.dtype(f"<u{width}")
-        self.end = np.array([end_id], self.kind).tobytes()
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # words are kept here
+        self.kind = np.dtype(f"<u{id_bytes(vocabulary)}")
+        self.end_id = end_id
         self.pieces = drops_white_space(vocabulary)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, pieces: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False)
-        self.known.update((p, np.array(x.ids, self.kind).tobytes()) for p, x in zip(pieces, found))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text and the end id."""
-        parts = [text.split() if self.pieces else [text] for text in texts]
-        met = set().union(*parts)
-        new = met - self.known.keys()
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = met
-        if new:
-            self.learn(sorted(new))
-        ids_of = self.known.__getitem__
-        encoded = [b"".join([*map(ids_of, pieces), self.end]) for pieces in parts]
+        self.letters = dict(enumerate(byte_letters()))
+        self.words: dict[str, list[int]] = {}
+
+    def of_text(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def of_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of simple letters in lower case."""
+        if len(self.words) > KNOWN_WORDS:
+            self.words.clear()
+        known, tokenize, found = self.words, self.model.tokenize, []
+        gc.disable()  # many small lists come into being, none of them in a cycle
+        try:
+            for word in words:
+                if (ids := known.get(word)) is None:
+                    letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                    ids = known[word] = [token.id for token in tokenize(letters)]
+                found.append(ids)
+        finally:
+            gc.enable()
+        return found
+
+    def encode(self, texts: pa.StringArray) -> tuple[bytes, np.ndarray]:
+        """The ids of all texts, each followed by the end id, and the number of ids of each text."""
         if not self.pieces:
-            self.known.clear()
-        return encoded
+            lists = [[*self.of_text(text), self.end_id] for text in texts.to_pylist()]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            return np.fromiter((i for x in lists for i in x), self.kind, int(sizes.sum())).tobytes(), sizes
+        split = pc.ascii_split_whitespace(texts)
+        counts = pc.list_value_length(split).to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        units, first, second = self.units(coded.dictionary)
+        piece = coded.indices.to_numpy()
+        # each piece has two units, a word and its marks; a text ends with the unit of the end id
+        text = np.repeat(np.arange(len(counts)), counts)
+        at = 2 * np.arange(len(piece)) + text
+        ends = 2 * np.cumsum(counts) + np.arange(len(counts))
+        unit = np.zeros(2 * len(piece) + len(counts), np.int64)
+        unit[at], unit[at + 1] = first[piece], second[piece]
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        flat = np.fromiter((i for x in units for i in x), self.kind, int(sizes.sum()))
+        of_unit = sizes[unit]
+        ids = gathered(flat, (np.cumsum(sizes) - sizes)[unit], of_unit)
+        until = np.cumsum(of_unit)[ends]
+        return ids.tobytes(), np.diff(until, prepend=0)
+
+    def units(self, pieces: pa.StringArray) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+        """Lists of ids, the end id's first, and for each piece the two lists that make up its ids."""
+        heads = pc.utf8_rtrim(pieces, characters=ASCII_MARKS)
+        simple = pc.match_substring_regex(heads, f"^[{SIMPLE}]+$")
+        words = pc.utf8_lower(heads.filter(simple)).dictionary_encode()
+        marks = tails(pieces, heads).filter(simple).dictionary_encode()
+        others = pieces.filter(pc.invert(simple))
+        lists = [[self.end_id], *self.of_words(words.dictionary.to_pylist())]
+        marks_from, others_from = len(lists), len(lists) + len(marks.dictionary)
+        lists += [self.of_text(x) for part in (marks.dictionary, others) for x in part.to_pylist()]
+        nothing = len(lists)
+        lists.append([])
+        is_simple = simple.to_numpy(zero_copy_only=False)
+        first, second = np.empty(len(pieces), np.int64), np.full(len(pieces), nothing)
+        first[is_simple] = 1 + words.indices.to_numpy()
+        second[is_simple] = marks_from + marks.indices.to_numpy()
+        first[~is_simple] = others_from + np.arange(len(others))
+        return lists, first, second
 
 
 def id_bytes(vocabulary: str) -> int:
@@ -178,6 +251,18 @@ def drops_white_space(vocabulary: str) -> bool:
 # ---- files -------------------------------------------------------------------
 
 
+def framed_parts(payloads: list[bytes], checks: Checksums) -> Iterator[tuple[bytes, list[int]]]:
+    """The records of `payloads`, some at a time, and the bytes of each."""
+    for start in range(0, len(payloads), CHECKED_RECORDS):
+        some = payloads[start : start + CHECKED_RECORDS]
+        lengths = [struct.pack("<Q", len(p)) for p in some]
+        of_lengths, of_payloads = (checks.masked(x).astype("<u4").tobytes() for x in (lengths, some))
+        parts = (
+            x for k, (n, p) in enumerate(zip(lengths, some)) for x in (n, of_lengths[4 * k : 4 * k + 4], p, of_payloads[4 * k : 4 * k + 4])
+        )
+        yield b"".join(parts), [16 + len(p) for p in some]
+
+
 def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> DataFrame:
     """Writes `docs` (doc_id, text) as records with an index under `folder`, a new one that all executors share.
 
@@ -201,28 +286,23 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> DataFra
         encoder = checks = out = None
         index, at, tokens = [], 0, 0
         for batch in batches:
-            for start in range(0, batch.num_rows, CHECKED_RECORDS):
+            for start in range(0, batch.num_rows, ENCODED_ROWS):
                 if out is None:
                     encoder, checks = Encoder(shared.value, end_id), Checksums()
+                    width = encoder.kind.itemsize
                     store.create_dir(top)
                     out = store.open_output_stream(own, compression=None)
-                some = batch.slice(start, CHECKED_RECORDS)
-                ids = encoder.encode(some.column(1).cast(pa.binary()).to_pylist())
-                width = encoder.kind.itemsize
-                payloads = [
-                    struct.pack(HEAD, width + (NO_KEY if key is None else 0), key or 0) + x
-                    for key, x in zip(some.column(0).to_pylist(), ids)
-                ]
-                lengths = [struct.pack("<Q", len(p)) for p in payloads]
-                sums = (x.astype("<u4").tobytes() for x in (checks.masked(lengths), checks.masked(payloads)))
-                of_lengths, of_payloads = sums
-                framed = []
-                for k, (length, payload) in enumerate(zip(lengths, payloads)):
-                    index.append((at, tokens))
-                    framed += [length, of_lengths[4 * k : 4 * k + 4], payload, of_payloads[4 * k : 4 * k + 4]]
-                    at += 16 + len(payload)
-                    tokens += (len(payload) - HEAD_BYTES) // width
-                out.write(b"".join(framed))
+                some = batch.slice(start, ENCODED_ROWS)
+                ids, counts = encoder.encode(some.column(1))
+                heads = [struct.pack(HEAD, width + (NO_KEY if key is None else 0), key or 0) for key in some.column(0).to_pylist()]
+                cuts = [0, *(width * np.cumsum(counts)).tolist()]
+                payloads = [head + ids[a:b] for head, a, b in zip(heads, cuts, cuts[1:])]
+                for framed, sizes in framed_parts(payloads, checks):
+                    out.write(framed)
+                    for size in sizes:
+                        index.append((at, tokens))
+                        at += size
+                        tokens += (size - 16 - HEAD_BYTES) // width
         if out is not None:
             out.close()
             pairs = np.array([*index, (at, tokens)], "<u8")
@@ -265,8 +345,6 @@ def parsed(records: list[bytes], checks: Checksums, path: str) -> list[tuple[int
 
 def opened(spark) -> Callable[[str], tuple]:
     """The store and plain path of a file whose path `write` returned."""
-    from cuadre.llm.common import new_folder
-
     top = new_folder(spark, "x").split("://")
     scheme = f"{top[0]}://" if len(top) > 1 else ""
     return lambda path: pyarrow.fs.FileSystem.from_uri(f"{scheme}{path}" if scheme else path)
