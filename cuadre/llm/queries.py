@@ -64,6 +64,8 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         n_removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # what is left; bytes of a character that a cut divides show as U+FFFD
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
