@@ -6,7 +6,9 @@ each task's captures into runs and merges them by URL key, time and page with lo
 into capture histories in global order.
 
 Defined cases: null html is an empty payload, a null URL an empty one; all payloads of at least `least_bytes` bytes
-may be revisited; of rows with the smallest page id of a payload each is a response; rows with a null page id come last.
+may be revisited; of rows with the smallest page id of a payload each is a response; rows with a null page id come last;
+a page id beyond the years 1 to 9999 has the first or last second of them as its date, so that time and page still order
+captures as page ids do.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ from cuadre.llm.merge_sort import merge_sorted
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
-#: Seconds from 1970 at which page 0 counts as captured; each page id adds one second.
+#: Seconds from 1970 at which page 0 counts as captured; each page id adds one second, within the years that a date can write.
 FIRST_CAPTURE = 1_600_000_000
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
 
 def digest_of(payload: bytes) -> str:
@@ -77,7 +80,7 @@ def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None) -> bytes:
     """One record, a gzip member by itself."""
-    seconds = FIRST_CAPTURE + (page_id or 0)
+    seconds = min(max(FIRST_CAPTURE + (page_id or 0), FIRST_SECOND), LAST_SECOND)
     when = _time(seconds)
     head = [
         ("WARC-Type", "revisit" if refers_to is not None else "response"),
@@ -101,7 +104,7 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None)
 def _time(seconds: int) -> str:
     import datetime as dt
 
-    return (dt.datetime(1970, 1, 1) + dt.timedelta(seconds=seconds)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return (dt.datetime(1970, 1, 1) + dt.timedelta(seconds=seconds)).isoformat(timespec="seconds") + "Z"
 
 
 def parse_record(content: bytes) -> dict:
@@ -206,7 +209,7 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
                     yield _captures(rows, names)
 
     count = max(1, archives.count())
-    dealt = archives.select("archive").repartitionByRange(min(count, 10_000), "archive")
+    dealt = archives.select("archive").repartitionByRange(count, "archive")
     return dealt.mapInArrow(read, schema)
 
 

@@ -95,3 +95,11 @@ def test_damage_is_noticed():
 
 def test_empty_table(spark, tmp_path):
     assert op7_warc(spark, folder(spark, tmp_path, pages=empty(spark, PAGES))).count() == 0
+
+
+def test_every_long_is_a_page_id(spark, tmp_path):
+    ids = [-(2**63), -(2**62), -(10**12), -1, 0, 10**12, 2**62, 2**63 - 1]
+    given = spark.createDataFrame([(i, "http://a/", f"body {i}", 1) for i in ids], PAGES)
+    found = op7_warc(spark, folder(spark, tmp_path, pages=given.repartition(3))).collect()
+    assert result(found) == expected(given.collect())
+    assert [r["page_id"] for r in sorted(found, key=lambda r: (r["part"], r["place"]))] == ids
