@@ -159,7 +159,9 @@ def word_frequencies(docs: DataFrame, templates: list[Template], text: str = "te
 def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, text: str = "text") -> DataFrame:
     """`docs` with `n_words` and `found` in place of `text`: an array of (label, base, first_word, n_words, matched)."""
     frequency, documents = word_frequencies(docs, templates, text)
-    shared = docs.sparkSession.sparkContext.broadcast((templates, frequency, documents))
+    # text and numbers alone: a class would be looked up in the package, which executors need not have
+    plain = [(t.label, t.text, t.key_phrases, t.base) for t in templates]
+    shared = docs.sparkSession.sparkContext.broadcast((plain, frequency, documents))
     carried = [c for c in docs.columns if c not in (text, "n_words", "found")]
     prepared = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("text"))
     added = "n_words long, found array<struct<label:string,base:boolean,first_word:long,n_words:long,matched:double>>"
@@ -170,7 +172,8 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, text: str = "te
     names = [field.name for field in find]
 
     def make():
-        index = Index(*shared.value)
+        plain, frequency, documents = shared.value
+        index = Index([Template(*t) for t in plain], frequency, documents)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, finds = [], []
