@@ -62,31 +62,19 @@ class ListOf:
     sep: str = ", "
 
 
-def _first_appearances(
-    df: DataFrame, key: str, lists: list[ListOf], order: Column, sums: dict[str, Column] | None = None
-) -> DataFrame:
-    """One row per key, list and distinct value (NULL too) with its first place; slot -1 carries `sums`,
-    aggregates over the rows of the key, so that lists and sums are one aggregation over one scan."""
+def _first_appearances(df: DataFrame, key: str, lists: list[ListOf], order: Column) -> DataFrame:
+    """One row per key, list and distinct value (NULL too) with its first place: a narrow aggregation, combined by map tasks."""
     slots = [
         F.struct(F.lit(i).alias("slot"), named(spec.column).cast("string").alias("value"))
         for i, spec in enumerate(lists)
     ]
-    if sums:
-        slots.append(F.struct(F.lit(-1).alias("slot"), F.lit(None).cast("string").alias("value")))
-    kept = [F.struct(*[named(c) for c in df.columns]).alias("_row")] if sums else []
-    rows = df.where(named(key).isNotNull()).select(key, order.alias("_order"), *kept, F.explode(F.array(*slots)).alias("_s"))
-    if sums:
-        own = F.col("_s.slot") == -1
-        rows = rows.select(
-            key, "_order", "_s", *[F.when(own, F.col("_row").getField(c)).alias(c) for c in df.columns if c != key]
-        )
+    rows = df.where(named(key).isNotNull()).select(key, order.alias("_order"), F.inline(F.array(*slots)).alias("_slot", "_value"))
     return (
-        rows.groupBy(key, F.col("_s.slot").alias("_slot"), F.col("_s.value").alias("_value"))
+        rows.groupBy(key, "_slot", "_value")
         # min skips NULL, so NULL-first is kept by a flag of its own
         .agg(
             F.min(F.when(F.col("_order").isNull(), 0).otherwise(1)).alias("_known"),
             F.min("_order").alias("_first"),
-            *[column.alias(f"_sum_{name}") for name, column in (sums or {}).items()],
         )
         .withColumn("_first", F.when(F.col("_known") == 1, F.col("_first")))
     )
@@ -107,21 +95,14 @@ def distinct_values(df: DataFrame, key: str, lists: list[ListOf], order: Column)
     )
 
 
-def distinct_lists(
-    df: DataFrame,
-    key: str,
-    lists: list[ListOf],
-    order: Column,
-    limit: int | None = None,
-    sums: dict[str, Column] | None = None,
-) -> DataFrame:
-    """Ordered distinct text lists by key; '' where a key has no value. `sums` adds aggregates by key.
+def distinct_lists(df: DataFrame, key: str, lists: list[ListOf], order: Column, limit: int | None = None) -> DataFrame:
+    """Ordered distinct text lists by key; '' where a key has no value.
 
     Values stand in order of their first appearance by `order` (a number or a
     date; NULL first), ties by value. With a `limit` only the first values are
     ever shuffled to the key, otherwise the distinct ones.
     """
-    first = _first_appearances(df, key, lists, order, sums)
+    first = _first_appearances(df, key, lists, order)
     if limit is not None:
         by_first = Window.partitionBy(key, "_slot").orderBy(
             F.col("_value").isNull(), "_known", F.col("_first").asc_nulls_first(), "_value"
@@ -134,14 +115,10 @@ def distinct_lists(
                 F.collect_list(F.when((F.col("_slot") == i) & F.col("_value").isNotNull(), entry))
             ).alias(spec.name)
             for i, spec in enumerate(lists)
-        ],
-        # one row of each key has them
-        *[F.max(F.when(F.col("_slot") == -1, F.col(f"_sum_{name}"))).alias(f"_sum_{name}") for name in sums or ()],
+        ]
     )
     return collected.select(
-        key,
-        *[F.array_join(named(spec.name)["_value"], spec.sep).alias(spec.name) for spec in lists],
-        *[F.col(f"_sum_{name}").alias(name) for name in sums or ()],
+        key, *[F.array_join(named(spec.name)["_value"], spec.sep).alias(spec.name) for spec in lists]
     )
 
 
@@ -189,7 +166,7 @@ def agg_distributions(df: DataFrame) -> DataFrame:
         "IMPORTE_DISTRIBUCION_USD": sum_or_zero("IMPORTE_DISTRIBUCION_USD"),
         "DESCRIPTION": first_non_null("DESCRIPTION", line),
     }
-    return distinct_lists(df, "INVOICE_ID", lists, order=line, limit=3, sums=sums)
+    return _with_lists(df, sums, distinct_lists(df, "INVOICE_ID", lists, order=line, limit=3))
 
 
 def principal_distribution(df: DataFrame) -> DataFrame:
@@ -224,7 +201,7 @@ def agg_payments(df: DataFrame, lists: bool = True) -> DataFrame:
     }
     if not lists:
         return _by_key(df, "INVOICE_ID", sums)
-    return distinct_lists(df, "INVOICE_ID", PAYMENT_LISTS, _latest_first("FECHA_APLICACION"), sums=sums)
+    return _with_lists(df, sums, distinct_lists(df, "INVOICE_ID", PAYMENT_LISTS, _latest_first("FECHA_APLICACION")))
 
 
 def payment_values(df: DataFrame) -> DataFrame:
@@ -252,7 +229,7 @@ def agg_prepayments(df: DataFrame, lists: bool = True) -> DataFrame:
     }
     if not lists:
         return _by_key(df, "INVOICE_ID", sums)
-    return distinct_lists(df, "INVOICE_ID", PREPAYMENT_LISTS, order=latest, sums=sums)
+    return _with_lists(df, sums, distinct_lists(df, "INVOICE_ID", PREPAYMENT_LISTS, order=latest))
 
 
 def prepayment_values(df: DataFrame) -> DataFrame:
@@ -264,6 +241,12 @@ def _by_key(df: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
     return df.where(named(key).isNotNull()).groupBy(key).agg(*[c.alias(n) for n, c in sums.items()])
 
 
+def _with_lists(df: DataFrame, sums: dict[str, Column], lists: DataFrame) -> DataFrame:
+    """Sums by invoice beside its lists: two narrow aggregations over pruned columns. In one, every row of the sums would
+    go through the grouping of the lists, once for each list."""
+    return lists.join(_by_key(df, "INVOICE_ID", sums), "INVOICE_ID")
+
+
 def prepaid_amounts(df: DataFrame) -> DataFrame:
     """Prepaid amount by invoice, from the tagged union."""
     return (

@@ -9,10 +9,12 @@ capped or sampled.
 
 Hot keys are found by counting (partial aggregation, key column only). The work
 of a key is the number of rows that the join yields for it. A key is hot when its
-work is over `cell_rows` and over 1/SHARES of the work of all keys, and is cut into
-cells of about that much work. So there are fewer than SHARES hot keys, however
-large the relations are, and their list may be broadcast; and what a key that is
-not hot gives to a task is less than an even share of SHARES tasks.
+work is over `cell_rows` and it is among the SHARES keys with the most work, of
+whose work it has over 1/SHARES. It is cut into cells of about that much work. So
+there are fewer than SHARES hot keys, however large the relations are, and their
+list may be broadcast; and what a key that is not hot gives to a task is less than
+an even share of SHARES tasks. Each side is counted once: the list and the work
+that it is measured by come out of one aggregation.
 
 Cells come from hashes of the key and of given columns, nothing else: the plans stay
 deterministic, so filters and column pruning reach the scans, and a rerun task
@@ -24,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuadre.operators.columns import named, settle_clash
@@ -53,8 +55,10 @@ def hot_keys(counts: list[DataFrame], on: str, cell_rows: int = CELL_ROWS) -> Da
     work = reduce(lambda a, b: a * b, rows)
     merged = reduce(DataFrame.unionByName, tagged).groupBy(on)
     merged = merged.agg(*[c.alias(f"_rows{i}") for i, c in zip(sides, by_side)]).withColumn("_work", work)
-    total = merged.agg(F.coalesce(F.sum("_work"), F.lit(0.0))).scalar()
-    hot = merged.withColumn("_cell_work", F.greatest(F.lit(float(cell_rows)), total / SHARES))
+    most = merged.where(F.col("_work") > cell_rows).orderBy(F.desc("_work"), on).limit(SHARES)
+    # at most SHARES rows, and already in one partition
+    of_all = F.sum("_work").over(Window.partitionBy())
+    hot = most.withColumn("_cell_work", F.greatest(F.lit(float(cell_rows)), of_all / SHARES))
     hot = hot.where(F.col("_work") > F.col("_cell_work"))
     sizes = [F.ceil(r / _rows_per_cell(rows, i)).cast("int") for i, r in zip(sides, rows)]
     return hot.select(on, *[F.when(s > 1, s).alias(f"_size{i}") for i, s in zip(sides, sizes)])
