@@ -16,7 +16,7 @@ def main() -> None:
     parser.add_argument("target", help="folder for the report")
     parser.add_argument("--input-format", default="csv", help="csv, parquet, or base: base tables as Parquet")
     parser.add_argument("--since", type=dt.date.fromisoformat, help="earliest date that extract queries take")
-    parser.add_argument("--one-line", action="store_true", help="no cell of the CSV extracts holds a line break")
+    parser.add_argument("--cells", default="quoted", help="what cells of CSV extracts may hold: quoted, one_line or free")
     parser.add_argument("--no-profile", action="store_true", help="write no column profile")
     parser.add_argument("--non-empty", action="store_true", help="stop when there are no invoices")
     parser.add_argument("--ordered", action="store_true", help="sort relations as their extract files are sorted")
@@ -32,7 +32,7 @@ def main() -> None:
         else:
             run_job(
                 spark, args.report, args.source, args.target, args.input_format, args.format, args.mode,
-                one_line=args.one_line, profiled=not args.no_profile, since=args.since, non_empty=args.non_empty,
+                cells=args.cells, profiled=not args.no_profile, since=args.since, non_empty=args.non_empty,
             )
     finally:
         spark.stop()

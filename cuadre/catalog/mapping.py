@@ -361,6 +361,19 @@ RELATION_SQL["amounts_double"] = """
           case when l.l_linenumber = 4 then cast(null as double) else l.l_discount end AS DISCOUNT
         FROM {lineitem} l"""
 
+# what an extract file holds: text, with line breaks, quotes and commas in cells, and spellings of a missing value
+RELATION_SQL["invoices_landed"] = f"""
+        SELECT cast(o.o_orderkey as string) AS INVOICE_ID, 'F-' || cast(o.o_orderkey as string) AS FACTURA,
+          case o.o_custkey % 5 when 0 then 'N/A' when 1 then 'null' when 2 then ' two, words ' else o.o_orderpriority end
+            AS PROVEEDOR,
+          case o.o_orderkey % 4 when 0 then 'line one' || chr(10) || 'says "hi", ' || o.o_orderpriority
+            when 1 then chr(10) || '"' || chr(13) || chr(10) || ',,' when 2 then '' else 'plain' end AS DESCRIPTION,
+          {CURRENCY} AS MONEDA,
+          case when o.o_orderkey % 29 = 0 then '1,000.5' else cast({TOTAL} as string) end AS IMPORTE,
+          case when o.o_orderkey % 37 = 0 then 'no date' else cast(cast(o.o_orderdate as date) as string) end AS FECHA,
+          {PAY_FLAG} AS ESTATUS
+        FROM {{orders}} o"""
+
 _PLACE = re.compile(r"\{(\w+)\}")
 
 

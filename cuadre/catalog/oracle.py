@@ -977,3 +977,33 @@ _add(
   case when not isnan(DISCOUNT) then DISCOUNT end AS DISCOUNT FROM amounts_double""",
 )
 ORACLE["o1_extract_order"] = ORACLE["e9_schedules"]
+ORACLE["o1_positions"] = f"""SELECT *, row_number() OVER (ORDER BY INVOICE_ID NULLS LAST, PAYMENT_NUM NULLS LAST) AS "POSITION"
+FROM ({ORACLE["e9_schedules"]}) x"""
+_TOKENS = "('', 'NULL', 'null', 'None', 'N/A')"
+_ABSENT = "cast(null as varchar)"
+_add(
+    "s1_csv_extract",
+    "invoices_landed",
+    f"""
+SELECT INVOICE_ID, {_ABSENT} AS EMPRESA, {_ABSENT} AS NUM_PROV,
+  case when PROVEEDOR not in {_TOKENS} then PROVEEDOR end AS PROVEEDOR, {_ABSENT} AS RFC, FACTURA, {_ABSENT} AS ERS,
+  {_ABSENT} AS ORIGEN, ESTATUS AS ESTATUS_PAGO, {_ABSENT} AS UUID, try_cast(FECHA as date) AS FECHA, MONEDA,
+  case when DESCRIPTION not in {_TOKENS} then DESCRIPTION end AS DESCRIPTION,
+  try_cast(IMPORTE as decimal(18,2)) AS IMPORTE, {_ABSENT} AS CUENTA_BALANCE, {_ABSENT} AS CUENTA_GASTO,
+  {_ABSENT} AS ESTATUS_APROBACION
+FROM invoices_landed""",
+)
+_add("x16_header_tokens", "daily_rates", "SELECT * FROM daily_rates")
+_add(
+    "k1_report_sink",
+    "amounts_double",
+    """
+SELECT INVOICE_ID, cast(LINE as integer) AS LINE, case when not isnan(AMOUNT) then AMOUNT end AS AMOUNT,
+  case when not isnan(DISCOUNT) then DISCOUNT end AS DISCOUNT FROM amounts_double""",
+)
+_add("s2_optional", "requisitions", "SELECT cast(INVOICE_ID as varchar) AS INVOICE_ID, REQUISITION_NUMBER FROM requisitions")
+_add("f7_non_empty", "schedules", "SELECT * FROM schedules")
+for _few, _name in (("a15_few", "a15_receipts"), ("j8_few", "j8_receipts")):
+    ORACLE[_few] = ORACLE[_name]
+    for _relation in ("invoices_v2", "prepay_ers"):
+        ORACLE[_few] = ORACLE[_few].replace(plain_sql(RELATION_SQL[_relation]), plain_sql(RELATION_SQL[f"{_relation}_few"]))

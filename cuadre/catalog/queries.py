@@ -15,6 +15,7 @@ from cuadre.operators import aggregates as agg
 from cuadre.operators import joins, profile
 from cuadre.operators.columns import ensure_money, reindex
 from cuadre.plans import extracts, reports
+from cuadre.session import scratch_folder
 from cuadre.sources import files, sinks, spec
 
 # The test tables run from 1995 to 2001; the extracts' own bound lies after them.
@@ -67,6 +68,11 @@ _relation("s4_conform")(lambda r: files.conform(r["invoices_v1"], spec.INVOICES_
 _relation("s5_peek")(lambda r: files.peek(r["invoices_v1"].orderBy("INVOICE_ID")))
 _relation("k2_no_nan")(lambda r: sinks.replace_nan(r["amounts_double"]))
 _base("o1_extract_order")(lambda t: extracts.in_extract_order(extracts.schedules(t, SINCE), "schedules"))
+_base("o1_positions")(
+    lambda t: extracts.with_positions(
+        extracts.schedules(t, SINCE), "schedules", scratch_folder(t["AP_PAYMENT_SCHEDULES_ALL"].sparkSession, "placed")
+    )
+)
 _relation("s3_nullify")(lambda r: files.nullify_tokens(r["flow_payments"]))
 _relation("p2_reindex")(
     lambda r: reindex(r["invoices_v1"], ["FACTURA", "TC_FACTURA", "INVOICE_ID"], {"TC_FACTURA": spec.RATE})
@@ -78,6 +84,38 @@ _relation("p9_ensure_money")(
         ["TC_PAGO"],
     )
 )
+
+
+def _landed(df: DataFrame, headers: list[str], relation: spec.RelationSpec) -> DataFrame:
+    """`df` written as a report in CSV, under other headers, and read back as an extract."""
+    folder = scratch_folder(df.sparkSession, "landed")
+    sinks.write_report(df.toDF(*headers), folder, fmt="csv")
+    return files.read_extract(df.sparkSession, relation, folder)
+
+
+_HEADERS = [" invoice_id", "Factura ", "PROVEEDOR", "description", "moneda", "Importe", " FECHA ", "estatus"]
+_relation("s1_csv_extract")(lambda r: _landed(r["invoices_landed"], _HEADERS, spec.INVOICES_V1))
+_relation("x16_header_tokens")(
+    lambda r: _landed(r["daily_rates"], ["conversion date of day", "from_currency", "to_currency", "official rate"], spec.DAILY_RATES)
+)
+
+
+@_relation("k1_report_sink")
+def _k1(r) -> DataFrame:
+    amounts = r["amounts_double"]
+    folder = scratch_folder(amounts.sparkSession, "report")
+    sinks.write_report(amounts, folder, partition_by=["LINE"])
+    return amounts.sparkSession.read.parquet(folder).select(*amounts.columns)
+
+
+@_relation("s2_optional")
+def _s2(r) -> DataFrame:
+    bridge = files.conform(r["requisitions"], spec.REQUISITIONS)
+    absent = scratch_folder(bridge.sparkSession, "absent")
+    return bridge.unionByName(files.read_extract(bridge.sparkSession, spec.REQUISITIONS, absent, required=False))
+
+
+_relation("f7_non_empty")(lambda r: files.require(r["schedules"], "schedules"))
 _base("s6_scan_since")(
     lambda t: files.scan_since(t["AP_INVOICES_ALL"], "CREATION_DATE", SINCE).select("INVOICE_ID", "CREATION_DATE")
 )
@@ -207,6 +245,13 @@ _relation("j8_receipts")(
         r["invoices_v2"].select("INVOICE_ID", "ORDEN_COMPRA"), agg.split_prepay_ers(r["prepay_ers"])[1]
     )
 )
+# orders whose receipts grow with the data
+_relation("a15_few")(lambda r: agg.receipt_lists(r["prepay_ers_few"]))
+_relation("j8_few")(
+    lambda r: joins.with_receipts(
+        r["invoices_v2_few"].select("INVOICE_ID", "ORDEN_COMPRA"), agg.receipt_lists(r["prepay_ers_few"])
+    )
+)
 _relation("j9_rate_lookup")(
     lambda r: joins.with_daily_rate(
         r["invoices_v1"].select("INVOICE_ID", "FECHA"), joins.one_rate_per_date(r["daily_rates"]), "FECHA", "rate"

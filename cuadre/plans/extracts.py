@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cuadre.functions.classify import classify_by_percentage
 from cuadre.functions.numbers import MONEY, RATE, money, percentage
 from cuadre.functions.text import account_string
+from cuadre.operators.numbering import numbered
 from cuadre.operators.skew import join_lookup
 from cuadre.sources.files import scan_since
 
@@ -508,14 +509,26 @@ EXTRACT_ORDER = {
 }
 
 
+def _order(relation: str) -> list[Column]:
+    return [
+        F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last()
+        for c, descending in EXTRACT_ORDER[relation]
+    ]
+
+
 def in_extract_order(df: DataFrame, relation: str) -> DataFrame:
     """Sort a relation as its extract is written; only worth it at a sink."""
-    return df.orderBy(
-        *[
-            F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last()
-            for c, descending in EXTRACT_ORDER[relation]
-        ]
-    )
+    return df.orderBy(*_order(relation))
+
+
+def with_positions(df: DataFrame, relation: str, folder: str) -> DataFrame:
+    """A relation with POSITION, its row's place in the extract from 1 on; ties stand by all their columns.
+
+    Rows are numbered over range partitions (`numbering`), which are written to `folder`, a new one that executors share.
+    """
+    ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in dict(EXTRACT_ORDER[relation])]
+    placed = numbered(df, [*_order(relation), *ties], folder, position="POSITION")
+    return placed.withColumn("POSITION", F.col("POSITION") + 1)
 
 
 # Relation -> the query that extracts it from base tables, with the earliest date it takes where it is bounded.

@@ -113,14 +113,14 @@ def load_inputs(
     folder: str,
     fmt: str = "csv",
     files: dict[str, str] | None = None,
-    one_line: bool = False,
+    cells: str = "quoted",
 ) -> dict[str, DataFrame]:
-    """The relations a job reads from `folder`; `files` renames single inputs, `one_line` as in read_extract."""
+    """The relations a job reads from `folder`; `files` renames single inputs, `cells` as in read_csv."""
     names = {argument: source.file for argument, source in job.inputs.items()} | (files or {})
     return {
         argument: read_extract(
             spark, source.relation, f"{folder}/{names[argument]}", required=source.required, fmt=fmt,
-            offsets=job.offsets, one_line=one_line,
+            offsets=job.offsets, cells=cells,
         )
         for argument, source in job.inputs.items()
     }
@@ -146,7 +146,7 @@ def run_job(
     fmt: str = "parquet",
     mode: str = "errorifexists",
     files: dict[str, str] | None = None,
-    one_line: bool = False,
+    cells: str = "quoted",
     profiled: bool = True,
     since: dt.date | None = None,
     non_empty: bool = False,
@@ -161,7 +161,7 @@ def run_job(
     if input_fmt == "base":
         inputs = from_base(BaseTables(spark, source), job, since)
     else:
-        inputs = load_inputs(spark, job, source, input_fmt, files, one_line)
+        inputs = load_inputs(spark, job, source, input_fmt, files, cells)
     if non_empty:
         require(inputs["invoices"], "invoices")
     report = job.build(**inputs)

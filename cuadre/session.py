@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -61,3 +63,15 @@ def build_session(
     for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, under spark.checkpoint.dir; only a session of a single machine may leave it unset."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        import tempfile
+
+        top = f"file://{tempfile.mkdtemp(prefix='cuadre-')}"
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuadre.functions import dates, numbers
+from cuadre.sources.csv_scan import read_split
 from cuadre.sources.spec import DEFAULT_NULL_TOKENS, NULL_TOKENS, RelationSpec
 
 # RFC 4180 quoting: a quote inside a quoted cell is doubled.
@@ -91,18 +92,16 @@ def read_extract(
     required: bool = True,
     fmt: str = "csv",
     offsets: str = "wall",
-    one_line: bool = False,
+    cells: str = "quoted",
 ) -> DataFrame:
     """One extract as its relation; an absent optional one is an empty relation.
 
     CSV is read as text and parsed per value, so no inference pass runs over the
-    file. Quoted cells may hold line breaks, so a file is one task; many files
-    are many tasks. `one_line` says that no cell does: files are then split
-    between tasks, and a line that is not a whole record fails the read.
+    file. `cells` is as in read_csv.
     """
     try:
         if fmt == "csv":
-            raw = read_csv(spark, path, one_line)
+            raw = read_csv(spark, path, cells)
         else:
             raw = spark.read.format(fmt).load(path)
     except AnalysisException as error:
@@ -112,11 +111,22 @@ def read_extract(
     return conform(nullify_tokens(fold_headers(raw)), spec, offsets)
 
 
-def read_csv(spark: SparkSession, path: str, one_line: bool = False, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV file or folder with a header, as text or by `schema`."""
+def read_csv(spark: SparkSession, path: str, cells: str = "quoted", schema: T.StructType | None = None) -> DataFrame:
+    """A CSV file or folder with a header, as text or by `schema`. What `cells` may hold decides how files are read:
+
+    "quoted": line breaks, in quotes (RFC 4180). Files are split between tasks (`csv_scan`); the read fails on a record
+    that is none.
+    "one_line": no line breaks. Files are split between tasks, in one pass; the read fails on a line that is not a
+    whole record.
+    "free": also quotes in cells that are not quoted, and line ends that are a carriage return alone. Each file is one task.
+    """
+    if cells == "quoted":
+        return read_split(spark, path, CSV_OPTIONS, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    if not one_line:
+    if cells == "free":
         return reader.options(**CSV_OPTIONS, multiLine="true").csv(path)
+    if cells != "one_line":
+        raise ValueError(f"cells must be 'quoted', 'one_line' or 'free', not {cells!r}")
     options = {**CSV_OPTIONS, "multiLine": "false", "mode": "FAILFAST"}
     raw = reader.options(**options).csv(path)
     # without all columns in use the parser would not check a line

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cuadre.functions import dates, numbers, text
-from cuadre.sources import files, sinks, spec
+from cuadre.sources import csv_scan, files, sinks, spec
 from tests.conftest import rows
 
 
@@ -47,10 +48,10 @@ def test_quotes_and_line_breaks(spark, tmp_path):
 def test_line_breaks_by_lines_fail(spark, tmp_path):
     """Files that are said to have no line breaks in cells are split; a broken record is an error, not a row."""
     fine = write(tmp_path / "f.csv", 'CUENTA_NUM,CUENTA_DESCRIPCION\n0501,"a, b"\n0502,c\n')
-    assert files.read_extract(spark, spec.CHART_OF_ACCOUNTS, fine, one_line=True).count() == 2
+    assert files.read_extract(spark, spec.CHART_OF_ACCOUNTS, fine, cells="one_line").count() == 2
     broken = write(tmp_path / "b.csv", 'CUENTA_NUM,CUENTA_DESCRIPCION\n0501,"two\nlines"\n')
     with pytest.raises(Exception, match="MALFORMED|malformed"):
-        files.read_extract(spark, spec.CHART_OF_ACCOUNTS, broken, one_line=True).collect()
+        files.read_extract(spark, spec.CHART_OF_ACCOUNTS, broken, cells="one_line").collect()
 
 
 def test_identifiers_read_from_numbers(spark):
@@ -226,3 +227,87 @@ def test_report_sink(spark, tmp_path, fmt):
     assert back.where(F.col("IMPORTE MXN").isNull()).count() == 1
     with pytest.raises(AnalysisException):
         sinks.write_report(df, path, fmt)
+
+
+# ---- CSV split between tasks ---------------------------------------------------
+
+
+@pytest.fixture
+def small_blocks(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "300")
+    yield
+    spark.conf.set(name, before)
+
+
+def cell(draw):
+    kind = draw.randrange(8)
+    if kind == 0:
+        return ""
+    text = "".join(draw.choice(["a", "é", "1", " ", ",", '"', "\n", "\r\n", "x y"]) for _ in range(draw.randrange(1, 9)))
+    if kind < 4:
+        text = text.replace('"', "").replace(",", "").replace("\r", "").replace("\n", "")
+        return text if kind < 3 else f'"{text}"'
+    return '"' + text.replace('"', '""') + '"'
+
+
+def csv_text(seed, rows, end):
+    draw = random.Random(seed)
+    lines = ["k," + ",".join(cell(draw) for _ in range(3)) for _ in range(rows)]
+    head = '"id","na\nme",note,"a,b"'
+    blank = lambda: end * (draw.random() < 0.05)
+    return end.join([head, *(blank() + line for line in lines)]) + (end if seed % 2 else "")
+
+
+def as_text(df):
+    return sorted(tuple(r) for r in df.na.fill("<null>").collect())
+
+
+@pytest.mark.parametrize("seed,end", [(1, "\n"), (2, "\n"), (3, "\r\n"), (4, "\r\n"), (5, "\n")])
+def test_split_files_equal_whole_ones(spark, tmp_path, small_blocks, seed, end):
+    for number in range(3):
+        # a header of several lines, or of a single one: the whole read takes its line end from the first break it meets
+        text = csv_text(seed * 10 + number, 60 * number, end)
+        (tmp_path / f"{number}.csv").write_bytes(text.encode() if seed < 3 else text.replace("na\nme", "name").encode())
+    path = str(tmp_path)
+    split, whole = files.read_csv(spark, path), files.read_csv(spark, path, "free")
+    assert csv_scan.lines(spark, path).rdd.getNumPartitions() > 10
+    assert split.columns == whole.columns
+    assert as_text(split) == as_text(whole) and split.count() == whole.count() == 180
+
+
+def test_split_records_span_blocks(spark, tmp_path, small_blocks):
+    long = "\n".join(f"line {i}, with a \"quote\"" for i in range(200))
+    text = "a,b\n1," + '"' + long.replace('"', '""') + '"\n2,"x"\n\n3,\n'
+    (tmp_path / "long.csv").write_text(text)
+    found = files.read_csv(spark, str(tmp_path / "long.csv"))
+    assert as_text(found) == [("1", long), ("2", "x"), ("3", "<null>")]
+
+
+@pytest.mark.parametrize("text,message", [
+    ('a,b\n1,5" pipe\n2,"x"\n', "never closed"),
+    ('a,b\n1,5" pipe\n2,6" pipe\n', "no record"),
+    ('a,b\n1,"open\n2,x\n', "never closed"),
+])
+def test_stray_quotes_fail_the_split_read(spark, tmp_path, text, message):
+    (tmp_path / "stray.csv").write_text(text)
+    with pytest.raises(Exception, match=message):
+        files.read_csv(spark, str(tmp_path / "stray.csv")).count()
+    assert files.read_csv(spark, str(tmp_path / "stray.csv"), "free").count() >= 1
+
+
+def test_split_read_of_headers_alone_and_nothing(spark, tmp_path):
+    (tmp_path / "head.csv").write_text("a,b\n")
+    (tmp_path / "nothing.csv").write_text("")
+    assert files.read_csv(spark, str(tmp_path / "head.csv")).columns == ["a", "b"]
+    assert files.read_csv(spark, str(tmp_path / "head.csv")).count() == 0
+    assert files.read_csv(spark, str(tmp_path / "nothing.csv")).columns == []
+    with pytest.raises(ValueError, match="cells must be"):
+        files.read_csv(spark, str(tmp_path / "head.csv"), "any")
+
+
+def test_split_read_shuffles_single_lines_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    plan = files.read_csv(spark, str(tmp_path / "a.csv"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
