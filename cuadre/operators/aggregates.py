@@ -11,10 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cuadre.functions.classify import known_class
-from cuadre.functions.numbers import RATE, money
+from cuadre.functions.numbers import MONEY, RATE, money
 from cuadre.operators.columns import named
+from cuadre.operators.one_row import Side, Tagged
+from cuadre.sources.spec import CLASSES_BY_PERCENTAGE, CLASSES_V4_TAX
 
 
 def class_sums(
@@ -62,13 +65,17 @@ class ListOf:
     sep: str = ", "
 
 
-def _first_appearances(df: DataFrame, key: str, lists: list[ListOf], order: Column) -> DataFrame:
-    """One row per key, list and distinct value (NULL too) with its first place: a narrow aggregation, combined by map tasks."""
+def _entries(df: DataFrame, key: str, lists: list[ListOf], order: Column, first_slot: int = 0) -> DataFrame:
+    """One row per row of `df` and list: key, _order, _slot (the list's number) and _value."""
     slots = [
         F.struct(F.lit(i).alias("slot"), named(spec.column).cast("string").alias("value"))
-        for i, spec in enumerate(lists)
+        for i, spec in enumerate(lists, first_slot)
     ]
-    rows = df.where(named(key).isNotNull()).select(key, order.alias("_order"), F.inline(F.array(*slots)).alias("_slot", "_value"))
+    return df.where(named(key).isNotNull()).select(key, order.alias("_order"), F.inline(F.array(*slots)).alias("_slot", "_value"))
+
+
+def _first_appearances(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key, list and distinct value (NULL too) with its first place: a narrow aggregation, combined by map tasks."""
     return (
         rows.groupBy(key, "_slot", "_value")
         # min skips NULL, so NULL-first is kept by a flag of its own
@@ -85,7 +92,7 @@ def distinct_values(df: DataFrame, key: str, lists: list[ListOf], order: Column)
 
     For keys with more values than one text cell can hold; nothing is collected.
     """
-    first = _first_appearances(df, key, lists, order).where(F.col("_value").isNotNull())
+    first = _first_appearances(_entries(df, key, lists, order), key).where(F.col("_value").isNotNull())
     names = F.array(*[F.lit(spec.name) for spec in lists])
     return first.select(
         key,
@@ -102,7 +109,20 @@ def distinct_lists(df: DataFrame, key: str, lists: list[ListOf], order: Column,
     date; NULL first), ties by value. With a `limit` only the first values are
     ever shuffled to the key, otherwise the distinct ones.
     """
-    first = _first_appearances(df, key, lists, order)
+    return _lists(_first_appearances(_entries(df, key, lists, order), key), key, lists, limit)
+
+
+def lists_of_sides(key: str, sides: list[tuple[DataFrame, list[ListOf], Column]]) -> DataFrame:
+    """The lists of several relations, as distinct_lists gives them of one, by one aggregation over their union; NULL where a
+    relation does not have the key. All orders are of one type."""
+    entries, lists = None, []
+    for df, own, order in sides:
+        some = _entries(df, key, own, order, len(lists))
+        entries, lists = some if entries is None else entries.unionByName(some), [*lists, *own]
+    return _lists(_first_appearances(entries, key), key, lists, None)
+
+
+def _lists(first: DataFrame, key: str, lists: list[ListOf], limit: int | None) -> DataFrame:
     if limit is not None:
         by_first = Window.partitionBy(key, "_slot").orderBy(
             F.col("_value").isNull(), "_known", F.col("_first").asc_nulls_first(), "_value"
@@ -115,10 +135,16 @@ def distinct_lists(df: DataFrame, key: str, lists: list[ListOf], order: Column,
                 F.collect_list(F.when((F.col("_slot") == i) & F.col("_value").isNotNull(), entry))
             ).alias(spec.name)
             for i, spec in enumerate(lists)
-        ]
+        ],
+        # a relation that has the key has an entry in each of its lists, a missing value at least
+        F.collect_set("_slot").alias("_slots"),
     )
     return collected.select(
-        key, *[F.array_join(named(spec.name)["_value"], spec.sep).alias(spec.name) for spec in lists]
+        key,
+        *[
+            F.when(F.array_contains("_slots", i), F.array_join(named(spec.name)["_value"], spec.sep)).alias(spec.name)
+            for i, spec in enumerate(lists)
+        ],
     )
 
 
@@ -185,6 +211,8 @@ def _latest_first(column: str) -> Column:
     return -F.unix_micros(F.col(column).cast("timestamp"))
 
 
+#: An order before that of any date; divisible by 4.
+_BEFORE_ALL = -(2**63)
 PAYMENT_LISTS = [ListOf(c, c) for c in ("NUM_PAGO", "BANCO_CUENTA", "DESCRIPTION")]
 PREPAYMENT_LISTS = [ListOf(c, c) for c in ("TIPO_ORIGEN", "ERS", "ORDEN_COMPRA", "FACTURA_ADELANTO")]
 RECEIPT_LIST = ListOf("ERS", "ERS", " | ")
@@ -247,6 +275,67 @@ def _with_lists(df: DataFrame, sums: dict[str, Column], lists: DataFrame) -> Dat
     return lists.join(_by_key(df, "INVOICE_ID", sums), "INVOICE_ID")
 
 
+def invoice_amounts(taxes: DataFrame, withholding: DataFrame, payments: DataFrame, prepayments: DataFrame) -> DataFrame:
+    """The sums of pivot_two (taxes and withholdings), agg_payments and agg_prepayments by invoice, by one aggregation."""
+    def amounts(name: str, **more: Column) -> dict[str, Column]:
+        return {"_usd": F.col(f"{name}_USD"), "_mxn": F.col(f"{name}_MXN"), **more}
+
+    def pivoted(side: str, classes: tuple[str, ...]) -> dict[str, Column]:
+        return {
+            f"{c}_{money_}": sum_of(union.of(side, slot, c)) for slot, money_ in (("_usd", "USD"), ("_mxn", "MXN")) for c in classes
+        }
+
+    def sum_of(value: Column) -> Column:
+        return money(F.coalesce(F.sum(value), F.lit(0)))
+
+    # the first currency by date and text, as a number: dates in steps of 4, which leave room for how it compares with MXN
+    rank = F.when(F.col("MONEDA") < "MXN", 0).when(F.col("MONEDA") == "MXN", 1).otherwise(2)
+    place = F.coalesce(_latest_first("FECHA_APLICACION") * 4, F.lit(_BEFORE_ALL)) + rank
+    union = Tagged(
+        "INVOICE_ID",
+        {"_usd": MONEY, "_mxn": MONEY, "_rate": RATE, "_applied": T.TimestampNTZType(), "_paid": T.TimestampNTZType(), "_currency": T.LongType()},
+        {
+            "tax": Side(taxes, amounts("IMPUESTO"), known_class("CLASIFICACION_IMPUESTO", CLASSES_V4_TAX, "OTROS_TAX")),
+            "held": Side(withholding, amounts("RETENCION"), known_class("CLASIFICACION_RETENCION", CLASSES_BY_PERCENTAGE, "RET_OTRO")),
+            "paid": Side(
+                payments,
+                amounts("IMPORTE_PAGO", _rate=F.col("TIPO_CAMBIO_PAGO"), _applied=F.col("FECHA_APLICACION"), _paid=F.col("FECHA_PAGO")),
+            ),
+            "prepaid": Side(
+                prepayments,
+                amounts("ADELANTO", _rate=F.col("TIPO_CAMBIO"), _currency=F.when(F.col("MONEDA").isNotNull(), place)),
+            ),
+        },
+    )
+    of = union.of
+    no_mxn = F.count(of("prepaid", "_mxn")) == 0
+    in_mxn = F.pmod(F.min(of("prepaid", "_currency")), F.lit(4)) == 1
+    return union.aggregated(
+        {
+            "tax": pivoted("tax", CLASSES_V4_TAX),
+            "held": pivoted("held", CLASSES_BY_PERCENTAGE),
+            "paid": {
+                "IMPORTE_PAGO_USD": sum_of(of("paid", "_usd")), "IMPORTE_PAGO_MXN": sum_of(of("paid", "_mxn")),
+                "TIPO_CAMBIO_PAGO": F.avg(of("paid", "_rate")).cast(RATE), "FECHA_APLICACION": F.max(of("paid", "_applied")),
+                "FECHA_PAGO": F.max(of("paid", "_paid")),
+            },
+            "prepaid": {
+                "ADELANTO_USD": sum_of(of("prepaid", "_usd")),
+                "ADELANTO_MXN": F.when(no_mxn & in_mxn, sum_of(of("prepaid", "_usd"))).otherwise(sum_of(of("prepaid", "_mxn"))),
+                "TIPO_CAMBIO": F.avg(of("prepaid", "_rate")).cast(RATE),
+            },
+        }
+    )
+
+
+def invoice_text_lists(payments: DataFrame, prepayments: DataFrame, known: list[str]) -> DataFrame:
+    """The lists of agg_payments and agg_prepayments by invoice, by one aggregation, but for those named in `known`."""
+    latest = _latest_first("FECHA_APLICACION")
+    paid = [spec for spec in PAYMENT_LISTS if spec.name not in known]
+    prepaid = [spec for spec in PREPAYMENT_LISTS if spec.name not in known]
+    return lists_of_sides("INVOICE_ID", [(payments, paid, latest), (prepayments, prepaid, latest)])
+
+
 def prepaid_amounts(df: DataFrame) -> DataFrame:
     """Prepaid amount by invoice, from the tagged union."""
     return (

@@ -274,19 +274,12 @@ def report_invoice_v4(
     """
     _known_lists(lists)
     in_cells = lists == "cell"
-    rows = joins.merge_master(
-        _tax_id(invoices),
-        agg.pivot_two(
-            taxes, "CLASIFICACION_IMPUESTO", spec.CLASSES_V4_TAX, "IMPUESTO_USD", "IMPUESTO_MXN", "OTROS_TAX"
-        ),
-        agg.pivot_two(
-            withholding, "CLASIFICACION_RETENCION", spec.CLASSES_BY_PERCENTAGE, "RETENCION_USD",
-            "RETENCION_MXN", "RET_OTRO",
-        ),
-        agg.principal_distribution(distributions),
-        agg.agg_payments(payments, in_cells),
-        agg.agg_prepayments(prepay_ers, in_cells),
-    )
+    core = _tax_id(invoices)
+    principal = agg.principal_distribution(distributions)
+    sides = [agg.invoice_amounts(taxes, withholding, payments, prepay_ers), principal]
+    if in_cells:
+        sides.append(agg.invoice_text_lists(payments, prepay_ers, [*core.columns, *principal.columns]))
+    rows = joins.merge_master(core, *sides)
     rows = rows.withColumns(
         {
             "SUBTOTAL": measures.subtotal("v4", include_iva_6),

@@ -142,7 +142,7 @@ def require(df: DataFrame, name: str = "relation") -> DataFrame:
 
 
 def empty(spark: SparkSession, spec: RelationSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in spec.columns.items()])
 
 
 def scan_since(df: DataFrame, column: str, since: dt.date | str) -> DataFrame:

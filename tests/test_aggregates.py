@@ -121,3 +121,41 @@ def test_prepayment_and_code_profiles(spark):
     )
     assert rows(profile.withholding_code_profile(taxes)) == [("R1", 2)]
     assert profile.codes_containing(taxes).count() == 1
+
+
+def test_union_of_sides_equals_their_joins(spark):
+    """One aggregation over taxes, withholdings, payments and prepayments against one for each."""
+    import random
+
+    draw = random.Random(5)
+    some = lambda *values: draw.choice([None, *values])
+    day = lambda: some(*[dt.datetime(2025, 1, d) for d in (1, 2, 3)])
+    taxes = [(some(1, 2, 3, 4), some("IVA", "IEPS", "OTROS_TAX", "x"), some(D("1.5"), D(2)), some(D(3))) for _ in range(60)]
+    held = [(some(3, 4, 5), some("RET_ISR_4", "RET_IVA", "x"), some(D(1), D(-2)), some(D(4))) for _ in range(60)]
+    paid = [(some(2, 6), str(some("p", "q")), some("b"), some("d"), some(D(1)), some(D(9)), some(D("18.5"), D(19)), day(), day()) for _ in range(40)]
+    prepaid = [
+        (draw.choice([None, 1, 7, 8, 9, 10, 11]), "PREPAYMENT", some("e"), some("o"), some("f", "g"), some(D(1), D(7)),
+         some(D(2)) if draw.random() < 0.3 else None, some(D(20)), day(), some("MXN", "USD", "EUR", "MXN"))
+        for _ in range(40)
+    ]
+    money = "decimal(18,2)"
+    t = spark.createDataFrame(taxes, f"INVOICE_ID int, CLASIFICACION_IMPUESTO string, IMPUESTO_USD {money}, IMPUESTO_MXN {money}")
+    w = spark.createDataFrame(held, f"INVOICE_ID int, CLASIFICACION_RETENCION string, RETENCION_USD {money}, RETENCION_MXN {money}")
+    p = spark.createDataFrame(
+        paid, f"INVOICE_ID int, NUM_PAGO string, BANCO_CUENTA string, DESCRIPTION string, IMPORTE_PAGO_USD {money}, IMPORTE_PAGO_MXN"
+        f" {money}, TIPO_CAMBIO_PAGO decimal(18,6), FECHA_APLICACION timestamp_ntz, FECHA_PAGO timestamp_ntz")
+    a = spark.createDataFrame(
+        prepaid, f"INVOICE_ID int, TIPO_ORIGEN string, ERS string, ORDEN_COMPRA string, FACTURA_ADELANTO string, ADELANTO_USD {money},"
+        f" ADELANTO_MXN {money}, TIPO_CAMBIO decimal(18,6), FECHA_APLICACION timestamp_ntz, MONEDA string")
+    invoices = spark.createDataFrame([(i,) for i in range(1, 13)], "INVOICE_ID int")
+    classes_t, classes_w = agg.CLASSES_V4_TAX, agg.CLASSES_BY_PERCENTAGE
+    joined = (
+        invoices.join(agg.pivot_two(t, "CLASIFICACION_IMPUESTO", classes_t, "IMPUESTO_USD", "IMPUESTO_MXN", "OTROS_TAX"), "INVOICE_ID", "left")
+        .join(agg.pivot_two(w, "CLASIFICACION_RETENCION", classes_w, "RETENCION_USD", "RETENCION_MXN", "RET_OTRO"), "INVOICE_ID", "left")
+        .join(agg.agg_payments(p), "INVOICE_ID", "left")
+        .join(agg.agg_prepayments(a).drop("FECHA_APLICACION", "MONEDA"), "INVOICE_ID", "left")
+    )
+    found = invoices.join(agg.invoice_amounts(t, w, p, a), "INVOICE_ID", "left").join(
+        agg.invoice_text_lists(p, a, []), "INVOICE_ID", "left"
+    )
+    assert rows(found, *sorted(joined.columns)) == rows(joined, *sorted(joined.columns))

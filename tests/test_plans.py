@@ -110,3 +110,13 @@ def test_summary_copies_no_rows_for_distinct_counts(spark):
 def test_mappings_keep_all_rows(spark, name, table):
     rows = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     assert relations(spark, SF_DIR)[name].count() == rows
+
+
+def test_one_row_report_is_one_union(spark):
+    """Sums of four relations share an exchange; with the lists, the accounts and the invoices there are five, the mapping's
+    own join of withheld lines aside."""
+    plan = plan_of(QUERIES["r7"](spark, SF_DIR))
+    assert plan.count("Exchange hashpartitioning") <= 8
+    sums = [line for line in plan.splitlines() if "partial_sum" in line and "_side" in line]
+    assert len(sums) == 1 and "HashAggregate" in sums[0]
+    assert "partial_sum" in plan_of(QUERIES["r7_rows"](spark, SF_DIR))
