@@ -977,6 +977,7 @@ _add(
   case when not isnan(DISCOUNT) then DISCOUNT end AS DISCOUNT FROM amounts_double""",
 )
 ORACLE["o1_extract_order"] = ORACLE["e9_schedules"]
+ORACLE["r2_stored"] = ORACLE["r2"]
 ORACLE["o1_positions"] = f"""SELECT *, row_number() OVER (ORDER BY INVOICE_ID NULLS LAST, PAYMENT_NUM NULLS LAST) AS "POSITION"
 FROM ({ORACLE["e9_schedules"]}) x"""
 _TOKENS = "('', 'NULL', 'null', 'None', 'N/A')"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from cuadre.operators import joins, profile
 from cuadre.operators.columns import ensure_money, reindex
 from cuadre.plans import extracts, reports
 from cuadre.session import scratch_folder
-from cuadre.sources import files, sinks, spec
+from cuadre.sources import files, sinks, spec, storage
 
 # The test tables run from 1995 to 2001; the extracts' own bound lies after them.
 SINCE = dt.date(1996, 6, 1)
@@ -464,6 +465,17 @@ _relation("r7")(
     )
 )
 
+
+@_relation("r2_stored")
+def _r2_stored(r) -> DataFrame:
+    """r2 over relations stored co-partitioned by invoice; invoices with more than 40 rows in it count as hot."""
+    names = {"invoices": "invoices_v1", "tax_lines": "tax_lines_v1", "payments": "payments_v1", "requisitions": "requisitions"}
+    spark = r["invoices_v1"].sparkSession
+    folder = scratch_folder(spark, "stored")
+    storage.store({argument: r[name] for argument, name in names.items()}, folder, 8, hot_work=40)
+    return storage.over_parts(partial(reports.report_master, "code"), storage.stored(spark, folder))
+
+
 _relation("r6_rows")(
     lambda r: reports.report_schedule_payment(
         r["invoices_v2_few"], r["schedules"], r["payments_v4"].drop("DESCRIPTION", "FECHA_PAGO"), r["distributions"],

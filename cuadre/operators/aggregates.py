@@ -119,10 +119,10 @@ def lists_of_sides(key: str, sides: list[tuple[DataFrame, list[ListOf], Column]]
     for df, own, order in sides:
         some = _entries(df, key, own, order, len(lists))
         entries, lists = some if entries is None else entries.unionByName(some), [*lists, *own]
-    return _lists(_first_appearances(entries, key), key, lists, None)
+    return _lists(_first_appearances(entries, key), key, lists, None, of_sides=True)
 
 
-def _lists(first: DataFrame, key: str, lists: list[ListOf], limit: int | None) -> DataFrame:
+def _lists(first: DataFrame, key: str, lists: list[ListOf], limit: int | None, of_sides: bool = False) -> DataFrame:
     if limit is not None:
         by_first = Window.partitionBy(key, "_slot").orderBy(
             F.col("_value").isNull(), "_known", F.col("_first").asc_nulls_first(), "_value"
@@ -137,15 +137,12 @@ def _lists(first: DataFrame, key: str, lists: list[ListOf], limit: int | None) -
             for i, spec in enumerate(lists)
         ],
         # a relation that has the key has an entry in each of its lists, a missing value at least
-        F.collect_set("_slot").alias("_slots"),
-    )
-    return collected.select(
-        key,
-        *[
-            F.when(F.array_contains("_slots", i), F.array_join(named(spec.name)["_value"], spec.sep)).alias(spec.name)
-            for i, spec in enumerate(lists)
-        ],
+        *[F.max(F.col("_slot") == i).alias(f"_has_{i}") for i in range(len(lists) if of_sides else 0)],
     )
+    texts = [F.array_join(named(spec.name)["_value"], spec.sep) for spec in lists]
+    if of_sides:
+        texts = [F.when(F.col(f"_has_{i}"), text) for i, text in enumerate(texts)]
+    return collected.select(key, *[text.alias(spec.name) for spec, text in zip(lists, texts)])
 
 
 def first_non_null(column: str, order: Column) -> Column:

@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuadre.operators.columns import named, settle_clash
+from cuadre.operators.columns import left_join, named, settle_clash
 
 CELL_ROWS = 10_000
 SHARES = 100_000
@@ -86,6 +86,7 @@ def fan_out(
     cell_rows: int = CELL_ROWS,
     spread: list[list[str]] | None = None,
     counted: list[DataFrame | None] | None = None,
+    salted: bool = True,
 ) -> DataFrame:
     """base LEFT JOIN side LEFT JOIN side … on one key, every combination kept.
 
@@ -101,8 +102,15 @@ def fan_out(
     all of them share a cell. Without it all columns of the side count. `counted[i]` stands in
     for side i when keys are counted: a table with the same keys that costs less to read.
     `after[i]` adds columns once side i is joined, before the next side
-    multiplies the rows.
+    multiplies the rows. Without `salted` the joins are plain ones on the key: for relations known to
+    have no hot key, which may then use a common partitioning (`storage`).
     """
+    if not salted:
+        result = base
+        for i, side in enumerate(sides):
+            result = left_join(result, side, on, clash)
+            result = after[i](result) if i < len(after) else result
+        return result
     sizes = [f"_size{i}" for i in range(len(sides))]
     cells = [f"_cell{i}" for i in range(len(sides))]
     counted = counted or [None] * len(sides)
@@ -146,6 +154,7 @@ def join_lookup(
     clash: str = "left",
     counted: DataFrame | None = None,
     cell_rows: int = CELL_ROWS,
+    salted: bool = True,
 ) -> DataFrame:
     """Join to a side with few rows per key, where left keys may be hot or NULL.
 
@@ -158,7 +167,8 @@ def join_lookup(
     read from a table needs no more than a plain join.
 
     `counted` stands in for `left` when hot keys are counted: a table with the
-    same keys that costs less to read than `left` costs to compute.
+    same keys that costs less to read than `left` costs to compute. `salted` is that of fan_out; orders
+    and suppliers may be hot where invoices are not, so this join is salted in any case.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")

@@ -266,11 +266,13 @@ def report_invoice_v4(
     prepay_ers: DataFrame,
     include_iva_6: bool = False,
     lists: str = "cell",
+    salted: bool = True,
 ) -> DataFrame:
     """One row per invoice with withholdings by percentage class.
 
     `lists` "cell" puts payments, banks, receipts and advances of an invoice into text cells. With "rows"
-    the report has INVOICE_ID in front instead, and `invoice_lists` gives their values as rows.
+    the report has INVOICE_ID in front instead, and `invoice_lists` gives their values as rows. No join of
+    it multiplies rows, so `salted` changes nothing; all reports take it.
     """
     _known_lists(lists)
     in_cells = lists == "cell"
