@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cuadre.operators.profile import profile, report_summary
 from cuadre.plans import extracts, reports
 from cuadre.session import size_session
-from cuadre.sources import spec
+from cuadre.sources import spec, versions
 from cuadre.sources.files import conform, read_csv, read_extract, require
 from cuadre.sources.sinks import write_report
 from cuadre.sources.spec import RelationSpec
@@ -151,12 +151,20 @@ def run_job(
     since: dt.date | None = None,
     non_empty: bool = False,
 ) -> None:
-    """Write `target`/report, /profile unless it is not wanted and, where there is one, /summary.
+    """Write the tables report, profile unless it is not wanted and, where there is one, summary, and commit them together
+    as a version of `target`, which `versions.read` reads.
 
     `input_fmt` "base" reads base tables from `source` instead of extracts. Partitions are sized
-    by the bytes of the inputs. `non_empty` stops a job without invoices. Profile and summary read the written report, so it is computed once.
+    by the bytes of the inputs. `non_empty` stops a job without invoices. Profile and summary read the written report, so it
+    is computed once. `mode` says what happens where the target has a version: an error, a new version instead of it
+    (overwrite), or one that has its rows as well (append). A job that ends early leaves the version that was there.
     """
     job = JOBS[name]
+    if mode not in ("errorifexists", "overwrite", "append"):
+        raise ValueError(f"mode must be 'errorifexists', 'overwrite' or 'append', not {mode!r}")
+    before = versions.current(spark, target)
+    if before.number and mode == "errorifexists":
+        raise ValueError(f"{target} has a version already")
     size_session(spark, [source])
     if input_fmt == "base":
         inputs = from_base(BaseTables(spark, source), job, since)
@@ -165,15 +173,23 @@ def run_job(
     if non_empty:
         require(inputs["invoices"], "invoices")
     report = job.build(**inputs)
-    write_report(report, f"{target}/report", fmt, mode)
+    part = versions.new_part(target)
+    schemas = {}
+
+    def put(table: str, df: DataFrame) -> None:
+        write_report(df, f"{part}/{table}", fmt)
+        schemas[table] = df.schema
+
+    put("report", report)
     if fmt == "csv":
-        written = read_csv(spark, f"{target}/report", schema=report.schema)
+        written = read_csv(spark, f"{part}/report", "free", report.schema)
     else:
-        written = spark.read.schema(report.schema).format(fmt).load(f"{target}/report")
+        written = spark.read.schema(report.schema).format(fmt).load(f"{part}/report")
     if profiled:
-        write_report(profile(written), f"{target}/profile", fmt, mode)
+        put("profile", profile(written))
     if job.summary:
-        write_report(report_summary(written), f"{target}/summary", fmt, mode)
+        put("summary", report_summary(written))
+    versions.commit(spark, target, before, part, fmt, schemas, append=mode == "append")
 
 
 def run_extracts(

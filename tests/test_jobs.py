@@ -12,6 +12,8 @@ from cuadre.catalog.mapping import BASE_SQL, base_tables, relations
 from cuadre.plans import extracts
 from cuadre.plans.jobs import JOBS, load_inputs, run_extracts, run_job
 from cuadre.session import input_bytes
+from cuadre.plans import jobs
+from cuadre.sources import versions
 from cuadre.sources.files import conform
 from tests.compare import cell
 
@@ -60,11 +62,11 @@ def test_job(spark, tmp_path, name):
         land(mapped[relation], f"{tmp_path}/in/{job.inputs[argument].file}")
         expected[argument] = conform(mapped[relation], job.inputs[argument].relation)
     run_job(spark, name, f"{tmp_path}/in", f"{tmp_path}/out")
-    report = spark.read.parquet(f"{tmp_path}/out/report")
+    report = versions.read(spark, f"{tmp_path}/out", "report")
     assert text_rows(report) == text_rows(job.build(**expected))
-    assert spark.read.parquet(f"{tmp_path}/out/profile").count() == len(report.columns)
+    assert versions.read(spark, f"{tmp_path}/out", "profile").count() == len(report.columns)
     if job.summary:
-        summary = spark.read.parquet(f"{tmp_path}/out/summary").first()
+        summary = versions.read(spark, f"{tmp_path}/out", "summary").first()
         assert summary["row_count"] == report.count()
         assert summary["invoice_count"] == mapped["invoices_v2"].count()
 
@@ -76,17 +78,16 @@ def test_texts_with_line_breaks(spark, tmp_path, fmt):
     invoices = relations(spark, SF_DIR)["invoices_v1"].limit(20).withColumn("DESCRIPTION", F.lit(text))
     land(invoices, f"{tmp_path}/in/XX_RO_FACTURAS_REP.csv")
     run_job(spark, "master_rate", f"{tmp_path}/in", f"{tmp_path}/out", fmt=fmt)
-    reader = spark.read.options(header="true", escape='"', multiLine="true")
-    report = reader.format(fmt).load(f"{tmp_path}/out/report")
+    report = versions.read(spark, f"{tmp_path}/out", "report")
     assert report.count() == 20 and [r[0] for r in report.select("DESCRIPTION").distinct().collect()] == [text]
-    profile = {r["column_name"]: r for r in reader.format(fmt).load(f"{tmp_path}/out/profile").collect()}
+    profile = {r["column_name"]: r for r in versions.read(spark, f"{tmp_path}/out", "profile").collect()}
     assert int(profile["DESCRIPTION"]["distinct_count"]) == 1 and int(profile["IMPORTE"]["null_count"]) == 0
 
 
 def test_no_profile(spark, tmp_path):
     land(relations(spark, SF_DIR)["invoices_v1"], f"{tmp_path}/in/XX_RO_FACTURAS_REP.csv")
     run_job(spark, "master_code", f"{tmp_path}/in", f"{tmp_path}/out", profiled=False)
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["report"]
+    assert list(versions.current(spark, f"{tmp_path}/out").schemas) == ["report"]
 
 
 def test_base_tables_to_relations_and_report(spark, tmp_path):
@@ -104,7 +105,7 @@ def test_base_tables_to_relations_and_report(spark, tmp_path):
     run_job(spark, "master_code", f"{tmp_path}/base", f"{tmp_path}/one", input_fmt="base", since=since)
     job = JOBS["master_code"]
     read = {a: conform(spark.read.parquet(f"{tmp_path}/out/{i.relation.name}"), i.relation) for a, i in job.inputs.items()}
-    report = spark.read.parquet(f"{tmp_path}/one/report")
+    report = versions.read(spark, f"{tmp_path}/one", "report")
     assert text_rows(report) == text_rows(job.build(**read)) and report.count() > 0
 
 
@@ -118,7 +119,7 @@ def test_only_invoices_landed(spark, tmp_path):
     invoices = relations(spark, SF_DIR)["invoices_v2"]
     land(invoices, f"{tmp_path}/in/other.csv")
     run_job(spark, "schedule_payment", f"{tmp_path}/in", f"{tmp_path}/out", fmt="csv", files={"invoices": "other.csv"})
-    report = spark.read.option("header", "true").csv(f"{tmp_path}/out/report")
+    report = versions.read(spark, f"{tmp_path}/out", "report")
     assert report.count() == invoices.count()
     assert report.where(F.col("NUM_PAGO").isNotNull()).count() == 0
 
@@ -126,3 +127,48 @@ def test_only_invoices_landed(spark, tmp_path):
 def test_invoices_are_required(spark, tmp_path):
     with pytest.raises(AnalysisException):
         load_inputs(spark, JOBS["master_code"], str(tmp_path))
+
+
+def test_a_job_that_ends_early_leaves_the_former_version(spark, tmp_path, monkeypatch):
+    invoices = relations(spark, SF_DIR)["invoices_v1"]
+    land(invoices.where("INVOICE_ID % 3 = 0"), f"{tmp_path}/in/XX_RO_FACTURAS_REP.csv")
+    land(invoices, f"{tmp_path}/in/more.csv")
+    out = f"{tmp_path}/out"
+    run_job(spark, "master_code", f"{tmp_path}/in", out)
+    rows = versions.read(spark, out, "report").count()
+    with pytest.raises(ValueError, match="has a version"):
+        run_job(spark, "master_code", f"{tmp_path}/in", out)
+
+    def fails(df):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError, match="killed"):
+        patched.setattr(jobs, "profile", fails)
+        run_job(spark, "master_code", f"{tmp_path}/in", out, mode="overwrite", files={"invoices": "more.csv"})
+    assert versions.current(spark, out).number == 1
+    assert versions.read(spark, out, "report").count() == rows
+    # a retry needs nothing cleared away
+    run_job(spark, "master_code", f"{tmp_path}/in", out, mode="overwrite", files={"invoices": "more.csv"})
+    assert versions.read(spark, out, "report").count() == invoices.count() > rows
+    run_job(spark, "master_code", f"{tmp_path}/in", out, mode="append")
+    assert versions.read(spark, out, "report").count() == invoices.count() + rows
+    assert [v.number for v in versions.history(spark, out)] == [1, 2, 3]
+    assert versions.read(spark, out, "report", versions.history(spark, out)[0]).count() == rows
+    assert len(versions.remove_old(spark, out)) == 2  # the first version's part and what the failed run left
+    assert versions.read(spark, out, "report").count() == invoices.count() + rows
+
+
+def test_two_runs_from_one_version(spark, tmp_path):
+    out, schema = str(tmp_path), spark.range(1).schema
+    before = versions.current(spark, out)
+    for expected in (1, None):
+        part = versions.new_part(out)
+        spark.range(1).write.parquet(f"{part}/t")
+        if expected:
+            versions.commit(spark, out, before, part, "parquet", {"t": schema})
+        else:
+            with pytest.raises(RuntimeError, match="another run"):
+                versions.commit(spark, out, before, part, "parquet", {"t": schema})
+    assert versions.read(spark, out, "t").count() == 1
+    with pytest.raises(ValueError, match="no committed table"):
+        versions.read(spark, out, "u")
