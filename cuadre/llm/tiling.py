@@ -137,55 +137,83 @@ def document_seeds(texts: DataFrame, items: DataFrame) -> DataFrame:
     return per_batch(texts, schema, make)
 
 
-def runs_of(words: list[int], marked: list[bool], length: int) -> dict[int, list[int]]:
-    """Karp-Rabin hash -> places of the runs of `length` unmarked words; None among the words ends a run."""
-    found: dict[int, list[int]] = {}
-    top = pow(_BASE, length - 1, _PRIME)
-    value, size = 0, 0
-    for i, word in enumerate(words):
-        if word is None or marked[i]:
-            value, size = 0, 0
+class Words:
+    """A list of word hashes (None ends a stretch), which of them are marked, and Karp-Rabin hashes of its prefixes."""
+
+    def __init__(self, words: list[int | None]):
+        self.words, self.marked = words, [word is None for word in words]
+        self.prefix, self.power = [0], [1]
+        for word in words:
+            self.prefix.append((self.prefix[-1] * _BASE + (word or 0)) % _PRIME)
+            self.power.append(self.power[-1] * _BASE % _PRIME)
+
+    def hash(self, begin: int, size: int) -> int:
+        return (self.prefix[begin + size] - self.prefix[begin] * self.power[size]) % _PRIME
+
+    def free(self) -> list[int]:
+        """Unmarked words from each place on."""
+        run, found = 0, [0] * len(self.words)
+        for i in range(len(self.words) - 1, -1, -1):
+            run = 0 if self.marked[i] else run + 1
+            found[i] = run
+        return found
+
+    def before(self, i: int) -> int | None:
+        """The word before a place, where a match could begin earlier with it."""
+        return None if not i or self.marked[i - 1] else self.words[i - 1]
+
+    def mark(self, begin: int, size: int) -> None:
+        self.marked[begin : begin + size] = [True] * size
+
+
+def agreed(text: Words, i: int, item: Words, j: int, known: int, most: int) -> int:
+    """Words from two places on that are equal, of which `known` are and at most `most` count: by bisection over hashes."""
+    while known < most:
+        middle = (known + most + 1) // 2
+        if text.hash(i, middle) == item.hash(j, middle):
+            known = middle
+        else:
+            most = middle - 1
+    return known
+
+
+def left_maximal(text: Words, item: Words, length: int) -> list[tuple[int, int, int]]:
+    """(-words, place in the text, place in the item) of matches of at least `length` unmarked words that do not begin earlier."""
+    in_text, in_item, found = text.free(), item.free(), []
+    # run -> word before it -> places in the item: pairs that go on to the left are never looked at, so that a text
+    # which repeats itself costs what its length is
+    runs: dict[int, dict[int | None, list[int]]] = {}
+    for j, free in enumerate(in_item):
+        if free >= length:
+            runs.setdefault(item.hash(j, length), {}).setdefault(item.before(j), []).append(j)
+    for i, free in enumerate(in_text) if runs else ():
+        if free < length or (places := runs.get(text.hash(i, length))) is None:
             continue
-        if size == length:
-            value = (value - words[i - length] * top) % _PRIME
-            size -= 1
-        value = (value * _BASE + word) % _PRIME
-        size += 1
-        if size == length:
-            found.setdefault(value, []).append(i - length + 1)
+        earlier = text.before(i)
+        for word, some in places.items():
+            if word is None or word != earlier:
+                found += [(-agreed(text, i, item, j, length, min(free, in_item[j])), i, j) for j in some]
     return found
 
 
 def greedy_tiles(text: list[int | None], item: list[int], least: int) -> list[tuple[int, int, int]]:
     """Tiles (place in the text, place in the item, words), longest first; None ends a stretch of the text."""
-    marked_text, marked_item, tiles = [False] * len(text), [False] * len(item), []
+    of_text, of_item, tiles = Words(text), Words(item), []
     length = max(least, len(item))
     while True:
-        in_item, matches = runs_of(item, marked_item, length), []
-        for value, places in runs_of(text, marked_text, length).items():
-            for i in places:
-                for j in in_item.get(value, ()):
-                    if i and j and text[i - 1] == item[j - 1] and not (marked_text[i - 1] or marked_item[j - 1]):
-                        continue  # part of a longer match that begins before
-                    size = 0
-                    while (
-                        i + size < len(text) and j + size < len(item) and text[i + size] == item[j + size]
-                        and not (marked_text[i + size] or marked_item[j + size])
-                    ):
-                        size += 1
-                    if size >= length:
-                        matches.append((-size, i, j))
-        if matches:
-            longest = -min(matches)[0]
+        found = left_maximal(of_text, of_item, length)
+        if found:
+            taken, longest = len(tiles), -min(found)[0]
             # matches shorter than the longest may have been cut by it: they are searched again
-            for size, i, j in sorted(matches):
-                if -size < longest:
-                    break
-                if not any(marked_text[i : i + longest]) and not any(marked_item[j : j + longest]):
-                    marked_text[i : i + longest] = [True] * longest
-                    marked_item[j : j + longest] = [True] * longest
+            for size, i, j in sorted(x for x in found if x[0] == -longest):
+                ends = (of_text.marked[i], of_text.marked[i + longest - 1], of_item.marked[j], of_item.marked[j + longest - 1])
+                # a stretch that meets another of its length holds one of its ends; hashes propose, words decide
+                if not any(ends) and text[i : i + longest] == item[j : j + longest]:
+                    of_text.mark(i, longest)
+                    of_item.mark(j, longest)
                     tiles.append((i, j, longest))
-            continue
+            if len(tiles) > taken:
+                continue
         if length == least:
             return tiles
         length = max(least, length // 2)

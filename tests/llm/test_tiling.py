@@ -121,3 +121,19 @@ def test_edge_cases(spark, tmp_path):
     docs = documents(spark, ["the same text twice over and over"])
     assert tiling.matches(docs, empty(spark, BENCHMARK)).count() == 0
     assert tiling.matches(empty(spark), benchmark).count() == 0
+
+
+def seconds(text, item):
+    import time
+
+    start = time.process_time()
+    tiles = tiling.greedy_tiles(text, item, 5)
+    return time.process_time() - start, tiles
+
+
+def test_time_follows_the_length_of_texts_that_repeat_themselves():
+    for item, unit in (([7] * 400, [7]), ([1, 2, 3] * 130, [1, 2, 3]), ([*range(200)] * 2, [*range(50, 90)])):
+        short, _ = seconds(unit * (20_000 // len(unit)), item)
+        long, tiles = seconds(unit * (160_000 // len(unit)), item)
+        assert long < 20 * max(short, 0.02) and long < 20
+        assert sum(n for _, _, n in tiles) >= 0.1 * len(item)
