@@ -24,9 +24,11 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuadre.llm.common import kinds, per_batch
+from cuadre.llm.common import kinds, per_batch, small_side, written
 
 SAMPLE_ROWS = 128
+#: Counts by language are broadcast up to so many languages.
+LANGUAGES = 100_000
 DICTIONARY_BYTES = 110_000
 BLOCK_BYTES = 4_096
 #: Texts up to this size are matched by hash tables alone, longer ones by hash chains.
@@ -82,10 +84,13 @@ def learning_sample(docs: DataFrame, text: str = "text", lang: str = "lang", row
     """At most `rows` different texts of each language, the least by hash, with the number of all its rows."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     hashed = known.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
-    counts = hashed.groupBy("lang").agg(F.count("*").alias("total"))
+    by_text = written(hashed.groupBy("lang", "hash").agg(F.count("*").alias("copies")), "hashes")
+    counts = by_text.groupBy("lang").agg(F.sum("copies").alias("total"), F.count("*").alias("texts"))
+    # hashes are even: of a language's, about 8 x rows lie below this bound, and fewer than `rows` never
+    bound = F.when(F.col("texts") > 8 * rows, -(2.0**63) + 2.0**64 * 8 * rows / F.col("texts")).otherwise(2.0**63)
+    low = by_text.drop("copies").join(small_side(counts, LANGUAGES), "lang").where(F.col("hash").cast("double") <= bound)
     by_hash = Window.partitionBy("lang").orderBy("hash")
-    picked = hashed.distinct().withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= rows)
-    picked = picked.join(counts, "lang").drop("place")
+    picked = low.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= rows).drop("place", "texts")
     # `picked` has `rows` rows a language, whatever the corpus
     texts = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
     return texts.join(F.broadcast(picked), ["lang", "hash"]).groupBy("lang", "hash").agg(
