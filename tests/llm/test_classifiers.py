@@ -199,3 +199,15 @@ def test_one_long_text_does_not_fill_a_dictionary(spark):
     assert sizes[-1] == sizes[-3]  # the long ones share the rest
     [(_, alone)] = langid.learn(given.limit(1))
     assert len(alone[0]) == langid.DICTIONARY_BYTES
+
+
+def test_sample_of_a_language_is_the_least_by_hash(spark):
+    """Of many texts, copies among them, those with the least hashes."""
+    rows = [(f"text {i % 5000}", "en" if i % 3 else "de") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    found = langid.learning_sample(docs, rows=50).collect()
+    hashed = docs.distinct().selectExpr("lang", "xxhash64(text) AS hash").collect()
+    for lang in ("en", "de"):
+        least = sorted(r["hash"] for r in hashed if r["lang"] == lang)[:50]
+        assert sorted(r["hash"] for r in found if r["lang"] == lang) == least
+        assert {r["total"] for r in found if r["lang"] == lang} == {sum(x == lang for _, x in rows)}
