@@ -361,6 +361,13 @@ RELATION_SQL["amounts_double"] = """
           case when l.l_linenumber = 4 then cast(null as double) else l.l_discount end AS DISCOUNT
         FROM {lineitem} l"""
 
+# schedules as extracted later: some invoices gone, some new, some balances other
+RELATION_SQL["schedules_next"] = f"""
+        SELECT case when s.INVOICE_ID % 11 = 0 then s.INVOICE_ID + 100000000 else s.INVOICE_ID end AS INVOICE_ID, s.PAYMENT_NUM,
+          s.FECHA_VENCIMIENTO, s.IMPORTE_BRUTO_USD,
+          case when s.INVOICE_ID % 7 = 0 and s.PAYMENT_NUM = 1 then {_dec('s.SALDO_USD + 1')} else s.SALDO_USD end AS SALDO_USD,
+          s.PAYMENT_PRIORITY
+        FROM ({RELATION_SQL["schedules"]}) s WHERE s.INVOICE_ID % 13 <> 5"""
 # what an extract file holds: text, with line breaks, quotes and commas in cells, and spellings of a missing value
 RELATION_SQL["invoices_landed"] = f"""
         SELECT cast(o.o_orderkey as string) AS INVOICE_ID, 'F-' || cast(o.o_orderkey as string) AS FACTURA,

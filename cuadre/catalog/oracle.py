@@ -978,6 +978,21 @@ _add(
 )
 ORACLE["o1_extract_order"] = ORACLE["e9_schedules"]
 ORACLE["r2_stored"] = ORACLE["r2"]
+_COLUMNS = "INVOICE_ID, PAYMENT_NUM, FECHA_VENCIMIENTO, IMPORTE_BRUTO_USD, SALDO_USD, PAYMENT_PRIORITY"
+_add(
+    "s6_changes",
+    "schedules schedules_next",
+    f"""
+SELECT {_COLUMNS}, abs(more) AS "COPIES",
+  case when INVOICE_ID not in (SELECT INVOICE_ID FROM schedules) then 'inserted'
+    when INVOICE_ID not in (SELECT INVOICE_ID FROM schedules_next) then 'removed' when more > 0 then 'present' else 'former' end
+    AS "CHANGE"
+FROM (SELECT {_COLUMNS}, cast(sum(way) as bigint) AS more FROM (
+    SELECT *, 1 AS way FROM schedules_next UNION ALL SELECT *, -1 AS way FROM schedules) b GROUP BY {_COLUMNS}) d
+WHERE more <> 0""",
+)
+_add("s6_applied", "schedules_next", "SELECT * FROM schedules_next")
+_add("k1_versions", "schedules", "SELECT * FROM schedules")
 ORACLE["o1_positions"] = f"""SELECT *, row_number() OVER (ORDER BY INVOICE_ID NULLS LAST, PAYMENT_NUM NULLS LAST) AS "POSITION"
 FROM ({ORACLE["e9_schedules"]}) x"""
 _TOKENS = "('', 'NULL', 'null', 'None', 'N/A')"

@@ -17,7 +17,7 @@ from cuadre.operators import joins, profile
 from cuadre.operators.columns import ensure_money, reindex
 from cuadre.plans import extracts, reports
 from cuadre.session import scratch_folder
-from cuadre.sources import files, sinks, spec, storage
+from cuadre.sources import changes, files, sinks, spec, storage, versions
 
 # The test tables run from 1995 to 2001; the extracts' own bound lies after them.
 SINCE = dt.date(1996, 6, 1)
@@ -116,6 +116,32 @@ def _s2(r) -> DataFrame:
     return bridge.unionByName(files.read_extract(bridge.sparkSession, spec.REQUISITIONS, absent, required=False))
 
 
+_relation("s6_changes")(lambda r: changes.changes(r["schedules"], r["schedules_next"], ["INVOICE_ID"]))
+
+
+@_relation("s6_applied")
+def _s6_applied(r) -> DataFrame:
+    """The earlier schedules brought up to date by a change set that was landed."""
+    spark = r["schedules"].sparkSession
+    folder = scratch_folder(spark, "changes")
+    change_set = changes.changes(r["schedules"], r["schedules_next"], ["INVOICE_ID"])
+    sinks.write_report(change_set, folder)
+    return changes.applied(r["schedules"], spark.read.parquet(folder))
+
+
+@_relation("k1_versions")
+def _k1_versions(r) -> DataFrame:
+    """A table that is committed, and another one that is added to it."""
+    spark = r["schedules"].sparkSession
+    target = scratch_folder(spark, "versions")
+    for year in (True, False):
+        some = r["schedules"].where((F.year("FECHA_VENCIMIENTO") < 1997) == year)
+        before, part = versions.current(spark, target), versions.new_part(target)
+        sinks.write_report(some, f"{part}/schedules", fmt="csv")
+        versions.commit(spark, target, before, part, "csv", {"schedules": some.schema}, append=True)
+    return versions.read(spark, target, "schedules")
+
+
 _relation("f7_non_empty")(lambda r: files.require(r["schedules"], "schedules"))
 _base("s6_scan_since")(
     lambda t: files.scan_since(t["AP_INVOICES_ALL"], "CREATION_DATE", SINCE).select("INVOICE_ID", "CREATION_DATE")
