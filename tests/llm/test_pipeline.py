@@ -77,7 +77,7 @@ def test_run_against_brute_force(spark):
 
 def test_registered():
     assert contract.queries()["pipeline"] is pipeline.run and len(pipeline.STAGES) == 5
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(contract.queries())
 
 
