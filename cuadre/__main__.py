@@ -18,6 +18,7 @@ def main() -> None:
     parser.add_argument("--since", type=dt.date.fromisoformat, help="earliest date that extract queries take")
     parser.add_argument("--cells", default="quoted", help="what cells of CSV extracts may hold: quoted, one_line or free")
     parser.add_argument("--no-profile", action="store_true", help="write no column profile")
+    parser.add_argument("--profile-while-writing", action="store_true", help="no second read for it; distinct counts are estimates")
     parser.add_argument("--non-empty", action="store_true", help="stop when there are no invoices")
     parser.add_argument("--ordered", action="store_true", help="sort relations as their extract files are sorted")
     parser.add_argument("--format", default="parquet")
@@ -32,7 +33,8 @@ def main() -> None:
         else:
             run_job(
                 spark, args.report, args.source, args.target, args.input_format, args.format, args.mode,
-                cells=args.cells, profiled=not args.no_profile, since=args.since, non_empty=args.non_empty,
+                cells=args.cells, since=args.since, non_empty=args.non_empty,
+                profiled="while_writing" if args.profile_while_writing else not args.no_profile,
             )
     finally:
         spark.stop()

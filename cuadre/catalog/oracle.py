@@ -854,6 +854,27 @@ SELECT count(*) AS row_count, count(DISTINCT INVOICE_ID) AS invoice_count, count
     once=f"""SELECT {usd('s.IMPORTE_BRUTO_USD', 'i.cur')} AS u, {mxn('s.IMPORTE_BRUTO_USD', 'i.cur', 'i.fx')} AS m
 FROM i JOIN schedules s ON s.INVOICE_ID = i.INVOICE_ID""",
 )
+ORACLE["a8_merged"] = ORACLE["q2_summary"]
+ORACLE["a8_corrected"] = ORACLE["q2_summary"].replace(
+    plain_sql(RELATION_SQL["schedules"]), plain_sql(RELATION_SQL["schedules_next"])
+)
+_add(
+    "a8_days",
+    _R6_NAMES,
+    """
+SELECT w.*, "DUE_USD", "DUE_MXN" FROM (
+  SELECT cast(FECHA as date) AS "DAY", count(*) AS "ROWS", cast(sum(IMPORTE_BRUTO_USD) as decimal(38,2)) AS "SUM_USD",
+    cast(sum(IMPORTE_MXN) as decimal(38,2)) AS "SUM_MXN", count(NUM_PAGO) AS "PAID",
+    count(*) FILTER (WHERE SALDO_USD > 0) AS "PENDING_USD",
+    count(*) FILTER (WHERE SALDO_USD > 0 OR SALDO_MXN_CALC > 0) AS "PENDING_ANY", min(FECHA) AS "FIRST", max(FECHA) AS "LAST"
+  FROM r6 GROUP BY 1) w
+LEFT JOIN (SELECT cast(FECHA as date) AS d, cast(sum(u) as decimal(38,2)) AS "DUE_USD",
+    cast(sum(m) as decimal(38,2)) AS "DUE_MXN" FROM once GROUP BY 1) o ON o.d IS NOT DISTINCT FROM w."DAY"
+""",
+    **_R6_STEPS,
+    once=f"""SELECT i.FECHA, {usd('s.IMPORTE_BRUTO_USD', 'i.cur')} AS u, {mxn('s.IMPORTE_BRUTO_USD', 'i.cur', 'i.fx')} AS m
+FROM i LEFT JOIN schedules s ON s.INVOICE_ID = i.INVOICE_ID""",
+)
 _HELD_OUT = (
     "h.RET_ISR_4_USD AS RETENCION_ISR_4, h.RET_ISR_125_USD AS RETENCION_ISR_125, h.RET_ISR_10_USD AS RETENCION_ISR_10, "
     "h.RET_IVA_USD AS RETENCION_IVA, h.RET_OTRO_USD AS RETENCION_OTRO"
@@ -931,6 +952,15 @@ _add(
         for c, k in _V1_TYPES.items()
     ),
 )
+_add(
+    "q1_while_writing",
+    "invoices_v1",
+    "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{k}' AS data_type, count(*) - count({c}) AS null_count, count({c}) AS value_count
+  FROM invoices_v1"""
+        for c, k in _V1_TYPES.items()
+    ),
+)
 _add(
     "q3_prepayment",
     "prepay_ers",

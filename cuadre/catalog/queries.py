@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuadre.catalog.mapping import base_tables, relations
 from cuadre.functions import classify, dates, measures, text
 from cuadre.functions.numbers import money, or_zero, percentage, rate_or_one, row_sum, to_number
 from cuadre.operators import aggregates as agg
-from cuadre.operators import joins, profile
+from cuadre.operators import joins, profile, summaries
 from cuadre.operators.columns import ensure_money, reindex
 from cuadre.plans import extracts, reports
 from cuadre.session import scratch_folder
@@ -521,6 +521,51 @@ _relation("r7_lists")(lambda r: reports.invoice_lists(r["payments_v4"], r["prepa
 
 _relation("q1_profile")(lambda r: profile.profile(r["invoices_v1"]))
 _relation("q2_summary")(lambda r: profile.report_summary(_schedule_payment(r, keep_key=True)))
+
+
+def _landed_states(report: DataFrame, *wanted: Column) -> list[DataFrame]:
+    """The states of parts of a report, each stored and read back."""
+    spark, parts = report.sparkSession, []
+    folder = scratch_folder(spark, "states")
+    sinks.write_report(report, f"{folder}/report")
+    for i, rows in enumerate(wanted):
+        sinks.write_report(summaries.states(spark.read.parquet(f"{folder}/report").where(rows)), f"{folder}/{i}")
+        parts.append(spark.read.parquet(f"{folder}/{i}"))
+    return parts
+
+
+@_relation("a8_merged")
+def _a8_merged(r) -> DataFrame:
+    """q2_summary from the states of two extracts, among which the payments of a schedule are dealt."""
+    dealt = F.crc32(F.coalesce("NUM_PAGO", F.lit(""))) % 2
+    return summaries.summary(summaries.merged(*_landed_states(_schedule_payment(r, keep_key=True), dealt == 0, dealt == 1)))
+
+
+@_relation("a8_corrected")
+def _a8_corrected(r) -> DataFrame:
+    """The summary after the schedules of some invoices have changed: only those invoices are reported again."""
+    (before,) = _landed_states(_schedule_payment(r, keep_key=True), F.lit(True))
+    touched = changes.changes(r["schedules"], r["schedules_next"], ["INVOICE_ID"]).select("INVOICE_ID").distinct()
+    again = {**r, "schedules": r["schedules_next"], "invoices_v2": r["invoices_v2"].join(touched, "INVOICE_ID", "left_semi")}
+    (after,) = _landed_states(_schedule_payment(again, keep_key=True), F.lit(True))
+    return summaries.summary(summaries.corrected(before, after))
+
+
+_relation("a8_days")(
+    lambda r: summaries.by_day(summaries.states(_schedule_payment(r, keep_key=True))).select(
+        summaries.DAY, *summaries.MERGED_BY
+    )
+)
+
+
+@_relation("q1_while_writing")
+def _q1_while_writing(r) -> DataFrame:
+    """The profile that a write takes along; its distinct counts are estimates, so they are not compared."""
+    along = profile.WhileWriting(r["invoices_v1"])
+    sinks.write_report(along.rows, scratch_folder(r["invoices_v1"].sparkSession, "profiled"))
+    return along.profile().drop("distinct_count")
+
+
 _relation("q3_prepayment")(lambda r: profile.prepayment_profile(r["prepay_ers"]))
 _relation("q4_codes")(lambda r: profile.withholding_code_profile(r["taxes_v2"]))
 _relation("q4_containing")(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cuadre.operators.aggregates import value_counts
 from cuadre.operators.columns import named
 
+#: Columns that tell invoices apart, and schedules of one.
+INVOICE, SCHEDULE = ("INVOICE_ID",), ("PAYMENT_NUM",)
+
 
 def profile(df: DataFrame) -> DataFrame:
     """Column, type, NULL count and distinct count (NULL counts as a value).
@@ -40,12 +43,41 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+class WhileWriting:
+    """A profile that a write takes along: `rows` are to be written, `profile` gives the table when they are.
+
+    Nothing is read a second time. NULLs and values are counted; distinct values are estimated by sketches of fixed size, with
+    the relative standard deviation `error`. The counts are taken by the tasks that write, each of which counts once
+    however often it is tried; rows that a shuffle follows would not be counted so, hence `rows` go to the writer as they are.
+    """
+
+    def __init__(self, df: DataFrame, error: float = 0.01):
+        self._observed, self._fields = Observation(), df.schema.fields
+        self._spark = df.sparkSession
+        counts = [F.count(named(f.name)).alias(f"values{i}") for i, f in enumerate(self._fields)]
+        # as text, as `profile` tells values apart
+        kinds = [
+            F.approx_count_distinct(named(f.name).cast("string"), error).alias(f"distinct{i}") for i, f in enumerate(self._fields)
+        ]
+        self.rows = df.observe(self._observed, F.count(F.lit(1)).alias("rows"), *counts, *kinds)
+
+    def profile(self) -> DataFrame:
+        """The columns of `profile`, one row per column of the report. Waits for the write."""
+        found = self._observed.get
+        cells = []
+        for i, f in enumerate(self._fields):
+            nulls = found["rows"] - found[f"values{i}"]
+            cells.append((f.name, f.dataType.simpleString(), nulls, found[f"values{i}"], found[f"distinct{i}"] + (nulls > 0)))
+        kinds = "column_name string, data_type string, null_count long, value_count long, distinct_count long"
+        return self._spark.createDataFrame(cells if found["rows"] else [], kinds)
+
+
 def unexpected_columns(df: DataFrame, expected: list[str]) -> DataFrame:
     """Profile of the columns of a relation that are not `expected`."""
     return profile(df.select(*[named(c) for c in df.columns if c not in expected]))
 
 
-def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",), schedule: list[str] = ("PAYMENT_NUM",)) -> DataFrame:
+def report_summary(df: DataFrame, key: list[str] = INVOICE, schedule: list[str] = SCHEDULE) -> DataFrame:
     """One row of totals over a schedule-payment report.
 
     `key` tells invoices apart and `schedule` the schedules of one. `total_*` count each schedule once, however
@@ -63,6 +95,11 @@ def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",), schedule: li
         F.min("FECHA").alias("_first"),
         F.max("FECHA").alias("_last"),
     )
+    return totals(by_schedule, key)
+
+
+def totals(by_schedule: DataFrame, key: list[str] = INVOICE) -> DataFrame:
+    """The row of totals from one row of counts and sums per schedule and supplier."""
     added = ["_rows", "_due_usd", "_due_mxn", "_sum_usd", "_sum_mxn", "_paid", "_pending_usd", "_pending_any"]
     shrunk = by_schedule
     for keys, counts in (([*key, "_supplier"], []), (["_supplier"], ["_invoices"]), ([], ["_invoices", "_suppliers"])):
@@ -74,9 +111,14 @@ def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",), schedule: li
         shrunk = shrunk.groupBy(*[named(c) for c in keys]).agg(
             *sums, F.min("_first").alias("_first"), F.max("_last").alias("_last")
         )
+    return shrunk.select(*summary_columns())
+
+
+def summary_columns() -> list[Column]:
+    """The summary's columns from those of the whole."""
     money38 = "decimal(38,2)"
     none = F.lit(0).cast("long")
-    return shrunk.select(
+    return [
         F.coalesce("_rows", none).alias("row_count"),
         F.coalesce(F.col("_invoices").cast("long"), none).alias("invoice_count"),
         F.coalesce(F.col("_suppliers").cast("long"), none).alias("supplier_count"),
@@ -89,7 +131,7 @@ def report_summary(df: DataFrame, key: list[str] = ("INVOICE_ID",), schedule: li
         F.coalesce("_pending_any", none).alias("pending_any"),
         F.col("_first").alias("first_date"),
         F.col("_last").alias("last_date"),
-    )
+    ]
 
 
 def prepayment_profile(df: DataFrame) -> DataFrame:

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuadre.operators.profile import profile, report_summary
+from cuadre.operators import summaries
+from cuadre.operators.profile import WhileWriting, profile
 from cuadre.plans import extracts, reports
 from cuadre.session import size_session
 from cuadre.sources import spec, versions
 from cuadre.sources.files import conform, read_csv, read_extract, require
-from cuadre.sources.sinks import write_report
+from cuadre.sources.sinks import replace_nan, write_report
 from cuadre.sources.spec import RelationSpec
 
 
@@ -147,12 +148,14 @@ def run_job(
     mode: str = "errorifexists",
     files: dict[str, str] | None = None,
     cells: str = "quoted",
-    profiled: bool = True,
+    profiled: bool | str = True,
     since: dt.date | None = None,
     non_empty: bool = False,
 ) -> None:
     """Write the tables report, profile unless it is not wanted and, where there is one, summary, and commit them together
-    as a version of `target`, which `versions.read` reads.
+    as a version of `target`, which `versions.read` reads. `profiled` "while_writing" takes the profile along with the write,
+    its distinct counts estimated, where True reads the report again and counts. With a summary go the states that it is made of
+    (`merged_summary`).
 
     `input_fmt` "base" reads base tables from `source` instead of extracts. Partitions are sized
     by the bytes of the inputs. `non_empty` stops a job without invoices. Profile and summary read the written report, so it
@@ -160,6 +163,8 @@ def run_job(
     (overwrite), or one that has its rows as well (append). A job that ends early leaves the version that was there.
     """
     job = JOBS[name]
+    if profiled not in (True, False, "while_writing"):
+        raise ValueError(f"profiled must be True, False or 'while_writing', not {profiled!r}")
     if mode not in ("errorifexists", "overwrite", "append"):
         raise ValueError(f"mode must be 'errorifexists', 'overwrite' or 'append', not {mode!r}")
     before = versions.current(spark, target)
@@ -180,18 +185,34 @@ def run_job(
         write_report(df, f"{part}/{table}", fmt)
         schemas[table] = df.schema
 
-    put("report", report)
-    if fmt == "csv":
-        written = read_csv(spark, f"{part}/report", "free", report.schema)
-    else:
-        written = spark.read.schema(report.schema).format(fmt).load(f"{part}/report")
+    along = WhileWriting(replace_nan(report)) if profiled == "while_writing" else None
+    put("report", along.rows if along else report)
+
+    def written(table: str) -> DataFrame:
+        if fmt == "csv":
+            return read_csv(spark, f"{part}/{table}", "free", schemas[table])
+        return spark.read.schema(schemas[table]).format(fmt).load(f"{part}/{table}")
+
     if profiled:
-        put("profile", profile(written))
+        put("profile", along.profile() if along else profile(written("report")))
     if job.summary:
-        put("summary", report_summary(written))
+        # in order of days, so that a span of days reads a part of the files
+        put("states", summaries.states(written("report")).repartitionByRange(summaries.DAY, *summaries.INVOICE))
+        put("summary", summaries.summary(written("states")))
     versions.commit(spark, target, before, part, fmt, schemas, append=mode == "append")
 
 
+def merged_summary(spark: SparkSession, target: str, corrections: bool = False) -> DataFrame:
+    """One summary of all that the current version of `target` holds, from the stored states: no report is read.
+
+    After `mode="append"` the table summary has a row for each run; this is the one of their union. With `corrections` each run
+    tells the whole of its invoices, and takes the place of what earlier runs say of them.
+    """
+    version = versions.current(spark, target)
+    parts = [versions.read(spark, target, "states", replace(version, parts=[part])) for part in version.parts]
+    return summaries.summary(summaries.corrected(*parts) if corrections else summaries.merged(*parts))
+
+
 def run_extracts(
     spark: SparkSession,
     source: str,

@@ -172,3 +172,33 @@ def test_two_runs_from_one_version(spark, tmp_path):
     assert versions.read(spark, out, "t").count() == 1
     with pytest.raises(ValueError, match="no committed table"):
         versions.read(spark, out, "u")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_profile_while_writing(spark, tmp_path, fmt):
+    land(relations(spark, SF_DIR)["invoices_v1"], f"{tmp_path}/in/XX_RO_FACTURAS_REP.csv")
+    for profiled in (True, "while_writing"):
+        run_job(spark, "master_code", f"{tmp_path}/in", f"{tmp_path}/{profiled}", fmt=fmt, profiled=profiled)
+    exact, along = (versions.read(spark, f"{tmp_path}/{p}", "profile") for p in (True, "while_writing"))
+    assert text_rows(along.drop("distinct_count")) == text_rows(exact.drop("distinct_count"))
+    with pytest.raises(ValueError, match="profiled"):
+        run_job(spark, "master_code", f"{tmp_path}/in", f"{tmp_path}/no", profiled="maybe")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_summaries_of_runs_are_merged(spark, tmp_path, fmt):
+    invoices, out = relations(spark, SF_DIR)["invoices_v2"], f"{tmp_path}/out"
+    land(invoices.where("INVOICE_ID % 3 = 0"), f"{tmp_path}/in/first.csv")
+    land(invoices.where("INVOICE_ID % 3 > 0"), f"{tmp_path}/in/second.csv")
+    land(invoices, f"{tmp_path}/in/core_invoices.csv")
+    for name in ("first.csv", "second.csv", "first.csv"):
+        run_job(
+            spark, "schedule_payment", f"{tmp_path}/in", out, fmt=fmt, mode="append", files={"invoices": name}, profiled=False
+        )
+    run_job(spark, "schedule_payment", f"{tmp_path}/in", f"{tmp_path}/once", fmt=fmt, profiled=False)
+    once = versions.read(spark, f"{tmp_path}/once", "summary")
+    # the third run repeats the first one: a correction takes its place, otherwise its rows count again
+    assert text_rows(jobs.merged_summary(spark, out, corrections=True)) == text_rows(once)
+    repeated = jobs.merged_summary(spark, out).first()
+    assert repeated["invoice_count"] == once.first()["invoice_count"] == invoices.count()
+    assert repeated["row_count"] == versions.read(spark, out, "report").count() > once.first()["row_count"]
