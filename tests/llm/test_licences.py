@@ -95,3 +95,57 @@ def test_anchors_are_enough():
                 part[draw.randrange(len(part))] = b"other"
             words += part[draw.randrange(2) :] + [b"between"]
         assert index.find(words) == everywhere.find(words)
+
+
+@pytest.mark.parametrize("template", licences.NOTICES, ids=lambda t: t.label + ": " + t.text[:30])
+def test_notices_with_a_word_put_in_or_left_out(template):
+    words = licences.words_of(template.text.encode())
+    keys = {w for phrase in template.key_phrases for w in phrase.encode().split()}
+    index = licences.Index(licences.TEMPLATES, {w: 900 for w in words if w not in keys}, 1000)
+    before = [b"before"] * 4
+    for at in range(1, len(words)):
+        text = before + words[:at] + [b"other"] + words[at:] + [b"after"] * 4
+        whole = all(b" %s " % p.encode() in b" %s " % b" ".join(text) for p in template.key_phrases)
+        finds = [f for f in index.find(text) if f[0] == template.label]
+        assert bool(finds) == whole
+        # one occurrence is one find of its template, at its place or shifted by the word
+        own = [f for f in finds if f[3] == len(words)]
+        assert not own or (len(own) == 1 and abs(own[0][2] - 4) <= licences.BAND)
+        if words[at] not in keys:
+            finds = index.find(before + words[:at] + words[at + 1 :] + [b"after"])
+            assert template.label in {f[0] for f in finds}
+
+
+def test_share_in_the_band_against_every_choice_of_places():
+    """The most weight over all increasing choices of places within the band."""
+    draw = random.Random(11)
+
+    def most(words, there, weights, start, i=0, after=-1):
+        if i == len(there):
+            return 0.0
+        found = most(words, there, weights, start, i + 1, after)
+        for at in range(max(start + i - licences.BAND, after + 1, 0), min(start + i + licences.BAND + 1, len(words))):
+            if words[at] == there[i]:
+                found = max(found, weights[i] + most(words, there, weights, start, i + 1, at))
+        return found
+
+    seen = 0
+    for _ in range(400):
+        there = [draw.choice([b"a", b"b", b"c", b"d"]) for _ in range(6)]
+        template = licences.Template("x", b" ".join(there).decode(), (there[0].decode(),))
+        index = licences.Index([template], {b"a": 5, b"b": 50}, 100)
+        words = [draw.choice([b"a", b"b", b"c", b"d", b"e"]) for _ in range(draw.randrange(12))]
+        for start in range(-3, len(words)):
+            share, _ = index.shares(words, 0, start)
+            expected = most(words, there, index.weights[0], start) / sum(index.weights[0])
+            if share or expected >= licences.LEAST_MATCH:
+                assert share == pytest.approx(expected)
+                seen += 1
+    assert seen > 100
+
+
+def test_places_of_a_repeated_notice():
+    index = licences.Index(licences.TEMPLATES, {}, 1000)
+    words = licences.words_of(b"released under the mit license")
+    found = index.find((words + [b"and"]) * 3)
+    assert [f[2] for f in found if f[0] == "mit"] == [0, 6, 12]
