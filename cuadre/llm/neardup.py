@@ -9,8 +9,8 @@ CHUNKS - T // 2 chunks; classes that share keys in fewer chunks are out.
 
 Classes that share keys form families. In each family the class with the most shared keys is compared with all
 others on full sets. Whoever is not similar to it, an outsider, is compared with the whole family, in blocks of
-`BLOCK` outsiders by `BLOCK` members, so that a large family spreads over many tasks. Blocks give back only links
-that connect something new. Components follow from all links.
+`BLOCK` outsiders by `BLOCK` members, or fewer where they are long (`BLOCK_SHINGLES`), so that a large family spreads over many
+tasks and a block has its size whatever the length of texts. Blocks give back only links that connect something new. Components follow from all links.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; fewer words than a shingle make one
 shingle; rows with a null id are linked with nothing; each of several rows with one id has the component of its own
@@ -31,6 +31,8 @@ from cuadre.llm.components import connected
 CHUNKS, WIDTH = 13, 5
 HASHES = CHUNKS * WIDTH
 BLOCK = 128
+#: Shingles of a block's outsiders, and of its members, on average; a longer document is alone.
+BLOCK_SHINGLES = 200_000
 
 _DRAW = np.random.default_rng(20240601)
 _FACTORS = _DRAW.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,7 +184,7 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, doc_id:
     centres = sets.groupBy("family").agg(F.max_by("id", F.struct("shared", -F.col("id"))).alias("centre"))
     centre_sets = centres.join(sets.select(F.col("id").alias("centre"), F.col("members").alias("middle")), "centre")
     compared = sets.join(centre_sets, "family").select(
-        "id", "family", "centre", similar(F.col("members"), F.col("middle"), percent).alias("near")
+        "id", "family", "centre", F.size("members").alias("shingles"), similar(F.col("members"), F.col("middle"), percent).alias("near")
     )
     compared = written(compared, "compared")
     star = compared.where("near AND id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
@@ -191,10 +193,12 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, doc_id:
 
 def outsider_links(sets: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
     """Links between those that are not near their family's centre, and the rest of the family, in blocks."""
-    counts = compared.groupBy("family").agg(F.count("*").alias("size"), F.count_if(~F.col("near")).alias("outsiders"))
-    counts = counts.where("outsiders > 0").select(
-        "family", F.ceil(F.col("size") / BLOCK).alias("rows"), F.ceil(F.col("outsiders") / BLOCK).alias("columns")
+    # as many blocks as documents and shingles ask for
+    load = F.greatest(F.lit(1 / BLOCK), F.col("shingles") / BLOCK_SHINGLES)
+    counts = compared.groupBy("family").agg(
+        F.ceil(F.sum(load)).alias("rows"), F.ceil(F.sum(F.when(~F.col("near"), load))).alias("columns")
     )
+    counts = counts.where("columns > 0")
     placed = sets.join(compared.select("id", "near"), "id").join(counts, "family")
     place = F.xxhash64("id")
     as_member = placed.select(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cuadre.llm import neardup
 from cuadre.llm.components import connected
@@ -38,6 +39,26 @@ def test_against_all_pairs(spark, monkeypatch, seed, words, percent):
     assert all(r["kept"] == (i == r["component_id"]) and r["n_shingles"] == len(sets[i]) for i, r in found.items())
 
 
+def test_blocks_follow_the_length_of_texts(spark, monkeypatch):
+    """Families of few but long documents are cut into blocks by shingles, and lose no link."""
+    sizes = []
+    frame = type(spark.range(1))
+    apply = frame.groupBy
+
+    def counted(self, *keys):
+        if keys == ("family", "i", "j"):
+            sizes.extend(r[0] for r in apply(self.where("NOT asks"), *keys).agg(F.sum(F.size("members"))).collect())
+        return apply(self, *keys)
+
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 600)
+    monkeypatch.setattr(frame, "groupBy", counted)
+    texts = near_copies(5, groups=2, copies=40)
+    found = {r["doc_id"]: r["component_id"] for r in neardup.components(documents(spark, texts), 3, 85).collect()}
+    assert found == components({i: shingle_set(t, 3) for i, t in enumerate(texts)}, 85)
+    # about 110 shingles each: 40 of them are far more than a block holds
+    assert sizes and max(sizes) < 5 * 600
+
+
 def test_query_on_documents(spark):
     sets = {i: shingle_set(t, 3) for i, t in texts_of(spark, MIDDLE).items()}
     want = components(sets, 85)
