@@ -46,7 +46,7 @@ def test_blocks_follow_the_length_of_texts(spark, monkeypatch):
     apply = frame.groupBy
 
     def counted(self, *keys):
-        if keys == ("family", "i", "j"):
+        if [str(k) for k in keys] == ["family", "i", "j"]:
             sizes.extend(r[0] for r in apply(self.where("NOT asks"), *keys).agg(F.sum(F.size("members"))).collect())
         return apply(self, *keys)
 
