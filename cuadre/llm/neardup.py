@@ -33,6 +33,8 @@ HASHES = CHUNKS * WIDTH
 BLOCK = 128
 #: Shingles of a block's outsiders, and of its members, on average; a longer document is alone.
 BLOCK_SHINGLES = 200_000
+#: Blocks that a task compares, about; beyond `MOST_TASKS` tasks each has more, one after another.
+BLOCKS_A_TASK, MOST_TASKS = 4, 50_000
 
 _DRAW = np.random.default_rng(20240601)
 _FACTORS = _DRAW.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -218,7 +220,8 @@ def outsider_links(sets: DataFrame, compared: DataFrame, percent: int) -> DataFr
         if len(asking) and len(members):
             sizes = members.members.map(len).to_numpy()
             flat = np.concatenate(members.members.to_list())
-            owner = np.repeat(np.arange(len(members)), sizes)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], np.repeat(np.arange(len(members)), sizes)[order]
             ids, near = members.id.to_numpy(), members.near.to_numpy()
             # all near members are one group already
             group = {i: (-1 if n else i) for i, n in zip(ids.tolist(), near.tolist())}
@@ -230,8 +233,11 @@ def outsider_links(sets: DataFrame, compared: DataFrame, percent: int) -> DataFr
 
             for number, own in zip(asking.id.to_list(), asking.members.to_list()):
                 own = np.sort(own)
-                at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-                both = np.bincount(owner[own[at] == flat], minlength=len(members))
+                first = np.searchsorted(flat, own)
+                count = np.searchsorted(flat, own, "right") - first
+                # the places of all members' shingles that are among `own`
+                at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+                both = np.bincount(owner[at], minlength=len(members))
                 hits = np.flatnonzero((100 * both >= percent * (sizes + len(own) - both)) & (ids != number))
                 group.setdefault(number, number)
                 for other in ids[hits].tolist():
@@ -242,7 +248,10 @@ def outsider_links(sets: DataFrame, compared: DataFrame, percent: int) -> DataFr
                         group[high] = low
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    blocks = as_member.unionByName(as_outsider)
+    # blocks cost time rather than bytes, so their tasks are not to be merged by size
+    counted = counts.agg(F.sum(F.col("rows") * F.col("columns"))).first()[0] or 0
+    tasks = max(1, min(-(-counted // BLOCKS_A_TASK), MOST_TASKS))
+    blocks = as_member.unionByName(as_outsider).repartition(tasks, "family", "i", "j")
     return blocks.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
 
 
