@@ -102,6 +102,35 @@ def test_pairs_are_learned():
     assert abs((model.scores(x) < ranking.CUT_SCORE).mean() - (~good).mean()) < 0.01  # the quantile
 
 
+def test_every_pair_counts(spark):
+    """At the learned weights the loss over all pairs of a good and a bad document is flat; it is not for a draw of pairs."""
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(600, ranking.features(np.zeros((1, len(signals.NAMES)))).shape[1]))
+    good = x[:, 1] - x[:, 4] + draw.normal(size=600) > -0.5
+    model = ranking.fit(x, good, float((~good).mean()))
+    z = (x - model.mean) / model.scale
+    strength = z @ model.weights
+    lost = 1 / (1 + np.exp(strength[good][:, None] - strength[~good][None]))
+    gradient = (z[~good] * lost.sum(axis=0)[:, None]).sum(axis=0) - (z[good] * lost.sum(axis=1)[:, None]).sum(axis=0)
+    assert np.abs(gradient / lost.size + ranking.RIDGE * model.weights).max() < 1e-5
+
+
+def test_every_labelled_document_is_learned_from(spark):
+    """More documents of a class than 8,000, to which learning was once limited: the model is that of all of them."""
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice(["word", "WORD", "a1", "x|", "!"]) for _ in range(draw.randrange(1, 9))) for _ in range(9_500)]
+    quality = [int(draw.random() < 0.95 ** text.count("WORD") - 0.01) for text in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, 0) for i, q in enumerate(quality)], LABELS)
+    found = ranking.learn(docs, labels)
+    x = ranking.features(np.array([signals.signals(text.encode()) for text in texts], dtype=float))
+    good = np.array(quality, dtype=bool)
+    assert good.sum() > 8_000
+    whole = ranking.fit(x, good, float((~good).mean()))
+    assert np.allclose(found.mean, x.mean(axis=0)) and np.allclose(found.weights, whole.weights, atol=1e-4)
+    assert abs(found.cut - whole.cut) < 1e-3
+
+
 # quality rules
 
 
