@@ -24,7 +24,10 @@ from pyspark.sql.types import StructType
 
 from cuadre.operators.columns import named
 from cuadre.operators.skew import hot_keys, key_counts
+from cuadre.session import input_bytes
 
+#: A bucket is one task, so there is one for so many bytes of the files that the relations are read from.
+BUCKET_BYTES = 16 * 1024 * 1024
 #: A key is hot when the product of its rows in the relations is beyond this.
 HOT_WORK = 1_000_000
 
@@ -45,8 +48,11 @@ class Stored:
 
 
 def store(relations: dict[str, DataFrame], folder: str, buckets: int, key: str = "INVOICE_ID", hot_work: int = HOT_WORK) -> None:
-    """Writes `relations` under `folder`, a new one that all executors share. Each is read twice; they should be tables."""
+    """Writes `relations` under `folder`, a new one that all executors share. Each is read twice; they should be tables.
+
+    There are `buckets` buckets at least, and more where the input is large: a task's memory does not grow with the data."""
     spark = next(iter(relations.values())).sparkSession
+    buckets = buckets_for(spark, relations, buckets)
     keyed = {name: df for name, df in relations.items() if key in df.columns}
     hot = hot_keys([key_counts(df, key) for df in keyed.values()], key, hot_work).select(key)
     hot.write.parquet(f"{folder}/_hot")
@@ -69,6 +75,12 @@ def store(relations: dict[str, DataFrame], folder: str, buckets: int, key: str =
     spark.createDataFrame(layout, "name string, key string, buckets int, schema string").coalesce(1).write.parquet(f"{folder}/_layout")
 
 
+def buckets_for(spark: SparkSession, relations: dict[str, DataFrame], least: int) -> int:
+    """Buckets for relations, by the bytes of the files that they are read from."""
+    paths = sorted({path for df in relations.values() for path in df.inputFiles()})
+    return max(least, -(-input_bytes(spark, paths) // BUCKET_BYTES))
+
+
 def _table_name() -> str:
     return f"cuadre_{uuid.uuid4().hex}"
 

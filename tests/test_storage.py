@@ -80,3 +80,18 @@ def test_hot_and_missing_keys_are_not_bucketed(spark, tmp_path):
     parts = storage.stored(spark, str(tmp_path))
     assert parts.bucketed["many"].count() == 100 and parts.rest["many"].count() == 400
     assert parts.plain["rates"].count() == 3 and parts.whole("rates").count() == 3
+
+
+def test_buckets_grow_with_the_input(spark, tmp_path, monkeypatch):
+    """A bucket is one task: twice the files, twice the buckets; the rows stay the same."""
+    rows = spark.range(4_000).selectExpr("id % 500 as INVOICE_ID", "cast(id as string) as NUM_PAGO")
+    rows.repartition(4).write.parquet(str(tmp_path / "rows"))
+    relations = {"payments": spark.read.parquet(str(tmp_path / "rows"))}
+    size = sum(p.stat().st_size for p in (tmp_path / "rows").glob("*.parquet"))
+    monkeypatch.setattr(storage, "BUCKET_BYTES", -(-size // 6))
+    storage.store(relations, f"file://{tmp_path}/store", 2)
+    files = [p.name for p in (tmp_path / "store" / "payments" / "bucketed").glob("part-*")]
+    assert len(files) == 6
+    found = storage.stored(spark, f"file://{tmp_path}/store").whole("payments")
+    assert found.exceptAll(relations["payments"]).isEmpty() and found.count() == 4_000
+    assert storage.buckets_for(spark, {"one": spark.range(9)}, 3) == 3
