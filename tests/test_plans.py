@@ -120,3 +120,21 @@ def test_one_row_report_is_one_union(spark):
     sums = [line for line in plan.splitlines() if "partial_sum" in line and "_side" in line]
     assert len(sums) == 1 and "HashAggregate" in sums[0]
     assert "partial_sum" in plan_of(QUERIES["r7_rows"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name,dealt", [("r7", 3), ("r7_rows", 2), ("a11_distributions", 2), ("a12_principal", 1)])
+def test_wide_states_are_not_shuffled(spark, name, dealt):
+    """Rows are dealt out by invoice before they meet aggregates as wide as these; no other exchange follows a sum or a first value."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR)).splitlines()
+    exchanges = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(INVOICE_ID" in line]
+    by_hand = [i for i in exchanges if "REPARTITION_BY_COL" in plan[i]]
+    assert len(by_hand) == dealt
+    assert all("partial_sum" not in plan[i + 1] and "partial_min" not in plan[i + 1] for i in exchanges)
+
+
+@pytest.mark.parametrize("name", ["r1", "r2", "r6", "r6_rows"])
+def test_periods_of_payments_are_not_shuffled(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR)).splitlines()
+    weeks = [i for i, line in enumerate(plan) if "weekofyear" in line]
+    assert weeks
+    assert all(any("REPARTITION_BY_COL" in line and "_cell0" in line for line in plan[i + 1 : i + 5]) for i in weeks)
