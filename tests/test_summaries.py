@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from cuadre.catalog import queries
 from cuadre.operators import profile, summaries
 from tests.conftest import rows
 
@@ -122,3 +123,19 @@ def test_profile_of_no_rows(spark, tmp_path):
     along = profile.WhileWriting(spark.range(0))
     along.rows.write.parquet(f"{tmp_path}/out")
     assert rows(along.profile()) == rows(profile.profile(spark.range(0))) == []
+
+
+def test_report_is_landed_in_the_columns_of_its_states(spark, monkeypatch):
+    """All rows are stored, but not lists and accounts that no state reads."""
+    landed = []
+
+    def write(df, path, **options):
+        landed.append(df.columns)
+        df.write.parquet(path)
+
+    monkeypatch.setattr(queries.sinks, "write_report", write)
+    report = spark.sql("SELECT 1 INVOICE_ID, 2 PAYMENT_NUM, 'P' PROVEEDOR, DATE'2026-01-01' FECHA, 1.5BD IMPORTE_BRUTO_USD, "
+                       "2.5BD IMPORTE_MXN, 'N' NUM_PAGO, 1BD SALDO_USD, 2BD SALDO_MXN_CALC, 'long, list' ERS, 'A' CUENTA")
+    (state,) = queries._landed_states(report, F.lit(True))
+    assert landed[0] == ["INVOICE_ID", "PAYMENT_NUM", *summaries.READ] and "ERS" not in landed[0]
+    assert rows(state) == rows(summaries.states(report))
