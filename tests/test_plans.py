@@ -138,3 +138,12 @@ def test_periods_of_payments_are_not_shuffled(spark, name):
     weeks = [i for i, line in enumerate(plan) if "weekofyear" in line]
     assert weeks
     assert all(any("REPARTITION_BY_COL" in line and "_cell0" in line for line in plan[i + 1 : i + 5]) for i in weeks)
+
+
+@pytest.mark.parametrize("name", ["r1", "r2", "r2_filled_rate", "r6_rows"])
+def test_cells_are_made_by_generated_code(spark, name):
+    """A row of a key that is not hot passes no lambda, which Spark would interpret, and no filter on its cells."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    made = [line for line in plan.splitlines() if "Generate" in line and "_size" in line]
+    assert len(made) == 3 and all("explode(sequence(" in line and ", true, [_at" in line for line in made)
+    assert "lambda" not in plan.split("inline(")[0]

@@ -27,6 +27,12 @@ def salted(base, b, c, **options):
     return fan_out(base, [b, c], "k", **options).select("k", "a", "b", "c")
 
 
+def test_digits_are_all_cells_once(spark):
+    digits = [c.alias(f"d{i}") for i, c in enumerate(skew._digits(F.col("id"), [F.lit(2), F.lit(3), F.lit(1), F.lit(4)]))]
+    cells = {tuple(r) for r in spark.range(24).select(*digits).collect()}
+    assert cells == {(a, b, 0, d) for a in range(2) for b in range(3) for d in range(4)}
+
+
 @pytest.mark.parametrize("cell_rows", [1, 3, 10**6])
 @pytest.mark.parametrize("hot_b,hot_c", [(40, 0), (0, 40), (40, 30), (1, 40), (0, 0)])
 def test_one_hot_key(spark, hot_b, hot_c, cell_rows):
