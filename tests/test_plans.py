@@ -147,3 +147,8 @@ def test_cells_are_made_by_generated_code(spark, name):
     made = [line for line in plan.splitlines() if "Generate" in line and "_size" in line]
     assert len(made) == 3 and all("explode(sequence(" in line and ", true, [_at" in line for line in made)
     assert "lambda" not in plan.split("inline(")[0]
+
+
+@pytest.mark.parametrize("name", ["r6_rows", "a11_distributions", "a5_distinct_list"])
+def test_limited_lists_are_not_collected(spark, name):
+    assert "collect_list" not in plan_of(QUERIES[name](spark, SF_DIR))
