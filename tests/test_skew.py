@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cuadre.session import sized_for
+from cuadre.session import LONG_CELLS, sized_for
 from cuadre.operators import skew
+from cuadre.operators.joins import with_receipts
 from cuadre.operators.skew import fan_out, hot_keys, join_lookup, key_counts
 from tests.conftest import rows
 
@@ -138,3 +140,19 @@ def test_partition_sizes():
     assert few["spark.sql.shuffle.partitions"] == "200"
     assert many["spark.sql.shuffle.partitions"] == str(-(-(10**14) // 2**27))
     assert sized_for(2**40)["spark.sql.shuffle.partitions"] == "8192"
+
+
+def test_writers_of_copied_lists_hold_few_rows(spark, tmp_path):
+    """Row groups are cut by their bytes also where rows without a list come first."""
+    for key in LONG_CELLS:
+        spark.conf.unset(key)
+    invoices = spark.range(2_000).selectExpr("id AS INVOICE_ID", "case when id >= 1500 then 'PO-1' end AS ORDEN_COMPRA")
+    receipts = spark.range(1).selectExpr("'PO-1' AS ORDEN_COMPRA", "repeat('x', 100000) AS ERS")
+    joined = with_receipts(invoices, receipts).coalesce(1).sortWithinPartitions(F.col("ERS").isNotNull(), "INVOICE_ID")
+    plain = {"parquet.block.size": 2**22, "parquet.enable.dictionary": "false", "compression": "none"}
+    joined.write.options(**plain).parquet(f"{tmp_path}/lists")
+    groups = [
+        file.metadata.row_group(i).total_byte_size
+        for file in map(pq.ParquetFile, tmp_path.glob("lists/*.parquet")) for i in range(file.metadata.num_row_groups)
+    ]
+    assert sum(groups) > 500 * 100_000 and max(groups) < 2**22 + 5 * 100_000
