@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
+import time
 from decimal import Decimal
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cuadre.catalog import queries
 from cuadre.operators import profile, summaries
+from cuadre.session import SHUFFLE_FILES_GO
 from tests.conftest import rows
 
 SCHEMA = (
@@ -139,3 +142,21 @@ def test_report_is_landed_in_the_columns_of_its_states(spark, monkeypatch):
     (state,) = queries._landed_states(report, F.lit(True))
     assert landed[0] == ["INVOICE_ID", "PAYMENT_NUM", *summaries.READ] and "ERS" not in landed[0]
     assert rows(state) == rows(summaries.states(report))
+
+
+def test_landed_states_leave_no_shuffle_files(spark):
+    """A job of several writes needs no room for the shuffles of those that have ended."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    whole = report_rows(random.Random(7), range(30))
+
+    def left():
+        return {b for b in re.findall(r"shuffle_\d+_\d+_\d+", blocks.getAllBlocks().mkString(" "))}
+
+    before = left()
+    queries._landed_states(frame(spark, whole).repartition(4, "INVOICE_ID"), F.lit(True))
+    for _ in range(50):
+        if not left() - before:
+            break
+        time.sleep(0.1)
+    assert not left() - before
+    assert spark.conf.get(SHUFFLE_FILES_GO, None) != "true"
