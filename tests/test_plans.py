@@ -152,3 +152,12 @@ def test_cells_are_made_by_generated_code(spark, name):
 @pytest.mark.parametrize("name", ["r6_rows", "a11_distributions", "a5_distinct_list"])
 def test_limited_lists_are_not_collected(spark, name):
     assert "collect_list" not in plan_of(QUERIES[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["r6", "r6_rows"])
+def test_headers_are_shuffled_to_their_cells_alone(spark, name):
+    """Sums and accounts of an invoice ride with its schedules, so that no exchange by invoice takes the headers to them."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR)).splitlines()
+    exchanges = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(INVOICE_ID" in line and "_cell" not in line]
+    assert exchanges and not any("AS UUID" in plan[i + 1] for i in exchanges)
+    assert not any("partial_sum" in plan[i + 1] and "IMPUESTO_MXN" in plan[i + 1] for i in exchanges)

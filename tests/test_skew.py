@@ -156,3 +156,23 @@ def test_writers_of_copied_lists_hold_few_rows(spark, tmp_path):
         for file in map(pq.ParquetFile, tmp_path.glob("lists/*.parquet")) for i in range(file.metadata.num_row_groups)
     ]
     assert sum(groups) > 500 * 100_000 and max(groups) < 2**22 + 5 * 100_000
+
+
+@pytest.mark.parametrize("cell_rows", [1, 3, 10_000])
+@pytest.mark.parametrize("sides", [1, 2])
+def test_flat_relations_ride_with_the_first_side(spark, cell_rows, sides):
+    """They join the base as a left join does: keys that are hot, without rows in a side, repeated or NULL included."""
+    draw = random.Random(cell_rows + sides)
+    keys = [None, *range(12)]
+    some = lambda n: [(draw.choice(keys), draw.choice([None, "x", "y", f"v{i}"])) for i in range(n)]
+    base = spark.createDataFrame([*some(20), (1, "a"), (1, "a"), (None, None)], "k int, a string")
+    b = spark.createDataFrame([*some(30), *[(1, f"b{i}") for i in range(25)]], "k int, b string")
+    c = spark.createDataFrame([*some(30), *[(1, f"c{i}") for i in range(9)], *[(2, f"c{i}") for i in range(40)]], "k int, c string")
+    f = spark.createDataFrame([(k, None if k == 3 else k * 10, "not this") for k in range(8)], "k int, f int, a string")
+    g = spark.createDataFrame([(k, f"g{k}") for k in range(1, 20, 2)], "k int, g string")
+    found = fan_out(base, [b, c][:sides], "k", cell_rows=cell_rows, flat=[f, g])
+    wanted = base.join(f.drop("a"), "k", "left").join(g, "k", "left").join(b, "k", "left")
+    wanted = wanted.join(c, "k", "left") if sides == 2 else wanted
+    assert rows(found, *wanted.columns) == rows(wanted)
+    plain = fan_out(base, [b, c][:sides], "k", flat=[f, g], salted=False)
+    assert rows(plain, *wanted.columns) == rows(wanted)
