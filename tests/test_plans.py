@@ -6,6 +6,7 @@ import pytest
 
 from cuadre.catalog.mapping import base_tables, relations
 from cuadre.catalog.queries import QUERIES
+from cuadre.operators import aggregates
 from cuadre.operators.skew import SHARES
 from cuadre.plans import extracts
 
@@ -161,3 +162,19 @@ def test_headers_are_shuffled_to_their_cells_alone(spark, name):
     exchanges = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(INVOICE_ID" in line and "_cell" not in line]
     assert exchanges and not any("AS UUID" in plan[i + 1] for i in exchanges)
     assert not any("partial_sum" in plan[i + 1] and "IMPUESTO_MXN" in plan[i + 1] for i in exchanges)
+
+
+@pytest.mark.parametrize("name,dealt", [("a11_distributions", 1), ("r7", 2)])
+def test_readers_of_dealt_rows_share_an_exchange(spark, name, dealt):
+    """Sums and lists of the same rows are two aggregations of one shuffle; each would be given a shuffle of its own columns."""
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    ran = [line for line in plan_of(df).split("== Initial Plan ==")[0].splitlines() if "REPARTITION_BY_COL" in line]
+    assert len([line for line in ran if "ReusedExchange" not in line]) == dealt
+    assert len([line for line in ran if "ReusedExchange" in line]) == 1
+
+
+def test_a_row_of_amounts_is_marked_by_a_number(spark):
+    r = relations(spark, SF_DIR)
+    union = aggregates._invoice_rows(r["taxes_v4"], r["withholding"], r["payments_v4"], r["prepay_ers"])
+    assert [name for name, kind in union.rows.dtypes if kind == "string"] == []
