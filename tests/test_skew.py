@@ -176,3 +176,18 @@ def test_flat_relations_ride_with_the_first_side(spark, cell_rows, sides):
     assert rows(found, *wanted.columns) == rows(wanted)
     plain = fan_out(base, [b, c][:sides], "k", flat=[f, g], salted=False)
     assert rows(plain, *wanted.columns) == rows(wanted)
+
+
+def test_cells_that_repeat_are_written_once(spark, tmp_path):
+    """Each invoice of an order has its whole list; a file holds the list once for many rows, and it is read back in each."""
+    draw = random.Random(5)
+    lists = [(f"o{i}", "".join(draw.choices("0123456789abcdef", k=1_000_000))) for i in range(3)]
+    receipts = spark.createDataFrame(lists, "ORDEN_COMPRA string, ERS string")
+    invoices = spark.range(400).selectExpr("id AS INVOICE_ID", "concat('o', id % 4) AS ORDEN_COMPRA")
+    found = with_receipts(invoices, receipts)
+    found.coalesce(1).write.parquet(str(tmp_path / "out"))
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 5 * 1_000_000
+    back = spark.read.parquet(str(tmp_path / "out"))
+    counts = {r[0]: (r[1], r[2]) for r in back.groupBy("ORDEN_COMPRA").agg(F.count("*"), F.max(F.xxhash64("ERS"))).collect()}
+    wanted = {r[0]: (100, r[1]) for r in receipts.select("ORDEN_COMPRA", F.xxhash64("ERS")).collect()}
+    assert counts == {**wanted, "o3": (100, 42)}
